@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelmetrics.plans import rollups
 from parcelmetrics.plans.cases import CaseQueries
 from parcelmetrics.sources.sample import SAMPLE_OPTIONS, SampleViews
 
@@ -37,6 +39,38 @@ def _case(*names: str) -> Query:
     return run
 
 
+def _rollup(build: Callable[[DataFrame], DataFrame]) -> Query:
+    """A query over the combined cases; children are filtered out before they are computed."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cases = CaseQueries(SampleViews(spark, sf_dir), SAMPLE_OPTIONS)
+        return comparable(build(rollups.combine(cases.parent_rows())))
+
+    return run
+
+
+def _rounded_std(stats: DataFrame) -> DataFrame:
+    return stats.withColumn("std", F.round("std", 2))
+
+
+def _maps_as_json(df: DataFrame) -> DataFrame:
+    maps = [f.name for f in df.schema if isinstance(f.dataType, T.MapType)]
+    return df.withColumns({name: F.to_json(name) for name in maps})
+
+
+def _top(df: DataFrame) -> DataFrame:
+    columns = ["suite_number", "total_revenue", "total_profit", "total_packages", "profit_pkg_count"]
+    return rollups.top_suites(rollups.suite_totals(df)).select(*columns)
+
+
+def _ranks(df: DataFrame) -> DataFrame:
+    ranked = rollups.with_percentiles(rollups.suite_totals(df), [])
+    return ranked.select("suite_number", "total_revenue", "total_profit", "rev_percentile", "profit_percentile")
+
+
+# Stamp shown by the KPI block; a fixed argument keeps the result repeatable.
+UPDATED_AT_UTC = "2026-03-20 01:30:00"
+
 QUERIES: dict[str, Query] = {
     "single_package_profit": _case("case_1"),
     "single_purchase_profit": _case("case_2"),
@@ -46,4 +80,35 @@ QUERIES: dict[str, Query] = {
     "combined_purchase_children": _case("case_4_children"),
     "mixed_package_parents": _case("case_5_parents"),
     "mixed_package_children": _case("case_5_children"),
+    "combined_cases": _rollup(lambda df: df),
+    "kpi_block": _rollup(lambda df: rollups.kpis(df, UPDATED_AT_UTC)),
+    "package_statistics": _rollup(lambda df: _rounded_std(rollups.package_statistics(df))),
+    "package_statistics_no_admin": _rollup(
+        lambda df: _rounded_std(rollups.package_statistics(rollups.without_admins(df)))
+    ),
+    "case_summary": _rollup(rollups.case_summary),
+    "case_summary_no_admin": _rollup(lambda df: rollups.case_summary(rollups.without_admins(df))),
+    "suite_totals": _rollup(lambda df: _maps_as_json(rollups.suite_totals(df))),
+    "suite_case_detail": _rollup(rollups.suite_case_detail),
+    "suite_countries": _rollup(rollups.suite_countries),
+    "weight_histogram": _rollup(rollups.suite_weight_histogram),
+    "suite_percentiles": _rollup(_ranks),
+    "suite_profiles": _rollup(lambda df: _maps_as_json(rollups.suite_profiles(df))),
+    "suite_profiles_by_year": _rollup(lambda df: _maps_as_json(rollups.suite_profiles_by_year(df))),
+    "available_years": _rollup(rollups.available_years),
+    "suite_statistics": _rollup(lambda df: _rounded_std(rollups.suite_statistics(rollups.suite_totals(df)))),
+    "suite_distribution": _rollup(lambda df: rollups.suite_distribution(rollups.suite_totals(df))),
+    "page_kpis": _rollup(lambda df: rollups.page_kpis(rollups.suite_totals(df))),
+    "page_kpis_no_admin": _rollup(lambda df: rollups.page_kpis(rollups.suite_totals(df), exclude_admins=True)),
+    "revenue_split": _rollup(rollups.revenue_split),
+    "case_revenue_split": _rollup(lambda df: rollups.revenue_split(df, by_case=True)),
+    "case_revenue_split_no_admin": _rollup(
+        lambda df: rollups.revenue_split(rollups.without_admins(df), by_case=True)
+    ),
+    "revenue_shares": _rollup(lambda df: rollups.split_shares(rollups.revenue_split(df, by_case=True), "source_case")),
+    "top_suites": _rollup(_top),
+    "revenue_concentration": _rollup(
+        lambda df: rollups.concentration(rollups.with_percentiles(rollups.suite_totals(df), []))
+    ),
+    "suite_search": _rollup(lambda df: rollups.search_suites(rollups.suite_totals(df), "s11", exclude_admins=True)),
 }
