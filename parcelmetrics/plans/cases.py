@@ -316,6 +316,15 @@ class CaseQueries:
         }
 
 
+def case_table(cases: CaseQueries) -> DataFrame:
+    """All rows of all cases in one frame."""
+    rows = list(cases.all().values())
+    table = rows[0]
+    for more in rows[1:]:
+        table = table.unionByName(more)
+    return table
+
+
 def _purchase_columns() -> dict[str, str]:
     return {
         "package_merchant_clean": clean_merchant("package_merchant"),

@@ -116,30 +116,40 @@ def combine(cases: Mapping[int, DataFrame]) -> DataFrame:
         df = standardize(df, case)
         if case in (3, 4, 5) and "profit_case" in df.columns:
             df = df.filter(F.col("profit_case").cast("string").isin("3", "4", "5"))
-        have = set(df.columns)
-        out = {
-            name: f"`{name}`" if name in have else "NULL"
-            for name in COMBINED
-            if not name.startswith(("revenue", "profit", *PROFIT_PARTS))
-        }
-        out["source_case"] = f"'Case {case}'"
-        out["suite_number"] = f"COALESCE(CAST(suite_number AS STRING), '{UNKNOWN_SUITE}')"
-        out["ship_date_kst"] = "try_cast(ship_date_kst AS DATE)"
-        for c in CURRENCIES:
-            parts = {f"revenue_{k}_{c}": f"COALESCE({v}_{c}, 0)" for k, v in REVENUE_PARTS.items()}
-            out |= parts
-            out[f"revenue_{c}"] = " + ".join(parts.values())
-            out[f"profit_{c}"] = f"profit_{c}" if f"profit_{c}" in have else "0"
-            for p in PROFIT_PARTS:
-                value = f"COALESCE({p}_{c}, 0)" if f"{p}_{c}" in have else "0"
-                out[f"{p}_{c}"] = f"CASE WHEN profit_krw IS NOT NULL THEN {value} END"
-        frames.append(df.selectExpr(*[f"{out[name]} AS `{name}`" for name in COMBINED]))
+        frames.append(_with_revenue_parts(df, f"'Case {case}'"))
     combined = frames[0]
     for frame in frames[1:]:
         combined = combined.unionByName(frame, allowMissingColumns=True)
     return combined
 
 
+def combine_table(rows: DataFrame) -> DataFrame:
+    """The same from one table of all case rows: child rows are pruned at the scan."""
+    parents = rows.filter(F.col("profit_case").isin("1", "2", "3", "4", "5"))
+    return _with_revenue_parts(parents, "CONCAT('Case ', profit_case)")
+
+
+def _with_revenue_parts(df: DataFrame, source_case: str) -> DataFrame:
+    have = set(df.columns)
+    out = {
+        name: f"`{name}`" if name in have else "NULL"
+        for name in COMBINED
+        if not name.startswith(("revenue", "profit", *PROFIT_PARTS))
+    }
+    out["source_case"] = source_case
+    out["suite_number"] = f"COALESCE(CAST(suite_number AS STRING), '{UNKNOWN_SUITE}')"
+    out["ship_date_kst"] = "try_cast(ship_date_kst AS DATE)"
+    for c in CURRENCIES:
+        parts = {f"revenue_{k}_{c}": f"COALESCE({v}_{c}, 0)" for k, v in REVENUE_PARTS.items()}
+        out |= parts
+        out[f"revenue_{c}"] = " + ".join(parts.values())
+        out[f"profit_{c}"] = f"profit_{c}" if f"profit_{c}" in have else "0"
+        for p in PROFIT_PARTS:
+            value = f"COALESCE({p}_{c}, 0)" if f"{p}_{c}" in have else "0"
+            out[f"{p}_{c}"] = f"CASE WHEN profit_krw IS NOT NULL THEN {value} END"
+    return df.selectExpr(*[f"{out[name]} AS `{name}`" for name in COMBINED])
+
+
 def without_admins(df: DataFrame) -> DataFrame:
     return df.filter(f"NOT {is_admin()}")
 

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelmetrics.plans import rollups
-from parcelmetrics.plans.cases import CaseQueries
-from parcelmetrics.sources.sample import SAMPLE_OPTIONS, SampleViews
+from parcelmetrics.plans.cases import CaseQueries, case_table
+from parcelmetrics.sources.sample import SAMPLE_OPTIONS, sample_tables
+from parcelmetrics.sources.staging import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +30,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def _case(*names: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        cases = CaseQueries(SampleViews(spark, sf_dir), SAMPLE_OPTIONS)
+        cases = CaseQueries(sample_tables(spark, sf_dir), SAMPLE_OPTIONS)
         parts = [getattr(cases, name)() for name in names]
         df = parts[0]
         for part in parts[1:]:
@@ -39,12 +40,26 @@ def _case(*names: str) -> Query:
     return run
 
 
+def case_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All case rows of a data directory, written once and partitioned by case."""
+
+    def build() -> DataFrame:
+        return case_table(CaseQueries(sample_tables(spark, sf_dir), SAMPLE_OPTIONS))
+
+    return staged(spark, f"{sf_dir}:case_rows", build, ["profit_case"])
+
+
+def _combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Combined straight from the case queries, without the written table."""
+    cases = CaseQueries(sample_tables(spark, sf_dir), SAMPLE_OPTIONS)
+    return comparable(rollups.combine(cases.all()))
+
+
 def _rollup(build: Callable[[DataFrame], DataFrame]) -> Query:
-    """A query over the combined cases; children are filtered out before they are computed."""
+    """A query over the combined cases."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        cases = CaseQueries(SampleViews(spark, sf_dir), SAMPLE_OPTIONS)
-        return comparable(build(rollups.combine(cases.parent_rows())))
+        return comparable(build(rollups.combine_table(case_rows(spark, sf_dir))))
 
     return run
 
@@ -80,7 +95,7 @@ QUERIES: dict[str, Query] = {
     "combined_purchase_children": _case("case_4_children"),
     "mixed_package_parents": _case("case_5_parents"),
     "mixed_package_children": _case("case_5_children"),
-    "combined_cases": _rollup(lambda df: df),
+    "combined_cases": _combined,
     "kpi_block": _rollup(lambda df: rollups.kpis(df, UPDATED_AT_UTC)),
     "package_statistics": _rollup(lambda df: _rounded_std(rollups.package_statistics(df))),
     "package_statistics_no_admin": _rollup(

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parcelmetrics.functions.money import FeeSchedule
 from parcelmetrics.plans.cases import CaseOptions
-from parcelmetrics.sources.schemas import FEES
+from parcelmetrics.sources.schemas import FEES, SCHEMAS
+from parcelmetrics.sources.staging import staged
 
 # The generated orders run from 1995 to 2001, so the dated rules are moved there.
 SAMPLE_OPTIONS = CaseOptions(
@@ -229,3 +230,9 @@ class SampleViews(Mapping):
 
     def __len__(self) -> int:
         return len(VIEWS)
+
+
+def sample_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The warehouse tables as files: the views are written once, then scanned."""
+    views = SampleViews(spark, sf_dir)
+    return {name: staged(spark, f"{sf_dir}:{name}", lambda n=name: views[n]) for name in SCHEMAS}
