@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from checks import rollups as r
 from checks.cases import case_sql
+from checks.markets import market_checks
 
 
 def oracle_sql() -> dict[str, str]:
@@ -41,4 +42,5 @@ def oracle_sql() -> dict[str, str]:
         "top_suites": r.top_suites(),
         "revenue_concentration": r.concentration(),
         "suite_search": r.suite_search("S11"),
+        **market_checks(),
     }

@@ -42,21 +42,31 @@ def group_sizes(counts: DataFrame, group: list[str]) -> DataFrame:
     return counts.groupBy(*group).agg(F.sum("n").alias("size"))
 
 
-def percentile_rank(df: DataFrame, group: list[str], value: str, name: str) -> DataFrame:
-    """Add the percentile, 1 to 100, of ``value`` within its group.
+PERCENTILE = "CAST(CEIL((below + (n + 1) / 2) / size * 100) AS BIGINT)"
 
-    Rank with ties averaged, divided by the group size, rounded up to a whole percent.
-    Group columns take few values (a year, a constant), so their sizes are broadcast.
+
+def ranked_values(df: DataFrame, group: list[str], value: str) -> DataFrame:
+    """Distinct values of a group with ``n``, ``below`` and the group's ``size``.
+
+    Group columns take few values (a year, a metric name), so their sizes are broadcast.
     """
     counts = value_counts(df, group, value)
-    ranks = rows_below(counts, group).join(F.broadcast(group_sizes(counts, group)), group)
-    ranks = ranks.selectExpr(
-        *[f"{c} AS _rank_{c}" for c in group],
-        "value AS _rank_value",
-        f"CAST(CEIL((below + (n + 1) / 2) / size * 100) AS BIGINT) AS {name}",
-    )
-    on = " AND ".join([*[f"{c} = _rank_{c}" for c in group], f"CAST({value} AS BIGINT) = _rank_value"])
-    return df.join(ranks, F.expr(on), "left").drop("_rank_value", *[f"_rank_{c}" for c in group])
+    return rows_below(counts, group).join(F.broadcast(group_sizes(counts, group)), group)
+
+
+def with_percentile_ranks(df: DataFrame, group: list[str], values: dict[str, str]) -> DataFrame:
+    """Add a percentile, 1 to 100, for each ``values`` entry (result name to column).
+
+    Rank with ties averaged, divided by the group size, rounded up to a whole percent.
+    """
+    out = df
+    for name, value in values.items():
+        ranks = ranked_values(df.select(*group, value), group, value).selectExpr(
+            *[f"{c} AS _rank_{c}" for c in group], "value AS _rank_value", f"{PERCENTILE} AS {name}"
+        )
+        on = " AND ".join([*[f"{c} = _rank_{c}" for c in group], f"CAST({value} AS BIGINT) = _rank_value"])
+        out = out.join(ranks, F.expr(on), "left").drop("_rank_value", *[f"_rank_{c}" for c in group])
+    return out
 
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -69,8 +79,7 @@ def describe(df: DataFrame, group: list[str], value: str = "value", quantiles: d
     all NULL keeps its row, with zeros. Groups are few (metric names, cases).
     """
     quantiles = QUARTILES if quantiles is None else quantiles
-    counts = value_counts(df, group, value)
-    rows = rows_below(counts, group).join(F.broadcast(group_sizes(counts, group)), group)
+    rows = ranked_values(df, group, value)
     picks = []
     for name, p in quantiles.items():
         for side, edge in (("lo", "FLOOR"), ("hi", "CEIL")):
@@ -105,16 +114,9 @@ def describe(df: DataFrame, group: list[str], value: str = "value", quantiles: d
     )
 
 
-def top_share(df: DataFrame, value: str, share: float = 0.1) -> DataFrame:
-    """Sum of the highest ``share`` of rows (at least one row) and the number of rows.
+def top_rows(share: float = 0.1) -> str:
+    """How many rows of a value fall into the highest ``share`` of its group, one row at least.
 
-    Taken from the value counts: each value contributes as many of its rows as still fit
-    under the cut, so tied values need no order.
+    Each value counts as many of its rows as still fit under the cut, so ties need no order.
     """
-    counts = value_counts(df.withColumn("_all", F.lit(1)), ["_all"], value)
-    rows = rows_below(counts, ["_all"]).join(F.broadcast(group_sizes(counts, ["_all"])), "_all")
-    kept = f"GREATEST(0, LEAST(n, CAST(GREATEST(1, FLOOR(size * {share}D)) AS BIGINT) - (size - below - n)))"
-    return rows.agg(
-        F.expr(f"CAST(SUM(CAST(value AS DECIMAL(19,0)) * {kept}) AS DECIMAL(38,0))").alias("top_sum"),
-        F.max("size").alias("n_rows"),
-    )
+    return f"GREATEST(0, LEAST(n, CAST(GREATEST(1, FLOOR(size * {share}D)) AS BIGINT) - (size - below - n)))"

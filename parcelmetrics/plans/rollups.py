@@ -18,7 +18,7 @@ from parcelmetrics.functions.labels import (
 )
 from parcelmetrics.operators.columns import add_columns
 from parcelmetrics.operators.packages import PARENT_TYPES
-from parcelmetrics.operators.ranking import describe, percentile_rank, top_share
+from parcelmetrics.operators.ranking import PERCENTILE, describe, ranked_values, top_rows, with_percentile_ranks
 
 CURRENCIES = ("krw", "usd")
 REVENUE_PARTS = {"buy": "goods_revenue", "storage": "warehouse_revenue", "ship": "shipping_revenue"}
@@ -407,8 +407,9 @@ def with_percentiles(totals: DataFrame, group: list[str]) -> DataFrame:
     """Revenue and profit percentiles of suites, within each ``group``."""
     ranked = totals if group else totals.withColumn("_all", F.lit(1))
     group_by = group or ["_all"]
-    ranked = percentile_rank(ranked, group_by, "total_revenue", "rev_percentile")
-    ranked = percentile_rank(ranked, group_by, "total_profit", "profit_percentile")
+    ranked = with_percentile_ranks(
+        ranked, group_by, {"rev_percentile": "total_revenue", "profit_percentile": "total_profit"}
+    )
     return add_columns(ranked, {"percentile": "rev_percentile"}).drop("_all")
 
 
@@ -542,15 +543,17 @@ def top_suites(totals: DataFrame, n: int = 50) -> DataFrame:
     return totals.orderBy(F.col("total_revenue").desc(), "suite_number").limit(n)
 
 
-def concentration(ranked: DataFrame) -> DataFrame:
+def concentration(totals: DataFrame) -> DataFrame:
     """How many suites are in the top percent, and what the top tenth contributes."""
-    top = top_share(ranked, "total_revenue").withColumn("_section", F.lit(1))
-    whole = ranked.agg(
-        F.expr("COUNT_IF(percentile >= 99) AS top_1_percent_count"),
-        F.expr("CAST(COALESCE(SUM(total_revenue), 0) AS BIGINT) AS _revenue"),
-    ).withColumn("_section", F.lit(1))
-    share = "CAST(top_sum AS DOUBLE) / GREATEST(_revenue, 1) * 100"
-    return whole.join(top, "_section").selectExpr("top_1_percent_count", f"{share} AS top_10_percent_contribution")
+    rows = ranked_values(totals.withColumn("_all", F.lit(1)), ["_all"], "total_revenue")
+    amount = "CAST(value AS DECIMAL(19,0))"
+    sums = rows.agg(
+        F.expr(f"COALESCE(SUM(CASE WHEN {PERCENTILE} >= 99 THEN n END), 0) AS top_1_percent_count"),
+        F.expr(f"CAST(SUM({amount} * {top_rows()}) AS DECIMAL(38,0)) AS _top"),
+        F.expr(f"CAST(SUM({amount} * n) AS DECIMAL(38,0)) AS _revenue"),
+    )
+    share = "CAST(_top AS DOUBLE) / CAST(GREATEST(_revenue, 1) AS DOUBLE) * 100"
+    return sums.selectExpr("top_1_percent_count", f"COALESCE({share}, 0D) AS top_10_percent_contribution")
 
 
 def search_suites(totals: DataFrame, query: str, exclude_admins: bool = False, n: int = 10) -> DataFrame:

@@ -8,9 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelmetrics.plans import rollups
+from parcelmetrics.functions.money import cents, won
+from parcelmetrics.operators.packages import child_mix, children_of
+from parcelmetrics.operators.purchases import (
+    DETAIL_COLUMNS,
+    daily_fx,
+    goods_per_package,
+    purchases,
+    with_both_currencies,
+)
+from parcelmetrics.plans import competitors, rollups, tiers, weekly
 from parcelmetrics.plans.cases import CaseQueries, case_table
-from parcelmetrics.sources.sample import SAMPLE_OPTIONS, sample_tables
+from parcelmetrics.sources.sample import SAMPLE_OPTIONS, SampleViews, sample_tables
+from parcelmetrics.sources.schemas import TARIFF_COLUMNS
 from parcelmetrics.sources.staging import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +93,78 @@ def _ranks(df: DataFrame) -> DataFrame:
     return ranked.select("suite_number", "total_revenue", "total_profit", "rev_percentile", "profit_percentile")
 
 
+# Operators of the cases -----------------------------------------------------------------
+
+
+def _tables(build: Callable[[CaseQueries], DataFrame]) -> Query:
+    return lambda spark, sf_dir: comparable(build(CaseQueries(sample_tables(spark, sf_dir), SAMPLE_OPTIONS)))
+
+
+def _purchase_fees(q: CaseQueries) -> DataFrame:
+    fees = [
+        column
+        for fee in ["pg", "service", "surtax", "vendor", "vendor_child"]
+        for column in (f"{won(f'{fee}_krw')} AS {fee}_krw", f"{cents(f'{fee}_usd')} AS {fee}_usd")
+    ]
+    return with_both_currencies(q.bought).selectExpr("request_id", "market_id", "purchase_date", "goods_krw", *fees)
+
+
+def _goods_per_parent(q: CaseQueries) -> DataFrame:
+    sums = goods_per_package(q.children, q.bought)
+    return sums.selectExpr("package_id", *[f"sum_{c} AS {c}" for c in DETAIL_COLUMNS])
+
+
+# Competitors, weeks and tiers ------------------------------------------------------------
+
+PLATFORMS = competitors.Platforms(own=["own"], competitors=["rival_a", "rival_b"])
+PLATFORMS_MERGED = competitors.Platforms(own=["own"], competitors=["rival_a", "rival_b", "rival_c"])
+PERIODS = [("p1998", "1998-01-01", "1998-12-31"), ("p1999", "1999-01-01", "1999-12-31")]
+TIER_THRESHOLDS = {"Bronze": 150000, "Silver": 350000, "Gold": 600000, "VIP": 900000}
+TIER_PAIRS = [(1996, 1997), (1997, 1998), (1996, 1998)]
+
+
+def _views(build: Callable[[SampleViews], DataFrame]) -> Query:
+    return lambda spark, sf_dir: comparable(build(SampleViews(spark, sf_dir)))
+
+
+def _tariff(v: SampleViews) -> DataFrame:
+    source = ["platform_text", "country_text", "carrier_text", "weight_text", "fee_text"]
+    text = v["tariff_text"].selectExpr(*[f"{a} AS `{b}`" for a, b in zip(source, TARIFF_COLUMNS)], "row_order")
+    return competitors.parse_tariff(text, label="Rival C", platform="rival_c")
+
+
+def _merged(v: SampleViews) -> DataFrame:
+    return competitors.merge_tariff(v["rate_card"], _tariff(v))
+
+
+def _platforms(v: SampleViews) -> DataFrame:
+    merged = competitors.merge_platforms(competitors.platform_columns(v["rate_card"]), _tariff(v))
+    return merged.select("country", "carrier", F.array_join(F.array_sort("platforms"), ",").alias("platforms"))
+
+
+def _volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return competitors.volumes(competitors.shipments(case_rows(spark, sf_dir)), PERIODS)
+
+
+def _rate_card_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return competitors.rate_volumes(SampleViews(spark, sf_dir)["rate_card"], _volumes(spark, sf_dir))
+
+
+def _carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return competitors.carrier_diagnostics(competitors.shipments(case_rows(spark, sf_dir)))
+
+
+def _series(v: SampleViews) -> DataFrame:
+    return weekly.weekly_series(v["weekly_orders"])
+
+
+def _moves(v: SampleViews, admins: bool = True) -> DataFrame:
+    assigned = tiers.assign_tiers(v["customer_year"], TIER_THRESHOLDS)
+    if not admins:
+        assigned = tiers.without_admin_customers(assigned, v["customer"])
+    return tiers.transitions(assigned, TIER_PAIRS)
+
+
 # Stamp shown by the KPI block; a fixed argument keeps the result repeatable.
 UPDATED_AT_UTC = "2026-03-20 01:30:00"
 
@@ -123,7 +205,32 @@ QUERIES: dict[str, Query] = {
     "revenue_shares": _rollup(lambda df: rollups.split_shares(rollups.revenue_split(df, by_case=True), "source_case")),
     "top_suites": _rollup(_top),
     "revenue_concentration": _rollup(
-        lambda df: rollups.concentration(rollups.with_percentiles(rollups.suite_totals(df), []))
+        lambda df: rollups.concentration(rollups.suite_totals(df))
     ),
     "suite_search": _rollup(lambda df: rollups.search_suites(rollups.suite_totals(df), "s11", exclude_admins=True)),
+    "daily_exchange_rate": _tables(lambda q: daily_fx(q.t["currency"])),
+    "highest_shipping_cost": _tables(lambda q: q.shipping_costs()),
+    "child_mix": _tables(lambda q: child_mix(children_of(q.t["package"]))),
+    "purchase_fees": _tables(_purchase_fees),
+    "goods_per_parent": _tables(_goods_per_parent),
+    "rate_gap": _views(lambda v: competitors.rate_gaps(v["rate_card"], PLATFORMS)),
+    "tariff_rows": _views(_tariff),
+    "tariff_merge": _views(_merged),
+    "tariff_merge_gap": _views(lambda v: competitors.rate_gaps(_merged(v), PLATFORMS_MERGED)),
+    "tariff_platforms": _views(_platforms),
+    "carrier_volume": _volumes,
+    "rate_card_volume": _rate_card_volumes,
+    "carrier_diagnostics": _carriers,
+    "weekly_trend": _views(lambda v: weekly.weekly_trend(_series(v), ["category", "service"])),
+    "weekly_total_trend": _views(lambda v: weekly.weekly_trend(weekly.total_series(_series(v)), ["scope"])),
+    "weekly_report_rows": _views(lambda v: weekly.report_week(_series(v).drop("category"), "1998-06-18")),
+    "weekly_contribution": _views(lambda v: weekly.contributions(_series(v), ["service"])),
+    "weekly_package_mix": _views(lambda v: weekly.package_mix(v["weekly_orders"])),
+    "weekday_distribution": _views(lambda v: weekly.weekday_distribution(v["weekly_orders"], ["service"])),
+    "weekly_lead_lag": _views(lambda v: weekly.lead_lag(_series(v), "purchase", "forwarding")),
+    "weekly_service_changes": _views(lambda v: weekly.service_changes(_series(v))),
+    "tier_transition": _views(lambda v: tiers.full_grid(_moves(v))),
+    "tier_transition_no_admin": _views(lambda v: tiers.full_grid(_moves(v, admins=False))),
+    "tier_matrix": _views(lambda v: tiers.matrix(tiers.full_grid(_moves(v)))),
+    "tier_summary": _views(lambda v: tiers.summary(_moves(v))),
 }
