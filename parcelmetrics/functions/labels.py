@@ -36,8 +36,8 @@ def is_admin(suite: str = "suite_number") -> str:
 
 
 def is_country_code(c: str = "country_code") -> str:
-    """Two capital letters."""
-    return f"COALESCE({c} RLIKE '^[A-Z]{{2}}$', FALSE)"
+    """Two capital letters; the length rules out a trailing line break."""
+    return f"COALESCE(LENGTH({c}) = 2 AND {c} RLIKE '^[A-Z]{{2}}$', FALSE)"
 
 
 def weight_bin(weight: str) -> str:

@@ -22,36 +22,37 @@ def value_counts(df: DataFrame, group: list[str], value: str) -> DataFrame:
 
 def rows_below(counts: DataFrame, group: list[str]) -> DataFrame:
     """Add ``below``: how many rows of the group have a smaller value."""
-    g = ", ".join(group)
     levels = counts.selectExpr("*", f"shiftright(value, {LOW_BITS}) AS _k1", f"shiftright(value, {MIDDLE_BITS}) AS _k2")
 
-    def running(partition: str, order: str) -> str:
+    def running(partition: list[str], order: str) -> str:
+        part = f"PARTITION BY {', '.join(partition)} " if partition else ""
         frame = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-        return f"COALESCE(SUM(n) OVER (PARTITION BY {partition} ORDER BY {order} {frame}), 0)"
+        return f"COALESCE(SUM(n) OVER ({part}ORDER BY {order} {frame}), 0)"
 
     top = levels.groupBy(*group, "_k2").agg(F.sum("n").alias("n"))
-    top = top.selectExpr(*group, "_k2", f"{running(g, '_k2')} AS _below2")
+    top = top.selectExpr(*group, "_k2", f"{running(group, '_k2')} AS _below2")
     middle = levels.groupBy(*group, "_k2", "_k1").agg(F.sum("n").alias("n"))
-    middle = middle.selectExpr(*group, "_k2", "_k1", f"{running(f'{g}, _k2', '_k1')} AS _below1")
+    middle = middle.selectExpr(*group, "_k2", "_k1", f"{running([*group, '_k2'], '_k1')} AS _below1")
     middle = middle.join(top, [*group, "_k2"], "left").selectExpr(*group, "_k1", "_below1 + _below2 AS _below1")
-    low = levels.selectExpr(*group, "value", "n", "_k1", f"{running(f'{g}, _k1', 'value')} AS _below0")
+    low = levels.selectExpr(*group, "value", "n", "_k1", f"{running([*group, '_k1'], 'value')} AS _below0")
     return low.join(middle, [*group, "_k1"], "left").selectExpr(*group, "value", "n", "_below0 + _below1 AS below")
 
 
-def group_sizes(counts: DataFrame, group: list[str]) -> DataFrame:
-    return counts.groupBy(*group).agg(F.sum("n").alias("size"))
-
-
 PERCENTILE = "CAST(CEIL((below + (n + 1) / 2) / size * 100) AS BIGINT)"
 
 
 def ranked_values(df: DataFrame, group: list[str], value: str) -> DataFrame:
     """Distinct values of a group with ``n``, ``below`` and the group's ``size``.
 
-    Group columns take few values (a year, a metric name), so their sizes are broadcast.
+    Group columns take few values (a year, a metric name), so their sizes are broadcast;
+    without a group the size is one number, a scalar subquery.
     """
     counts = value_counts(df, group, value)
-    return rows_below(counts, group).join(F.broadcast(group_sizes(counts, group)), group)
+    rows = rows_below(counts, group)
+    if not group:
+        return rows.withColumn("size", counts.agg(F.sum("n")).scalar())
+    sizes = counts.groupBy(*group).agg(F.sum("n").alias("size"))
+    return rows.join(F.broadcast(sizes), group)
 
 
 def with_percentile_ranks(df: DataFrame, group: list[str], values: dict[str, str]) -> DataFrame:

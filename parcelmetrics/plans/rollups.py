@@ -184,17 +184,16 @@ def kpi_totals(df: DataFrame) -> DataFrame:
 def median_exchange_rate(df: DataFrame) -> DataFrame:
     """Median of the positive posted rates, 1450 without any."""
     rates = df.selectExpr(
-        "1 AS _all", "CASE WHEN origin_usd_krw_package > 0 THEN CAST(origin_usd_krw_package * 100 AS BIGINT) END AS value"
+        "CASE WHEN origin_usd_krw_package > 0 THEN CAST(origin_usd_krw_package * 100 AS BIGINT) END AS value"
     )
-    median = describe(rates, ["_all"], quantiles={"median": 0.5})
+    median = describe(rates, [], quantiles={"median": 0.5})
     rate = "BROUND(CAST(median AS DECIMAL(20,1)) / 100, 2)"
     return median.selectExpr(f"CASE WHEN count > 0 THEN CAST({rate} AS DOUBLE) ELSE 1450D END AS exchange_rate")
 
 
 def kpis(df: DataFrame, updated_at_utc: str | None = None) -> DataFrame:
     """The KPI block; ``updated_at_utc`` is a parameter so that results can be repeated."""
-    totals = kpi_totals(df).withColumn("_section", F.lit(1))
-    block = totals.join(median_exchange_rate(df).withColumn("_section", F.lit(1)), "_section").drop("_section")
+    block = kpi_totals(df).withColumn("exchange_rate", median_exchange_rate(df).scalar())
     stamp = kst_minute(f"TIMESTAMP '{updated_at_utc}'") if updated_at_utc else "CAST(NULL AS STRING)"
     return add_columns(block, {"last_updated": stamp})
 
@@ -405,12 +404,8 @@ def suite_weight_histogram(df: DataFrame) -> DataFrame:
 
 def with_percentiles(totals: DataFrame, group: list[str]) -> DataFrame:
     """Revenue and profit percentiles of suites, within each ``group``."""
-    ranked = totals if group else totals.withColumn("_all", F.lit(1))
-    group_by = group or ["_all"]
-    ranked = with_percentile_ranks(
-        ranked, group_by, {"rev_percentile": "total_revenue", "profit_percentile": "total_profit"}
-    )
-    return add_columns(ranked, {"percentile": "rev_percentile"}).drop("_all")
+    values = {"rev_percentile": "total_revenue", "profit_percentile": "total_profit"}
+    return add_columns(with_percentile_ranks(totals, group, values), {"percentile": "rev_percentile"})
 
 
 def suite_profiles(df: DataFrame, period: list[str] | None = None) -> DataFrame:
@@ -545,7 +540,7 @@ def top_suites(totals: DataFrame, n: int = 50) -> DataFrame:
 
 def concentration(totals: DataFrame) -> DataFrame:
     """How many suites are in the top percent, and what the top tenth contributes."""
-    rows = ranked_values(totals.withColumn("_all", F.lit(1)), ["_all"], "total_revenue")
+    rows = ranked_values(totals, [], "total_revenue")
     amount = "CAST(value AS DECIMAL(19,0))"
     sums = rows.agg(
         F.expr(f"COALESCE(SUM(CASE WHEN {PERCENTILE} >= 99 THEN n END), 0) AS top_1_percent_count"),
