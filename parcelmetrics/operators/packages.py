@@ -47,7 +47,15 @@ def in_case(case: int, require_children: bool = False) -> str:
     return f"{rules[case]} AND COALESCE(n_children, 0) > 0" if require_children else rules[case]
 
 
-def parents_of_case(package: DataFrame, mix: DataFrame, case: int, start: Column, require_children: bool) -> DataFrame:
+def parents_of_cases(
+    package: DataFrame, mix: DataFrame, cases: tuple[int, ...], start: Column, require_children: bool
+) -> DataFrame:
+    """Parents of the given cases with the case they belong to in ``_case``.
+
+    The cases asked for together must exclude each other, as 4 and 5 do.
+    """
     parents = package.filter(F.col("package_type").isin(PARENT_TYPES) & (F.col("trans_at_utc") >= start))
     flags = [c for c in mix.columns if c != "package_id"]
-    return parents.join(mix, "package_id", "left").filter(in_case(case, require_children)).drop(*flags)
+    chosen = " ".join(f"WHEN {in_case(case, require_children)} THEN '{case}'" for case in cases)
+    joined = parents.join(mix, "package_id", "left").withColumn("_case", F.expr(f"CASE {chosen} END"))
+    return joined.filter("_case IS NOT NULL").drop(*flags)

@@ -204,15 +204,15 @@ def goods_per_package(children: DataFrame, bought: DataFrame, legacy_pg_usd: boo
 
     Only purchase children are needed: a parent that has another kind never uses these
     sums in case 4, and case 5 asks for purchase children itself. Children without a
-    request add zeros, so an inner join gives the same sums. ``legacy_pg_usd`` keeps the
-    KRW amount of the standard marketplaces' PG fee in the USD sum, a known slip of one of
-    the source queries.
+    request add zeros, so an inner join gives the same sums. ``legacy_pg_usd`` adds
+    ``sum_pg_fee_usd_legacy``, in which the standard marketplaces' fee is still in KRW, a
+    known slip of one of the source queries.
     """
     items = purchase_details()
     if legacy_pg_usd:
         markets = ", ".join(map(str, STANDARD_MARKETS_20))
         slip = f"CASE WHEN market_id IN ({markets}) THEN {cents('pg_krw')} ELSE {cents('pg_usd')} END"
-        items["pg_fee_usd"] = _unless_canceled(slip)
+        items["pg_fee_usd_legacy"] = _unless_canceled(slip)
     buy = children.filter(F.col("reference_type").isin(BUY_TYPES)).select("package_id", "inner_package_id", "reference_id")
     joined = splittable_join(buy, bought, "reference_id", "request_id", spread="inner_package_id", how="inner")
     return with_both_currencies(joined).groupBy("package_id").agg(

@@ -16,7 +16,7 @@ from parcelmetrics.functions.money import FX, KRW, USD, FeeSchedule, amount, cen
 from parcelmetrics.operators.columns import add_columns
 from parcelmetrics.operators.dedupe import keep_highest
 from parcelmetrics.operators.joins import splittable_join, with_fx
-from parcelmetrics.operators.packages import SINGLE, child_mix, children_of, parents_of_case
+from parcelmetrics.operators.packages import SINGLE, child_mix, children_of, parents_of_cases
 from parcelmetrics.operators.purchases import (
     ASN,
     BUY_TYPES,
@@ -197,7 +197,7 @@ class CaseQueries:
             (F.col("package_type") == SINGLE) & (F.col("reference_type") == ASN) & (F.col("trans_at_utc") >= self.start)
         )
         df = self._with_dimensions(self._with_costs(self._with_fees(df), trimmed=True))
-        return ledger(df, case="1", no_goods=True)
+        return ledger(df, case="'1'", no_goods=True)
 
     def case_2(self) -> DataFrame:
         """Single purchases with a confirmed payment; the customer is the purchaser."""
@@ -217,16 +217,16 @@ class CaseQueries:
         df = self._with_dimensions(df, customer="market_customer_id")
         df = with_exact_goods_terms(with_both_currencies(df))
         details = {**_purchase_columns(), **purchase_details(posted_rate=True, canceled_as_zero=False)}
-        return ledger(df, case="2", details=details, zero_costs=True)
+        return ledger(df, case="'2'", details=details, zero_costs=True)
 
-    def _parents(self, case: int) -> DataFrame:
-        return parents_of_case(self.t["package"], self.mix, case, self.start, self.o.require_children)
+    def _parents(self, *cases: int) -> DataFrame:
+        return parents_of_cases(self.t["package"], self.mix, cases, self.start, self.o.require_children)
 
     def case_3_parents(self) -> DataFrame:
         """Combined parcels without any child that is not announced."""
         df = self._with_fees(self._parents(3).dropDuplicates())
         df = self._with_dimensions(self._with_costs(df, trimmed=False))
-        return ledger(df, case="3", details={"inner_package_id": "0"}, no_goods=True)
+        return ledger(df, case="'3'", details={"inner_package_id": "0"}, no_goods=True)
 
     def case_3_children(self) -> DataFrame:
         """Announced children of case 3: dates, merchant, customer and route of the parent."""
@@ -236,12 +236,16 @@ class CaseQueries:
         kids = self.children.filter((F.col("inner_package_id") != 0) & (F.col("reference_type") == ASN)).drop(*inherited)
         df = splittable_join(kids, parents, "package_id", "package_id", spread="inner_package_id", how="inner")
         df = self._with_dimensions(self._with_item_fees(df, how="inner"))
-        return ledger(df, case="3_1", no_goods=True, ships=False)
+        return ledger(df, case="'3_1'", no_goods=True, ships=False)
 
-    def _goods_parents(self, case: int) -> DataFrame:
-        sums = goods_per_package(self.children, self.bought, self.o.legacy_pg_usd and case == 4)
-        df = self._parents(case).join(sums, "package_id", "left")
+    def goods_parents(self, *cases: int) -> DataFrame:
+        """Parents of case 4, of case 5, or of both in one pass: the measures are the same."""
+        sums = goods_per_package(self.children, self.bought, self.o.legacy_pg_usd)
+        df = self._parents(*cases).join(sums, "package_id", "left")
         df = self._with_dimensions(self._with_costs(self._with_fees(df), trimmed=True))
+        if self.o.legacy_pg_usd:
+            slip = "CASE WHEN _case = '4' THEN sum_pg_fee_usd_legacy ELSE sum_pg_fee_usd END"
+            df = add_columns(df, {"sum_pg_fee_usd": slip})
 
         def s(name: str) -> str:
             return f"COALESCE(sum_{name}, 0)"
@@ -261,20 +265,20 @@ class CaseQueries:
         details |= {name: "1450" for name in ["origin_usd_krw_purchase", "usd_krw_purchase"]}
         hidden = ["package_merchant", "package_merchant_clean", "product_name", "product_category", "trans_at_utc_purchase"]
         details |= {name: "NULL" for name in hidden}
-        return ledger(add_columns(df, terms), case=str(case), details=details, fees_zero=True)
+        return ledger(add_columns(df, terms), case="_case", details=details, fees_zero=True)
 
     def case_4_parents(self) -> DataFrame:
         """Combined parcels, not forwarded, holding purchases only."""
-        return self._goods_parents(4)
+        return self.goods_parents(4)
 
     def case_5_parents(self) -> DataFrame:
         """Combined parcels holding both purchases and announced parcels, nothing else."""
-        return self._goods_parents(5)
+        return self.goods_parents(5)
 
-    def _goods_children(self, case: int) -> DataFrame:
+    def goods_children(self, *cases: int) -> DataFrame:
         """Children with their own dates, merchant and customer, and the parent's route."""
         inherited = ["country_code", "carrier", "carrier_service"]
-        parents = self._parents(case).select("package_id", *inherited)
+        parents = self._parents(*cases).select("package_id", "_case", *inherited)
         kids = self.children.drop(*inherited)
         df = splittable_join(kids, parents, "package_id", "package_id", spread="inner_package_id", how="inner")
         # The type test belongs to the join: announced children stay, without a purchase.
@@ -285,13 +289,13 @@ class CaseQueries:
         df = self._with_dimensions(self._with_item_fees(df, how="left"))
         df = with_child_goods_terms(with_both_currencies(without_gaps(df)))
         details = {**_purchase_columns(), **purchase_details(vendor="vendor_child")}
-        return ledger(df, case=f"{case}_1", details=details, fees_zero=True, ships=False, canceled="is_canceled")
+        return ledger(df, case="CONCAT(_case, '_1')", details=details, fees_zero=True, ships=False, canceled="is_canceled")
 
     def case_4_children(self) -> DataFrame:
-        return self._goods_children(4)
+        return self.goods_children(4)
 
     def case_5_children(self) -> DataFrame:
-        return self._goods_children(5)
+        return self.goods_children(5)
 
     def case_3(self) -> DataFrame:
         return self.case_3_parents().unionByName(self.case_3_children())
@@ -317,11 +321,11 @@ class CaseQueries:
 
 
 def case_table(cases: CaseQueries) -> DataFrame:
-    """All rows of all cases in one frame."""
-    rows = list(cases.all().values())
-    table = rows[0]
-    for more in rows[1:]:
-        table = table.unionByName(more)
+    """All rows of all cases in one frame; cases 4 and 5 share one pass."""
+    parts = [cases.case_2(), cases.case_3(), cases.goods_parents(4, 5), cases.goods_children(4, 5)]
+    table = cases.case_1()
+    for part in parts:
+        table = table.unionByName(part)
     return table
 
 
@@ -351,7 +355,7 @@ def ledger(
 
     ``ships`` false marks child rows, which have no shipping cost and no shipping profit.
     A missing markup leaves shipping and total profit NULL. ``canceled`` rows have zero
-    total profit but keep warehouse profit. ``fees_zero`` shows missing option fees as
+    total profit but keep warehouse profit. ``case`` is an expression. ``fees_zero`` shows missing option fees as
     zero, ``zero_costs`` does so for the itemised shipping costs.
     """
     df = add_columns(
@@ -372,7 +376,7 @@ def ledger(
     out = {
         "ship_date_kst": "CAST(ship_at_kst AS DATE)",
         "trans_at_utc_package": "CAST(trans_at_utc AS DATE)",
-        "profit_case": f"'{case}'",
+        "profit_case": case,
         "goods_revenue_krw": won("goods_revenue"),
         "goods_revenue_usd": cents("goods_revenue_usd_raw"),
         "warehouse_revenue_krw": won("_warehouse * _fx"),

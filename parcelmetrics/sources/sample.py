@@ -225,6 +225,10 @@ class SampleViews(Mapping):
             self._built[name] = self._spark.sql(VIEWS[name], **scope)
         return self._built[name]
 
+    def replace(self, name: str, df: DataFrame) -> None:
+        """Build later views on ``df`` in place of the view's own plan."""
+        self._built[name] = df
+
     def __iter__(self) -> Iterator[str]:
         return iter(VIEWS)
 
@@ -235,4 +239,6 @@ class SampleViews(Mapping):
 def sample_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The warehouse tables as files: the views are written once, then scanned."""
     views = SampleViews(spark, sf_dir)
+    for shared in ["child", "buy_base"]:
+        views.replace(shared, staged(spark, f"{sf_dir}:{shared}", lambda n=shared: views[n]))
     return {name: staged(spark, f"{sf_dir}:{name}", lambda n=name: views[n]) for name in SCHEMAS}
