@@ -305,7 +305,7 @@ def suite_distribution() -> str:
 
 
 def page_kpis(admins: bool) -> str:
-    names = {"total_profit": "total_profit", "we_buy_profit": "total_buy_profit", "storage_profit": "total_storage_profit",
+    names = {"total_profit": "total_profit", "buy_profit": "total_buy_profit", "storage_profit": "total_storage_profit",
              "ship_profit": "total_ship_profit", "total_revenue": "total_revenue", "total_buy_revenue": "total_rev_buy",
              "total_storage_revenue": "total_rev_storage", "total_ship_revenue": "total_rev_ship"}
     cols = [dbl(f"SUM({c}{u})", f"{n}{u}") for n, c in names.items() for u in ("", "_usd")]

@@ -473,7 +473,7 @@ def suite_distribution(totals: DataFrame) -> DataFrame:
 
 PAGE_KPIS = {
     "total_profit": "total_profit",
-    "we_buy_profit": "total_buy_profit",
+    "buy_profit": "total_buy_profit",
     "storage_profit": "total_storage_profit",
     "ship_profit": "total_ship_profit",
     "total_revenue": "total_revenue",

@@ -14,7 +14,6 @@ from parcelmetrics.operators.purchases import (
     DETAIL_COLUMNS,
     daily_fx,
     goods_per_package,
-    purchases,
     with_both_currencies,
 )
 from parcelmetrics.plans import competitors, rollups, tiers, weekly
