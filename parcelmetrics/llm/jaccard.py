@@ -5,7 +5,7 @@ first shingle in a global order, rare before frequent; within the distance that
 fifth of its shingles, so the window of pivots that a document must be sent to is the first fifth of its shingles and one
 more. Documents of one pivot are its region. Regions with equal members are one.
 
-Small regions give pairs within the window of set sizes. Other pivots prune these: for any part P of all shingles,
+Small regions give pairs within the window of set sizes; pairs that others have connected already are left out. Other pivots prune these: for any part P of all shingles,
 | |x & P| - |y & P| | bounds the difference of x and y by the triangle inequality, and 64 parts bound its sum. What is left
 is compared exactly. Large regions are joined recursively: document pivots make Voronoi cells, a document also goes to all
 cells q with d(x, q) <= d(x, p) + 2 * 0.2, and whatever one pivot already connects is not compared again. A region too large
@@ -33,7 +33,7 @@ WORDS = 5
 #: Slots of the count of frequent shingles, parts of all shingles that bound differences.
 SLOT_BITS, PARTS = 20, 64
 #: Members of a small region, of one that a task joins, pivots of a recursion, and its smallest share that still helps.
-SMALL, LARGE, PIVOTS, SHRINK = 64, 4096, 8, 0.8
+SMALL, LARGE, PIVOTS, SHRINK = 256, 4096, 8, 0.8
 LINK, EPSILON = 0.8, 0.2
 
 
@@ -80,8 +80,8 @@ def frequent_slots(rows: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, total = WordHashes(), np.zeros(1 << SLOT_BITS, np.int64)
         for batch in small_batches(batches, "text"):
-            for text in batch.column("text").to_pylist():
-                np.add.at(total, (shingles(text, hashes) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), 1)
+            found = np.concatenate([shingles(text, hashes) for text in batch.column("text").to_pylist()])
+            total += np.bincount((found >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=1 << SLOT_BITS)
         some = np.flatnonzero(total >= 2 * total.mean() + 16)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["slot", "n"])
 
@@ -254,7 +254,7 @@ def _shrunk(members: DataFrame, sets: DataFrame, salts: int) -> tuple[DataFrame,
 
 
 def verified_edges(pairs: DataFrame, regions: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) edges that connect all linked of ``pairs`` (a, b) and of the members (region, rep, label) of ``regions``.
+    """(a, b) edges that connect all linked of ``pairs`` (a, b) and of the members (region, rep) of ``regions``.
 
     ``sets`` has (rep, shingles: sorted hashes as bytes) of all that take part.
     """
@@ -265,9 +265,23 @@ def verified_edges(pairs: DataFrame, regions: DataFrame, sets: DataFrame) -> Dat
             keep = np.array([linked(len(np.intersect1d(p, q, assume_unique=True)), len(p), len(q)) for p, q in zip(left, right)], bool)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
-    edges = [both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")]
+    def check(some: DataFrame) -> DataFrame:
+        both = some.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
+        return both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+
+    # First each document with its least partner and each region with its least member; what these connect need not meet again.
+    least = regions.groupBy("region").agg(F.min("rep").alias("a")).join(regions, "region").where("rep <> a").select("a", F.col("rep").alias("b"))
+    first = staged(check(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").union(least).distinct()), "edges")
+    known = staged(components(first), "known")
+
+    def labelled(rows: DataFrame, id_: str, label: str) -> DataFrame:
+        of = known.select(F.col("id").alias(id_), F.col("component").alias(label))
+        return rows.join(of, id_, "left").withColumn(label, F.coalesce(label, id_))
 
+    edges = [first, check(labelled(labelled(pairs, "a", "la"), "b", "lb").where("la <> lb").select("a", "b"))]
+    regions = labelled(regions.select("region", "rep"), "rep", "label")
+    split = regions.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    regions = staged(regions.join(split.select("region"), "region").select("region", "rep", "label"), "regions")
     sizes = regions.groupBy("region").agg(F.count("*").alias("m"))
     before = None
     while True:
@@ -308,7 +322,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     x, y = classes.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("parts").alias("p_a")), classes.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("parts").alias("p_b"))
     differ = F.aggregate(F.zip_with("p_a", "p_b", lambda p, q: F.abs(p - q)), F.lit(0), lambda s, v: s + v)
     pairs = staged(pairs.join(x, "a").join(y, "b").where(9 * differ <= F.col("n_a") + F.col("n_b")).select("a", "b"), "pairs")
-    regions = staged(met.where("region is not null").select("region", F.col("a").alias("rep")).distinct().withColumn("label", F.col("rep")), "regions")
+    regions = staged(met.where("region is not null").select("region", F.col("a").alias("rep")).distinct(), "regions")
 
     # Sets of those documents only that take part, from their texts.
     needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(regions.select("rep")).distinct()

@@ -96,7 +96,7 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     members = classes.select(F.col("paragraph").alias("rep"), "n", F.explode("bands").alias("shingle"))
     met = staged(members.repartition("shingle").sortWithinPartitions("shingle", "n").mapInArrow(_pairs_and_regions, "region long, a long, b long"), "met")
     pairs = staged(met.where("region is null").select("a", "b").distinct(), "pairs")
-    regions = staged(met.where("region is not null").select("region", F.col("a").alias("rep")).distinct().withColumn("label", F.col("rep")), "regions")
+    regions = staged(met.where("region is not null").select("region", F.col("a").alias("rep")).distinct(), "regions")
 
     needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(regions.select("rep")).distinct()
     wanted = classes.join(needed, F.col("paragraph") == F.col("rep")).select("rep", "first.*")
