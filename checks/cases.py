@@ -56,6 +56,12 @@ COST_TOP = """
     QUALIFY ROW_NUMBER() OVER (PARTITION BY tracking_number
         ORDER BY original_cost DESC, customer_cost DESC, marked_up_cost DESC, fuel_surcharge_cost DESC) = 1"""
 
+def rate_on_day(fee: str) -> str:
+    day = "COALESCE(CAST(t.trans_at_utc AS DATE), DATE '0001-01-01')"
+    chosen = f"list_filter(r.rates, lambda x: x.fee = '{fee}' AND {day} >= x.since AND {day} < x.until)"
+    return f"COALESCE(list_extract(list_transform({chosen}, lambda x: x.rate), 1), 0)"
+
+
 BOUGHT = f"""
     SELECT m.*, t.reference_id AS paid_id, CAST(t.trans_at_utc AS DATE) AS paid_on, d.parsed_domain,
            {z('t.discount_value')} AS disc, {z('t.coupon_discount_value')} AS coup,
@@ -63,20 +69,20 @@ BOUGHT = f"""
            {z('m.fee_unit_price_krw')} * {z('m.quotation_quantity')} AS g,
            {z('m.fee_handling_fee_usd')} AS hand, {z('m.fee_domestic_shipping_price_usd')} AS dom,
            COALESCE(m.last_status = 'CANCELED', FALSE) AS gone,
-           {z('rp.rate')} AS pg_rate, {z('rs.rate')} AS service_rate, {z('rv.rate')} AS surtax_rate,
-           {z('rb.rate')} AS vendor_rate,
-           CASE WHEN m.market_id = 22 THEN 0 ELSE {z('rb.rate')} END AS vendor_child_rate
+           {rate_on_day('pg')} AS pg_rate, {rate_on_day('service')} AS service_rate, {rate_on_day('surtax')} AS surtax_rate,
+           {rate_on_day('vendor')} AS vendor_rate,
+           CASE WHEN m.market_id = 22 THEN 0 ELSE {rate_on_day('vendor')} END AS vendor_child_rate
     FROM {{market_request}} m
     LEFT JOIN {{payment}} t ON m.request_id = t.reference_id
          AND t.pay_service IN ('NewWeBuy', 'BUY_REQUEST') AND t.transaction_status = 'CNF'
     LEFT JOIN fx_daily x ON x.currency_date = CAST(t.trans_at_utc AS DATE)
     LEFT JOIN {{request_domain}} d ON d.buy_request_id = m.request_id
-    """ + "\n".join(
-    f"""LEFT JOIN rate_table {a} ON {a}.fee = '{fee}' AND {a}.market_id = m.market_id
-         AND COALESCE(CAST(t.trans_at_utc AS DATE), DATE '0001-01-01') >= {a}.since
-         AND COALESCE(CAST(t.trans_at_utc AS DATE), DATE '0001-01-01') < {a}.until"""
-    for a, fee in [("rp", "pg"), ("rs", "service"), ("rv", "surtax"), ("rb", "vendor")]
-)
+    LEFT JOIN market_rates r ON r.market_id = m.market_id"""
+
+# One row per market, so that the join above is by equality alone; the date is looked up in its list.
+MARKET_RATES = """
+    SELECT market_id, list({'fee': fee, 'since': since, 'until': until, 'rate': rate}) AS rates FROM rate_table GROUP BY market_id"""
+
 
 # Goods amounts of one purchase row b. KRW terms of children are rounded one by one.
 FEE = {f: f"b.g * b.{f}_rate" for f in ["pg", "service", "surtax", "vendor", "vendor_child"]}
@@ -131,7 +137,9 @@ ITEM_SUMS = f"""
     GROUP BY c.package_id"""
 
 PARENT = {
-    3: """SELECT DISTINCT p.* FROM {{package}} p WHERE p.package_type IN ('REPACK', 'CONSOLE')
+    3: """SELECT DISTINCT p.package_id, p.package_type, p.trans_at_utc, p.ship_at_kst, p.package_merchant, p.order_type, p.customer_id,
+          p.country_code, p.carrier, p.carrier_service, p.package_count, p.package_weight, p.dimension_weight, p.reference_type,
+          p.track_number FROM {{package}} p WHERE p.package_type IN ('REPACK', 'CONSOLE')
           AND CAST(p.trans_at_utc AS DATE) >= {start}
           AND p.package_id NOT IN (SELECT package_id FROM {{package}}
               WHERE package_type = 'INNER' AND reference_type <> 'ASN')""",
@@ -255,7 +263,7 @@ FEES_JOIN = "LEFT JOIN {package_fee} f ON f.package_id = p.package_id"
 
 FX_STEP = ("fx_daily", FX_DAILY)
 COST_STEP = ("cost_top", COST_TOP)
-BOUGHT_STEPS = [("rate_table", RATE_TABLE), FX_STEP, ("bought", BOUGHT)]
+BOUGHT_STEPS = [("rate_table", RATE_TABLE), ("market_rates", MARKET_RATES), FX_STEP, ("bought", BOUGHT)]
 
 
 def _case_1() -> tuple[str, list]:

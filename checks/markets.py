@@ -89,9 +89,13 @@ def _pct(now: str, before: str) -> str:
 
 def _trend(source: str, keys: str, more: str = "") -> str:
     w = f"PARTITION BY {keys} ORDER BY week_start"
+    # Every calendar week of a series from its first to its last, absent ones with NULL.
+    grid = f"""SELECT {keys}, CAST(UNNEST(generate_series(MIN(week_start), MAX(week_start), INTERVAL 7 DAY)) AS DATE) AS week_start
+        FROM {source} GROUP BY {keys}"""
     four = f"({w} ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)"
-    base = f"""SELECT *, LAG(n) OVER ({w}) AS pn, LAG(cents) OVER ({w}) AS pc, COUNT(*) OVER {four} AS k,
-        SUM(n) OVER {four} AS sn, SUM(cents) OVER {four} AS sc FROM {source}"""
+    base = f"""SELECT * FROM (SELECT *, LAG(n) OVER ({w}) AS pn, LAG(cents) OVER ({w}) AS pc, COUNT(*) OVER {four} AS k,
+        SUM(n) OVER {four} AS sn, SUM(cents) OVER {four} AS sc
+        FROM ({grid}) g LEFT JOIN {source} s USING ({keys}, week_start)) WHERE n IS NOT NULL"""
     figures = f"""SELECT *, {_pct('n', 'pn')} AS nw, {_pct('cents', 'pc')} AS rw, {_pct('n * k', 'sn')} AS na, {_pct('cents * k', 'sc')} AS ra FROM ({base})"""
     verdict = lambda w_, a: (
         f"CASE WHEN {w_} IS NULL THEN NULL WHEN {w_} <= -20 THEN 'crisis' WHEN {w_} >= 20 THEN 'surge'"
@@ -141,13 +145,13 @@ def package_mix() -> str:
         """SELECT package_type, CAST(date_trunc('week', day) AS DATE) AS week_start, COUNT(*) AS n,
         SUM(CAST(revenue * 100 AS BIGINT)) AS cents FROM {weekly_orders} GROUP BY ALL""",
     )
-    w = "(PARTITION BY package_type ORDER BY week_start)"
     return with_views(
         f"""SELECT package_type, CAST(week_start AS VARCHAR) AS week_start, n, CAST(cents AS DOUBLE) / 100 AS revenue,
         {_pct('n', 'pn')} AS n_wow_pct, {_pct('cents', 'pc')} AS revenue_wow_pct,
         {half_even('n * 100', 'tn')} AS n_share_pct, {half_even('cents * 100', 'tc')} AS revenue_share_pct
-        FROM (SELECT *, LAG(n) OVER {w} AS pn, LAG(cents) OVER {w} AS pc, SUM(n) OVER (PARTITION BY week_start) AS tn,
-              SUM(cents) OVER (PARTITION BY week_start) AS tc FROM m)""",
+        FROM (SELECT m.*, b.n AS pn, b.cents AS pc, SUM(m.n) OVER (PARTITION BY m.week_start) AS tn,
+              SUM(m.cents) OVER (PARTITION BY m.week_start) AS tc
+              FROM m LEFT JOIN m b ON b.package_type = m.package_type AND b.week_start = m.week_start - 7)""",
         base,
     )
 
@@ -193,8 +197,8 @@ def service_changes() -> str:
 def _moves(admins: bool) -> list[tuple[str, str]]:
     where = "" if admins else """WHERE customer_id NOT IN (SELECT customer_id FROM {customer}
         WHERE upper(suite_number) IN ('Z9996', 'Z9997', 'Z9998', 'Z9999'))"""
-    tiers = f"""SELECT customer_id, period, CASE WHEN total_amount >= 900000 THEN 'VIP' WHEN total_amount >= 600000 THEN 'Gold'
-        WHEN total_amount >= 350000 THEN 'Silver' WHEN total_amount >= 150000 THEN 'Bronze' ELSE 'Basic' END AS tier
+    tiers = f"""SELECT customer_id, period, CASE WHEN total_amount >= 900000 THEN 'VIP' WHEN total_amount >= 650000 THEN 'Gold'
+        WHEN total_amount >= 400000 THEN 'Silver' WHEN total_amount >= 200000 THEN 'Bronze' ELSE 'Basic' END AS tier
         FROM {{customer_year}} {where}"""
     moves = " UNION ALL ".join(
         f"""SELECT {a} AS from_period, {b} AS to_period, COALESCE(x.tier, 'Not available') AS from_state,

@@ -77,12 +77,6 @@ def kilograms(grams: str) -> str:
     return f"{grams} / 1000"
 
 
-def finite(c: str) -> str:
-    """NULL, NaN and infinities become zero."""
-    d = f"CAST({c} AS DOUBLE)"
-    return f"CASE WHEN {d} IS NULL OR isnan({d}) OR ABS({d}) = DOUBLE('Infinity') THEN 0D ELSE {d} END"
-
-
 def kst_minute(utc: str) -> str:
     """Minute stamp in Korean time of a UTC timestamp."""
     return f"CONCAT(date_format(from_utc_timestamp({utc}, 'Asia/Seoul'), 'yyyy-MM-dd HH:mm'), ' KST')"

@@ -44,7 +44,7 @@ PERCENTILE = "CAST(CEIL((below + (n + 1) / 2) / size * 100) AS BIGINT)"
 def ranked_values(df: DataFrame, group: list[str], value: str) -> DataFrame:
     """Distinct values of a group with ``n``, ``below`` and the group's ``size``.
 
-    Group columns take few values (a year, a metric name), so their sizes are broadcast;
+    Group columns take few values (a year, a metric name), whose sizes are joined;
     without a group the size is one number, a scalar subquery.
     """
     counts = value_counts(df, group, value)
@@ -52,7 +52,7 @@ def ranked_values(df: DataFrame, group: list[str], value: str) -> DataFrame:
     if not group:
         return rows.withColumn("size", counts.agg(F.sum("n")).scalar())
     sizes = counts.groupBy(*group).agg(F.sum("n").alias("size"))
-    return rows.join(F.broadcast(sizes), group)
+    return rows.join(sizes, group)
 
 
 def with_percentile_ranks(df: DataFrame, group: list[str], values: dict[str, str]) -> DataFrame:

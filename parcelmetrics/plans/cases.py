@@ -129,6 +129,13 @@ class CaseOptions:
     child_vendor_22: bool = False
 
 
+#: The parent attributes that the third case selects DISTINCT.
+CASE_3_COLUMNS = [
+    "package_id", "package_type", "trans_at_utc", "ship_at_kst", "package_merchant", "order_type", "customer_id", "country_code",
+    "carrier", "carrier_service", "package_count", "package_weight", "dimension_weight", "reference_type", "track_number",
+]
+
+
 class CaseQueries:
     """Lazily built case results over one set of warehouse tables."""
 
@@ -224,7 +231,7 @@ class CaseQueries:
 
     def case_3_parents(self) -> DataFrame:
         """Combined parcels without any child that is not announced."""
-        df = self._with_fees(self._parents(3).dropDuplicates())
+        df = self._with_fees(self._parents(3).dropDuplicates(CASE_3_COLUMNS))
         df = self._with_dimensions(self._with_costs(df, trimmed=False))
         return ledger(df, case="'3'", details={"inner_package_id": "0"}, no_goods=True)
 
@@ -232,7 +239,7 @@ class CaseQueries:
         """Announced children of case 3: dates, merchant, customer and route of the parent."""
         inherited = ["trans_at_utc", "ship_at_kst", "package_merchant", "customer_id", "country_code", "carrier", "carrier_service"]
         # Parents repeat only if every selected attribute differs somewhere, as in the parent rows.
-        parents = self._parents(3).dropDuplicates().select("package_id", *inherited)
+        parents = self._parents(3).dropDuplicates(CASE_3_COLUMNS).select("package_id", *inherited)
         kids = self.children.filter((F.col("inner_package_id") != 0) & (F.col("reference_type") == ASN)).drop(*inherited)
         df = splittable_join(kids, parents, "package_id", "package_id", spread="inner_package_id", how="inner")
         df = self._with_dimensions(self._with_item_fees(df, how="inner"))
@@ -309,16 +316,6 @@ class CaseQueries:
     def all(self) -> dict[int, DataFrame]:
         return {1: self.case_1(), 2: self.case_2(), 3: self.case_3(), 4: self.case_4(), 5: self.case_5()}
 
-    def parent_rows(self) -> dict[int, DataFrame]:
-        """The rows a roll-up keeps: cases 1 and 2, and the parents of 3, 4 and 5."""
-        return {
-            1: self.case_1(),
-            2: self.case_2(),
-            3: self.case_3_parents(),
-            4: self.case_4_parents(),
-            5: self.case_5_parents(),
-        }
-
 
 def case_table(cases: CaseQueries) -> DataFrame:
     """All rows of all cases in one frame; cases 4 and 5 share one pass."""

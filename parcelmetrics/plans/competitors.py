@@ -114,7 +114,8 @@ def parse_tariff(
 
 def merge_tariff(card: DataFrame, tariff: DataFrame) -> DataFrame:
     """Insert or replace the tariff's fees on grid points the card already has."""
-    grid = card.select("country", F.bround("weight", 1).alias("weight")).distinct()
+    card = card.withColumn("weight", F.bround("weight", 1))
+    grid = card.select("country", "weight").distinct()
     new = tariff.join(grid, GRID, "left_semi").select(*RATE_KEY, "fee")
     kept = card.join(new.select(*RATE_KEY), RATE_KEY, "left_anti").select(*RATE_KEY, "fee")
     return kept.unionByName(new)

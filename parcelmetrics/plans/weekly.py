@@ -52,17 +52,20 @@ def average_order(revenue: str, n: str) -> str:
 def weekly_trend(series: DataFrame, keys: Sequence[str], verdicts: Verdicts | None = None) -> DataFrame:
     """Week over week and against the four weeks before, which leave the current week out.
 
-    Average order value over several weeks is revenue over count of those weeks, not a mean
-    of weekly averages. A service has one row per week, so its window is bounded by the
-    calendar.
+    Weeks are calendar weeks: there is no change against a week before without payments, and
+    weeks without payments count as zero in the average once the series has begun. Average
+    order value over several weeks is revenue over count of those weeks, not a mean of weekly
+    averages. A service has one row per week, so its window is bounded by the calendar.
     """
-    weekly = Window.partitionBy(*keys).orderBy("week_start")
-    four = weekly.rowsBetween(-4, -1)
+    day = F.datediff("week_start", F.lit("1970-01-01"))
+    weekly = Window.partitionBy(*keys).orderBy(day)
+    prior, four = weekly.rangeBetween(-7, -7), weekly.rangeBetween(-28, -7)
+    begun = F.min("week_start").over(Window.partitionBy(*keys))
     df = series.select(*keys, "week_start", "n", "revenue").withColumns(
         {
-            "prior_n": F.lag("n").over(weekly),
-            "prior_revenue": F.lag("revenue").over(weekly),
-            "_weeks": F.count(F.lit(1)).over(four),
+            "prior_n": F.sum("n").over(prior),
+            "prior_revenue": F.sum("revenue").over(prior),
+            "_weeks": F.least(F.lit(4), F.floor(F.datediff("week_start", begun) / 7)).cast("long"),
             "_sum_n": F.sum("n").over(four),
             "_sum_revenue": F.sum("revenue").over(four),
         }

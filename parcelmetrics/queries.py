@@ -118,7 +118,7 @@ def _goods_per_parent(q: CaseQueries) -> DataFrame:
 PLATFORMS = competitors.Platforms(own=["own"], competitors=["rival_a", "rival_b"])
 PLATFORMS_MERGED = competitors.Platforms(own=["own"], competitors=["rival_a", "rival_b", "rival_c"])
 PERIODS = [("p1998", "1998-01-01", "1998-12-31"), ("p1999", "1999-01-01", "1999-12-31")]
-TIER_THRESHOLDS = {"Bronze": 150000, "Silver": 350000, "Gold": 600000, "VIP": 900000}
+TIER_THRESHOLDS = {"Bronze": 200000, "Silver": 400000, "Gold": 650000, "VIP": 900000}
 TIER_PAIRS = [(1996, 1997), (1997, 1998), (1996, 1998)]
 
 

@@ -107,24 +107,26 @@ VIEWS: dict[str, str] = {
                1, CONCAT('stall ', CAST(partkey % 50 AS STRING))
         FROM {{child}}""",
     "package_fee": f"""
-        SELECT o_orderkey AS package_id, {_fees('o_orderkey')}
-        FROM {{orders}} WHERE o_orderkey % 39 <> 0""",
+        SELECT CASE WHEN o_orderkey % 39 = 0 THEN -1 - o_orderkey ELSE o_orderkey END AS package_id, {_fees('o_orderkey')}
+        FROM {{orders}}""",
     "package_fee_item": f"""
-        SELECT child_id AS inner_package_id, {_fees('child_id')}
-        FROM {{child}} WHERE child_id % 21 <> 0""",
+        SELECT CASE WHEN child_id % 21 = 0 THEN -1 - child_id ELSE child_id END AS inner_package_id, {_fees('child_id')}
+        FROM {{child}}""",
     "shipping_cost": """
-        SELECT CASE WHEN l_linenumber = 2 AND l_orderkey % 6 = 0 THEN CONCAT(' T', CAST(l_orderkey AS STRING), ' ')
+        SELECT CASE WHEN l_orderkey % 7 = 0 THEN CONCAT('U', CAST(l_orderkey AS STRING))
+                    WHEN l_linenumber = 2 AND l_orderkey % 6 = 0 THEN CONCAT(' T', CAST(l_orderkey AS STRING), ' ')
                     ELSE CONCAT('T', CAST(l_orderkey AS STRING)) END AS tracking_number,
                CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(1.25 AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS customer_cost,
                CAST(l_extendedprice AS DECIMAL(18,2)) AS original_cost,
                CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS fuel_surcharge_cost,
                CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS marked_up_cost
-        FROM {lineitem} WHERE l_orderkey % 7 <> 0""",
+        FROM {lineitem}""",
     "currency": """
-        SELECT CAST(o_orderdate AS DATE) AS currency_date,
+        SELECT CASE WHEN EXTRACT(DAY FROM o_orderdate) % 10 = 7 THEN CAST(o_orderdate + INTERVAL 36500 DAY AS DATE)
+                    ELSE CAST(o_orderdate AS DATE) END AS currency_date,
                CAST(CAST(120000 + (o_orderkey * 7) % 30000 AS DOUBLE) / 100 AS DECIMAL(10,2)) AS origin_usd_krw,
                CAST(CAST(118000 + (o_orderkey * 11) % 30000 AS DOUBLE) / 100 AS DECIMAL(10,2)) AS usd_krw
-        FROM {orders} WHERE EXTRACT(DAY FROM o_orderdate) % 10 <> 7""",
+        FROM {orders}""",
     "customer": """
         SELECT c_custkey AS customer_id,
                CASE WHEN c_custkey = 3 THEN 'z9998'
@@ -133,9 +135,9 @@ VIEWS: dict[str, str] = {
                     ELSE CONCAT('S', CAST(c_custkey AS STRING)) END AS suite_number
         FROM {customer}""",
     "country": f"""
-        SELECT SUBSTR('{COUNTRY_CODES}', CAST(1 + 2 * n_nationkey AS INT), 2) AS country_code,
+        SELECT CASE WHEN n_nationkey = 20 THEN '--' ELSE SUBSTR('{COUNTRY_CODES}', CAST(1 + 2 * n_nationkey AS INT), 2) END AS country_code,
                n_name AS name_en, CONCAT('KR ', n_name) AS name_kr
-        FROM {{nation}} WHERE n_nationkey <> 20""",
+        FROM {{nation}}""",
     "buy_base": """
         SELECT o_orderkey * 10 AS request_id, o_orderkey AS package_id, o_custkey AS customer_id,
                o_orderdate, o_orderkey AS seed, CAST(o_totalprice AS DECIMAL(18,2)) AS price,
@@ -145,7 +147,7 @@ VIEWS: dict[str, str] = {
         SELECT child_id, o_orderkey, o_custkey, o_orderdate, seed, price, quantity
         FROM {child} WHERE mix IN (1, 2)""",
     "market_request": f"""
-        SELECT request_id,
+        SELECT CASE WHEN seed % 17 = 0 THEN -1 - request_id ELSE request_id END AS request_id,
                CASE WHEN seed % 47 = 0 THEN package_id + 1 ELSE package_id END AS package_id,
                CASE WHEN seed % 10 = 0 THEN customer_id + 1 ELSE customer_id END AS customer_id,
                CAST(1 + seed % 34 AS INT) AS market_id,
@@ -158,21 +160,21 @@ VIEWS: dict[str, str] = {
                CONCAT('item ', CAST(seed % 1000 AS STRING)) AS item_description,
                CASE WHEN seed % 2 = 0 THEN NULL ELSE CONCAT('customs item ', CAST(seed % 1000 AS STRING)) END AS customs_item_description,
                CONCAT('category ', CAST(seed % 12 AS STRING)) AS customs_category
-        FROM {{buy_base}} WHERE seed % 17 <> 0""",
+        FROM {{buy_base}}""",
     "payment": f"""
-        SELECT request_id AS reference_id,
+        SELECT CASE WHEN seed % 19 = 0 THEN -1 - request_id ELSE request_id END AS reference_id,
                CASE WHEN seed % 5 = 0 THEN 'NewWeBuy' WHEN seed % 31 = 0 THEN 'SHIPPING' ELSE 'BUY_REQUEST' END AS pay_service,
                CASE WHEN seed % 29 = 0 THEN 'PENDING' ELSE 'CNF' END AS transaction_status,
                o_orderdate - INTERVAL 40 HOUR AS trans_at_utc,
                {_usd('(seed * 5) % 300')} AS discount_value,
                CASE WHEN seed % 3 = 0 THEN NULL ELSE {_usd('seed % 150')} END AS coupon_discount_value
-        FROM {{buy_base}} WHERE seed % 19 <> 0
+        FROM {{buy_base}}
         UNION ALL
         SELECT request_id, 'BUY_REQUEST', 'CNF', o_orderdate - INTERVAL 60 HOUR, {_usd('seed % 90')}, NULL
         FROM {{buy_base}} WHERE seed % 23 = 0""",
     "request_domain": """
-        SELECT request_id AS buy_request_id, CONCAT('shop', CAST(seed % 50 AS STRING), '.example') AS parsed_domain
-        FROM {buy_base} WHERE seed % 4 <> 0""",
+        SELECT CASE WHEN seed % 4 = 0 THEN -1 - request_id ELSE request_id END AS buy_request_id, CONCAT('shop', CAST(seed % 50 AS STRING), '.example') AS parsed_domain
+        FROM {buy_base}""",
     # Fees on a grid of country, weight, carrier and platform; some are zero.
     "rate_card": f"""
         SELECT country, weight, carrier, platform, MAX(fee) AS fee
@@ -194,15 +196,15 @@ VIEWS: dict[str, str] = {
                p_partkey AS row_order
         FROM {{part}}""",
     "weekly_orders": """
-        SELECT o_orderpriority AS service,
+        SELECT CASE WHEN o_orderpriority = '5-LOW' AND EXTRACT(MONTH FROM o_orderdate) = 3 THEN '6-SPRING' ELSE o_orderpriority END AS service,
                CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'forwarding' ELSE 'purchase' END AS category,
                o_orderstatus AS package_type, CAST(o_orderdate AS DATE) AS day,
                CAST(o_totalprice AS DECIMAL(18,2)) AS revenue
-        FROM {orders} WHERE NOT (o_orderpriority = '5-LOW' AND EXTRACT(MONTH FROM o_orderdate) = 3)""",
+        FROM {orders}""",
     "customer_year": """
         SELECT o_custkey AS customer_id, CAST(EXTRACT(YEAR FROM o_orderdate) AS INT) AS period,
                SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS total_amount
-        FROM {orders} WHERE (o_orderkey * 7919) % 11 < 3
+        FROM {orders}
         GROUP BY o_custkey, CAST(EXTRACT(YEAR FROM o_orderdate) AS INT)""",
 }
 

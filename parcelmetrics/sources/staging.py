@@ -7,7 +7,6 @@ A Parquet table in the shared folder survives them and keeps column and partitio
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -15,19 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 _paths: dict[tuple[str, str], tuple[str, StructType]] = {}
-_local_folder: list[str] = []
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder the cluster names for checkpoints; a temporary one on a local master only."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for checkpoints, or one in the warehouse, which it shares as well."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        return None
-    if not _local_folder:
-        _local_folder.append(tempfile.mkdtemp(prefix="parcelmetrics-"))
-    return _local_folder[0]
+    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch").rstrip("/")
 
 
 def staged(
@@ -35,14 +27,14 @@ def staged(
 ) -> DataFrame:
     """Read back the table of this name, writing it on first use in this application.
 
-    Without a shared folder the frame is returned as it is, lazily computed.
+    The table goes when the driver's JVM ends.
     """
     key = (spark.sparkContext.applicationId, name)
     folder = shared_folder(spark)
-    if folder is None:
-        return build()
     if key not in _paths:
         path = f"{folder}/{key[0]}-{uuid.uuid4().hex}"
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
         df = build()
         df.write.partitionBy(*partition_by).parquet(path)
         _paths[key] = (path, df.schema)

@@ -7,6 +7,7 @@ from decimal import Decimal
 
 import pytest
 
+from parcelmetrics.sources.sample import SampleViews
 from parcelmetrics.plans import competitors, tiers, weekly
 
 PLATFORMS = competitors.Platforms(own=["own"], competitors=["rival"])
@@ -51,6 +52,28 @@ def test_tariff_merge_replaces_and_adds(spark):
     assert got == [("JP", 0.5, "DHL", "new", 30), ("JP", 0.5, "EMS", "new", 20), ("JP", 0.5, "EMS", "own", 1), ("KR", 0.5, "EMS", "new", 3)]
 
 
+def test_tariff_merge_rounds_the_card_once(spark):
+    base = card(spark, [("JP", 0.30000000000000004, "EMS", "own", 1), ("JP", 0.5, "EMS", "own", 2)])
+    got = sorted(tuple(r) for r in competitors.merge_tariff(base, card(spark, [("JP", 0.3, "EMS", "own", 9)])).collect())
+    assert got == [("JP", 0.3, "EMS", "own", 9), ("JP", 0.5, "EMS", "own", 2)]
+
+
+def test_weekly_trend_goes_by_the_calendar(spark):
+    weeks = [(date(2024, 1, 1), 10), (date(2024, 1, 8), 20), (date(2024, 1, 29), 30), (date(2024, 2, 5), 40)]
+    series = spark.createDataFrame([("s", w, n, n) for w, n in weeks], "service string, week_start date, n long, revenue long")
+    got = {r.week_start: r for r in weekly.weekly_trend(series, ["service"]).collect()}
+    assert [got[w].prior_n for w, _ in weeks] == [None, 10, None, 30]
+    # Of the four weeks before, those without payments count as zero.
+    assert [got[w].n_avg4 for w, _ in weeks] == [None, 10, 7.5, 12.5]
+
+
+def test_tier_views_count_every_order(spark):
+    views = SampleViews(spark, "/root/testdata/sf0.001")
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").selectExpr("SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS s", "COUNT(*) AS n").first()
+    assert views["customer_year"].selectExpr("SUM(total_amount)").first()[0] == orders.s
+    assert views["weekly_orders"].count() == orders.n
+
+
 def test_volumes_zero_and_untouched(spark):
     rows = spark.createDataFrame(
         [(1, "JP", 700.0, "DHL", None, date(2025, 1, 1)), (1, "JP", 700.0, "EMS", None, date(2025, 12, 31)),

@@ -50,7 +50,6 @@ def test_scalar_helpers(spark):
     assert value(labels.in_currency("2900", "CAST(NULL AS DOUBLE)", "1450")) == 2.0
     assert value(labels.in_currency("2900", "3D", "1450")) == 3.0
     assert value(labels.kilograms("2500")) == 2.5
-    assert value(labels.finite("DOUBLE('NaN')")) == 0 and value(labels.finite("DOUBLE('-Infinity')")) == 0
     assert value(labels.kst_minute("TIMESTAMP '2026-03-20 01:30:00'")) == "2026-03-20 10:30 KST"
     assert str(value(labels.reporting_week("'2026-03-20'"))) == "2026-03-09"
     assert str(value(labels.reporting_week("'2026-03-23'"))) == "2026-03-16"
