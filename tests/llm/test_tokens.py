@@ -98,5 +98,5 @@ def test_plan_uses_every_piece_once():
         used = np.zeros(2049, np.int64)
         for lengths, repeats in packing.plan(histogram):
             assert sum(lengths) <= 2048
-            np.add.at(used, lengths, repeats)
+            np.add.at(used, list(lengths), repeats)
         assert (used[1:] == histogram[1:]).all()
