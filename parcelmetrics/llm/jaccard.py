@@ -6,8 +6,9 @@ fifth of its shingles, so the window of pivots that a document must be sent to i
 more. Documents of one pivot are its region. Regions with equal members are one.
 
 Small regions give pairs within the window of set sizes. Other pivots prune these: for any part P of all shingles,
-| |x & P| - |y & P| | bounds the difference of x and y by the triangle inequality, and 64 parts bound its sum. What is left
-is compared exactly. Large regions are joined recursively: document pivots make Voronoi cells, a document also goes to all
+| |x & P| - |y & P| | bounds the difference of x and y by the triangle inequality, and 64 parts bound its sum; then so do
+the parities of as many small parts as twice the shingles. What is left is compared exactly: each document first with the
+partner that has most partners, and after that only what these links don't connect. Large regions are joined recursively: document pivots make Voronoi cells, a document also goes to all
 cells q with d(x, q) <= d(x, p) + 2 * 0.2, and whatever one pivot already connects is not compared again. A region too large
 for a task first loses, round by round, what a pivot connects; regions that don't shrink are compared in blocks.
 
@@ -35,6 +36,8 @@ SLOT_BITS, PARTS = 20, 64
 #: Members of a small region, of one that a task joins, pivots of a recursion, and its smallest share that still helps.
 SMALL, LARGE, PIVOTS, SHRINK = 64, 4096, 8, 0.8
 LINK, EPSILON = 0.8, 0.2
+#: Odd factor between the words of a shingle.
+STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -63,8 +66,9 @@ def shingles(text: str | None, hashes: WordHashes, width: int = WORDS) -> np.nda
     n = len(each) - width + 1
     out = np.full(n, width, np.uint64)
     for k in range(width):
-        out = mixed(out * np.uint64(31) + each[k : k + n])
-    return np.unique(out)
+        out = out * STEP + each[k : k + n]
+    out = np.sort(mixed(out))
+    return out[np.append(True, out[1:] != out[:-1])]
 
 
 def linked(common: int, n: int, m: int) -> bool:
@@ -92,26 +96,72 @@ def frequent_slots(rows: DataFrame) -> np.ndarray:
     return level
 
 
+def parities(own: np.ndarray) -> bytes:
+    """For each of at least twice as many parts as there are shingles, whether it has an odd number of them, as bits."""
+    size = max(64, 1 << (2 * len(own) - 1).bit_length())
+    return np.packbits(np.bincount((own & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1, bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """A lower bound of the number of shingles that only one of two sets has, from their :func:`parities`."""
+    p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    size = min(len(p), len(q))  # parts of the larger number fold into those of the smaller
+    p, q = (np.bitwise_xor.reduce(v.reshape(-1, size), 0) for v in (p, q))
+    return int(np.bitwise_count(p ^ q).sum())
+
+
 def _profiles(rows: DataFrame, level: np.ndarray) -> DataFrame:
-    """(doc_id, n, set_key, first: shingles of its window, parts: how many of its shingles fall in each part)."""
+    """(doc_id, n, set_key, first: shingles of its window, parts: how many of its shingles fall in each part, bits)."""
     sent = rows.sparkSession.sparkContext.broadcast(level)  # a byte for each slot
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in small_batches(batches, "text"):
-            keys, sizes, first, parts = [], [], [], []
+            keys, sizes, first, parts, bits = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 own = shingles(text, hashes)
                 n = len(own)
                 keys.append(xxhash.xxh3_128_digest(own.tobytes()))
                 sizes.append(n)
-                order = np.lexsort((own, sent.value[(own >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]))
+                order = np.argsort(sent.value[(own >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], kind="stable")
                 first.append(own[order[: n - -(-4 * n // 5) + 1]].astype(np.int64) if n else np.zeros(0, np.int64))
                 parts.append(np.bincount((own % np.uint64(PARTS)).astype(np.int64), minlength=PARTS).astype(np.int32))
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(first, pa.list_(pa.int64())), pa.array(parts, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "set_key", "first", "parts"])
+                bits.append(parities(own))
+            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(first, pa.list_(pa.int64())), pa.array(parts, pa.list_(pa.int32())), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "set_key", "first", "parts", "bits"])
+
+    return rows.mapInArrow(profile, "doc_id long, n long, set_key binary, first array<long>, parts array<int>, bits binary")
+
+
+def _near_enough(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) that the parities of their parts don't rule out."""
 
-    return rows.mapInArrow(profile, "doc_id long, n long, set_key binary, first array<long>, parts array<int>")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "x"):
+            sizes = zip(*(batch.column(c).to_pylist() for c in ("n_a", "n_b", "x", "y")))
+            keep = np.array([9 * least_difference(x, y) <= n + m for n, m, x, y in sizes], bool)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    x, y = (classes.select(F.col("rep").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(bits)) for end, bits in (("a", "x"), ("b", "y")))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "n_a", "n_b", "x", "y").mapInArrow(compare, "a long, b long")
+
+
+def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Arrays (shingle, n, rep) of whole runs, many runs at a time; a run over several batches is held until it ends."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = tuple(batch.column(c).to_numpy() for c in ("shingle", "n", "rep"))
+        last = int(np.searchsorted(columns[0], columns[0][-1]))
+        if last == 0 and held and held[0][0][0] == columns[0][0]:
+            held.append(columns)
+            continue
+        ended = [*held, tuple(c[:last] for c in columns)]
+        yield tuple(np.concatenate(c) for c in zip(*ended))
+        held = [tuple(c[last:] for c in columns)]
+    if held:
+        yield tuple(np.concatenate(c) for c in zip(*held))
 
 
 def _pairs_and_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,28 +172,28 @@ def _pairs_and_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         none = pa.nulls(len(a), pa.int64())
         return pa.RecordBatch.from_arrays([none if region is None else pa.array(np.full(len(a), region)), pa.array(a), none if b is None else pa.array(b)], names)
 
-    left, right, held = [], [], 0
-    for run in runs(batches, ["shingle"]):
-        m = run.num_rows
-        if m < 2:
+    for shingle, n, rep in _whole_runs(batches):
+        if not len(shingle):
             continue
-        reps, sizes = run.column("rep").to_numpy(), run.column("n").to_numpy()
-        if m > SMALL:
-            members = np.sort(reps)
+        starts = np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1]))
+        lengths = np.diff(np.append(starts, len(shingle)))
+        for start, m in zip(starts[lengths > SMALL], lengths[lengths > SMALL]):
+            members = np.sort(rep[start : start + m])
             yield rows(int(xxhash.xxh3_64_intdigest(members.tobytes()) >> 1), members, None)
-            continue
-        i, j = np.triu_indices(m, 1)
-        near = 5 * sizes[i] >= 4 * sizes[j]  # sorted by size
-        left.append(np.minimum(reps[i], reps[j])[near])
-        right.append(np.maximum(reps[i], reps[j])[near])
-        held += int(near.sum())
-        if held > 100_000:
-            both = np.unique(np.stack([np.concatenate(left), np.concatenate(right)], 1), axis=0)
-            yield rows(None, both[:, 0], both[:, 1])
-            left, right, held = [], [], 0
-    if left:
-        both = np.unique(np.stack([np.concatenate(left), np.concatenate(right)], 1), axis=0)
-        yield rows(None, both[:, 0], both[:, 1])
+        left, right = [], []
+        for m in np.unique(lengths[(lengths > 1) & (lengths <= SMALL)]):  # all regions of one size together
+            i, j = np.triu_indices(m, 1)
+            at = starts[lengths == m, None]
+            i, j = (at + i).ravel(), (at + j).ravel()
+            near = 5 * n[i] >= 4 * n[j]  # sorted by size
+            left.append(np.minimum(rep[i], rep[j])[near])
+            right.append(np.maximum(rep[i], rep[j])[near])
+        if left:
+            a, b = np.concatenate(left), np.concatenate(right)
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
+            yield rows(None, a[new], b[new])
 
 
 def distances(sets: list[np.ndarray], pivot: np.ndarray) -> np.ndarray:
@@ -253,11 +303,8 @@ def _shrunk(members: DataFrame, sets: DataFrame, salts: int) -> tuple[DataFrame,
     return edges, left.select("region", "rep", F.when(near, F.col("pivot")).otherwise(F.col("label")).alias("label"))
 
 
-def verified_edges(pairs: DataFrame, regions: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) edges that connect all linked of ``pairs`` (a, b) and of the members (region, rep, label) of ``regions``.
-
-    ``sets`` has (rep, shingles: sorted hashes as bytes) of all that take part.
-    """
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) that link. The set of ``a`` travels to that of ``b``."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "x"):
@@ -265,9 +312,40 @@ def verified_edges(pairs: DataFrame, regions: DataFrame, sets: DataFrame) -> Dat
             keep = np.array([linked(len(np.intersect1d(p, q, assume_unique=True)), len(p), len(q)) for p, q in zip(left, right)], bool)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
-    edges = [both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")]
+    met = sets.join(pairs.select("b").distinct(), F.col("rep") == F.col("b"), "left_semi")
+    both = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")).join(pairs, "a").join(met.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+
 
+def _stars(pairs: DataFrame) -> DataFrame:
+    """Of ``pairs`` one for each document: (a, b), b being its partner with most partners."""
+    ends = pairs.select("a", "b").union(pairs.select("b", "a"))
+    partners = ends.groupBy(F.col("a").alias("b")).agg(F.count("*").alias("partners"))
+    hub = ends.join(partners, "b").groupBy("a").agg(F.max(F.struct("partners", "b")).alias("hub")).select("a", F.col("hub.b").alias("b"))
+    # Two that chose each other meet once.
+    other = hub.select(F.col("b").alias("a"), F.col("a").alias("b"), F.lit(True).alias("mutual"))
+    return hub.join(other, ["a", "b"], "left").where("mutual is null or a < b").select("a", "b")
+
+
+def verified_edges(pairs: DataFrame, regions: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) edges that connect all linked of ``pairs`` (a, b) and of the members (region, rep, label) of ``regions``.
+
+    ``sets`` has (rep, shingles: sorted hashes as bytes) of all that take part. Each document of ``pairs`` first meets one
+    hub, so that its set travels once; then only pairs and regions that these links don't connect are compared.
+    """
+    stars = staged(_stars(pairs), "stars")
+    found = staged(_verified(stars, sets), "hub-links")
+    class_of = staged(components(found), "hub-classes")
+    a, b = (class_of.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}")) for end in ("a", "b"))
+    rest = pairs.select("a", "b").join(a, "a", "left").join(b, "b", "left").where("coalesce(of_a, a) <> coalesce(of_b, b)").select("a", "b")
+    met = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = staged(rest.join(met, ["a", "b"], "left_anti"), "rest")
+    edges = [found, _verified(rest, sets)]
+
+    own = class_of.select(F.col("id").alias("rep"), "component")
+    regions = staged(regions.join(own, "rep", "left").select("region", "rep", F.coalesce("component", "label").alias("label")), "regions")
+    apart = regions.groupBy("region").agg((F.min("label") < F.max("label")).alias("apart")).where("apart").select("region")
+    regions = regions.join(apart, "region")
     sizes = regions.groupBy("region").agg(F.count("*").alias("m"))
     before = None
     while True:
@@ -300,7 +378,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
     profiles = staged(_profiles(rows, frequent_slots(rows)), "profiles")
     usable = profiles.where("n > 0 and doc_id is not null")
-    classes = staged(usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("n", "first", "parts"), "doc_id").alias("x")).select("set_key", "rep", "x.*"), "classes")
+    classes = staged(usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("n", "first", "parts", "bits"), "doc_id").alias("x")).select("set_key", "rep", "x.*"), "classes")
 
     members = classes.select("rep", "n", F.explode("first").alias("shingle"))
     met = staged(members.repartition("shingle").sortWithinPartitions("shingle", "n").mapInArrow(_pairs_and_regions, "region long, a long, b long"), "met")
@@ -308,11 +386,12 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     x, y = classes.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("parts").alias("p_a")), classes.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("parts").alias("p_b"))
     differ = F.aggregate(F.zip_with("p_a", "p_b", lambda p, q: F.abs(p - q)), F.lit(0), lambda s, v: s + v)
     pairs = staged(pairs.join(x, "a").join(y, "b").where(9 * differ <= F.col("n_a") + F.col("n_b")).select("a", "b"), "pairs")
+    pairs = staged(_near_enough(pairs, classes), "near-pairs")
     regions = staged(met.where("region is not null").select("region", F.col("a").alias("rep")).distinct().withColumn("label", F.col("rep")), "regions")
 
     # Sets of those documents only that take part, from their texts.
     needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(regions.select("rep")).distinct()
-    some = rows.join(needed, F.col("doc_id") == F.col("rep")).select("rep", "text")
+    some = rows.join(needed, F.col("doc_id") == F.col("rep")).select("rep", "text").dropDuplicates(["rep"])
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -320,7 +399,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
             made = [shingles(t, hashes).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(made, pa.binary())], ["rep", "shingles"])
 
-    sets = staged(some.mapInArrow(shingle, "rep long, shingles binary").dropDuplicates(["rep"]), "sets")
+    sets = staged(some.mapInArrow(shingle, "rep long, shingles binary"), "sets")
 
     joined = verified_edges(pairs, regions, sets)
     found = components(joined)
