@@ -126,3 +126,13 @@ def test_fingerprints(spark):
         assert any((r.n_chars, r.edited_sha256) == w[:2] and abs(r.near_edited - w[2]) < 0.16 and abs(r.near_next - w[3]) < 0.16 for w in want[r.doc_id]), (r, want[r.doc_id])
     assert len({r.fingerprint for r in got}) == len({t or "" for _, t in rows})
     assert fingerprints.fingerprints(docs.limit(0)).count() == 0
+
+
+def test_parities_bound_the_difference_of_sets():
+    dice = np.random.default_rng(3)
+    for n, m, common in ((1, 1, 0), (5, 40, 3), (300, 290, 250), (4000, 900, 800)):
+        drawn = np.unique(dice.integers(0, 1 << 63, n + m, dtype=np.uint64))
+        dice.shuffle(drawn)
+        x, y = drawn[:n], np.append(drawn[:common], drawn[n : n + m - common])
+        assert jaccard.least_difference(jaccard.parities(x), jaccard.parities(x)) == 0
+        assert jaccard.least_difference(jaccard.parities(x), jaccard.parities(y)) <= n + m - 2 * common
