@@ -26,6 +26,10 @@ from pyspark.sql import types as T
 from parcelmetrics.llm.tokens import Ragged, SliceCache, int_lists, summed, with_column
 
 
+#: Bytes of text encoded together, and distinct chunks and words that a worker remembers; only memory and speed depend on them.
+BATCH_BYTES, REMEMBERED = 4_000_000, 250_000
+
+
 def byte_letters() -> list[str]:
     """The printable letter that stands for each byte in byte-level vocabularies."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -120,9 +124,6 @@ class WordVocabulary:
         self.end = spec["model"].get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max(*ids.values(), *self.special.values()) + 1
-        self.tokens: list[str] = [""] * size
-        for token, i in [*ids.items(), *self.special.items()]:
-            self.tokens[i] = token
         left, right = (np.array([ids[m[k]] for m in merges], np.int64) for k in (0, 1))
         self._merger = PairMerger(left, right, np.array([ids[a + b] for a, b in merges], np.int64), size)
         letters = byte_letters()
@@ -134,8 +135,8 @@ class WordVocabulary:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"]
         self._pattern = regex.compile(" |" + split)
         self._special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self._words = SliceCache(self._merge_words)
-        self._chunks = SliceCache(self._encode_chunks)
+        self._words = SliceCache(self._merge_words, REMEMBERED)
+        self._chunks = SliceCache(self._encode_chunks, REMEMBERED)
 
     def _merge_words(self, words: list) -> Ragged:
         # A word is bytes; a special token comes as its id.
@@ -195,10 +196,6 @@ class WordVocabulary:
         self._chunks.trim()
         return summed(lengths, counts), flat
 
-    def decode(self, ids: list[int] | None) -> str:
-        """The tokens of the ids with a space between, which is how a vocabulary without decoder is decoded."""
-        return " ".join(map(self.tokens.__getitem__, ids or ()))
-
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> WordVocabulary:
@@ -206,6 +203,23 @@ def vocabulary(path: str) -> WordVocabulary:
     return WordVocabulary(path)
 
 
+@lru_cache(maxsize=2)
+def tokens(path: str) -> list[str]:
+    """The vocabulary's tokens by id, which is all that decoding needs."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    ids = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec["added_tokens"]}}
+    by_id = [""] * (max(ids.values()) + 1)
+    for token, i in ids.items():
+        by_id[i] = token
+    return by_id
+
+
+def decoded(by_id: list[str], ids: list[int] | None) -> str:
+    """The tokens of the ids with a space between, which is how a vocabulary without decoder is decoded."""
+    return " ".join(map(by_id.__getitem__, ids or ()))
+
+
 def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the column ``ids`` (array of int) of the whole ``text``."""
 
@@ -213,14 +227,14 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "
         own = vocabulary(vocabulary_path)
         return lambda texts: int_lists(*own.encode(texts))
 
-    return with_column(df, ids, T.ArrayType(T.IntegerType()), text, make)
+    return with_column(df, ids, T.ArrayType(T.IntegerType()), text, make, BATCH_BYTES)
 
 
 def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with the column ``text`` decoded from ``ids``; null ids give an empty text."""
 
     def make():
-        own = vocabulary(vocabulary_path)
-        return lambda lists: pa.array([own.decode(x) for x in lists], pa.string())
+        by_id = tokens(vocabulary_path)
+        return lambda lists: pa.array([decoded(by_id, x) for x in lists], pa.string())
 
-    return with_column(df, text, T.StringType(), ids, make)
+    return with_column(df, text, T.StringType(), ids, make, BATCH_BYTES // 8)

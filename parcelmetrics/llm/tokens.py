@@ -37,8 +37,8 @@ def gather(starts: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndar
 class SliceCache:
     """Ids by key; new keys are encoded together by ``encode_new``, which returns lengths and ids in their order."""
 
-    def __init__(self, encode_new: Callable[[list], Ragged]):
-        self._encode_new = encode_new
+    def __init__(self, encode_new: Callable[[list], Ragged], most: int = CACHED_CHUNKS):
+        self._encode_new, self._most = encode_new, most
         self._clear()
 
     def _clear(self) -> None:
@@ -72,7 +72,7 @@ class SliceCache:
         return lengths, gather(self.starts[indices], lengths, self.flat)
 
     def trim(self) -> None:
-        if len(self.index) > CACHED_CHUNKS:
+        if len(self.index) > self._most:
             self._clear()
 
 
@@ -187,7 +187,7 @@ def small_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = 8_
             yield batch.slice(a, b - a)
 
 
-def with_column(df: DataFrame, name: str, kind: T.DataType, of: str, make: Callable[[], Callable[[list], pa.Array]]) -> DataFrame:
+def with_column(df: DataFrame, name: str, kind: T.DataType, of: str, make: Callable[[], Callable[[list], pa.Array]], most: int = 8_000_000) -> DataFrame:
     """``df`` with column ``name`` computed in Arrow batches from column ``of``; a column of that name is replaced.
 
     ``make`` runs in the worker and returns the function from the values of a batch to an Arrow array.
@@ -198,7 +198,7 @@ def with_column(df: DataFrame, name: str, kind: T.DataType, of: str, make: Calla
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         convert = make()
-        for batch in small_batches(batches, of):
+        for batch in small_batches(batches, of, most):
             made = convert(batch.column(of).to_pylist())
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], made], [*names, name])
 
