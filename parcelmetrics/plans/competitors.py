@@ -149,14 +149,17 @@ def shipments(cases: Mapping[int, DataFrame] | DataFrame) -> DataFrame:
     return rows
 
 
-def _in_volume_countries(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.col("country_code").isin(VOLUME_COUNTRIES))
+def _in_countries(rows: DataFrame, countries: Sequence[str]) -> DataFrame:
+    return rows.filter(F.col("country_code").isin(list(countries)))
 
 
-def volumes(rows: DataFrame, periods: Sequence[tuple[str, str, str]]) -> DataFrame:
+def volumes(
+    rows: DataFrame, periods: Sequence[tuple[str, str, str]], countries: Sequence[str] = VOLUME_COUNTRIES
+) -> DataFrame:
     """Distinct packages per period, country and weight group: in total and per carrier.
 
-    ``periods`` are (label, first day, last day), both days included. Packages are first
+    ``periods`` are (label, first day, last day), both days included; rows outside all of
+    them are left out before the periods are dealt out. Packages are first
     reduced to one row of carrier flags each, so the distinct counts are plain sums and a
     busy weight group is spread over its packages. Carriers without a column count in the
     total only.
@@ -164,7 +167,11 @@ def volumes(rows: DataFrame, periods: Sequence[tuple[str, str, str]]) -> DataFra
     labels = ", ".join(
         f"CASE WHEN trans_at_utc_package BETWEEN DATE '{a}' AND DATE '{b}' THEN '{label}' END" for label, a, b in periods
     )
-    tagged = _in_volume_countries(rows).selectExpr(
+    rows = _in_countries(rows, countries)
+    if periods:
+        first, last = min(a for _, a, _ in periods), max(b for _, _, b in periods)
+        rows = rows.filter(f"trans_at_utc_package BETWEEN DATE '{first}' AND DATE '{last}'")
+    tagged = rows.selectExpr(
         "package_id",
         "country_code AS country",
         f"{weight_group('dimension_weight')} AS weight",
@@ -180,10 +187,10 @@ def volumes(rows: DataFrame, periods: Sequence[tuple[str, str, str]]) -> DataFra
     )
 
 
-def carrier_diagnostics(rows: DataFrame) -> DataFrame:
+def carrier_diagnostics(rows: DataFrame, countries: Sequence[str] = VOLUME_COUNTRIES) -> DataFrame:
     """Carrier names seen, and whether a name occurs on rows without a carrier column."""
     return (
-        _in_volume_countries(rows)
+        _in_countries(rows, countries)
         .filter("carrier IS NOT NULL")
         .groupBy("carrier")
         .agg(F.expr(f"BOOL_OR({carrier_key()} = 'other') AS unmatched"))

@@ -86,6 +86,12 @@ def test_volumes_zero_and_untouched(spark):
     grid = spark.createDataFrame([("JP", 1.04), ("JP", 2.0), ("US", 0.5), ("JP", None)], "country string, weight double")
     placed = sorted(tuple(r) for r in competitors.rate_volumes(grid, volume).select("country", "weight", "total").collect())
     assert placed == [("JP", 1.04, 1), ("JP", 2.0, 0)]
+    assert competitors.volumes(rows, []).count() == 0
+    # A day between two periods belongs to neither, and the countries can be chosen.
+    apart = competitors.volumes(rows, [("early", "2025-01-01", "2025-04-30"), ("late", "2025-06-01", "2026-12-31")])
+    assert sorted(map(tuple, apart.select("period", "country", "total").collect())) == [("early", "JP", 1), ("late", "JP", 1), ("late", "US", 1)]
+    korea = competitors.volumes(rows, [("2025", "2025-01-01", "2025-12-31")], ["KR"])
+    assert [tuple(r) for r in korea.select("country", "total").collect()] == [("KR", 1)]
 
 
 # Published weekly figures: count and revenue of both categories, newest week first.
