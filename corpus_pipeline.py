@@ -34,8 +34,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without long lines that an earlier document has, or nearly has."""
-    return paragraphs.without_repeats(docs)
+    """Texts without runs of over 50 words that occur before, and without long lines that an earlier document nearly has."""
+    return paragraphs.without_passages(docs)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

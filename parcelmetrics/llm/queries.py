@@ -38,7 +38,7 @@ def op3_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.repeated_passages(_table(spark, sf_dir, "documents")).select("doc_id", "start", "end", "kept_doc_id")
+    return paragraphs.repeated_spans(_table(spark, sf_dir, "documents")).select("doc_id", "start", "end", "kept_doc_id")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

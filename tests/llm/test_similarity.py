@@ -136,3 +136,51 @@ def test_parities_bound_the_difference_of_sets():
         x, y = drawn[:n], np.append(drawn[:common], drawn[n : n + m - common])
         assert jaccard.least_difference(jaccard.parities(x), jaccard.parities(x)) == 0
         assert jaccard.least_difference(jaccard.parities(x), jaccard.parities(y)) <= n + m - 2 * common
+
+
+def covered_words(rows):
+    """By brute force (document, word) of all runs of 51 words that occur before, in the same text without overlap."""
+    first, out = {}, set()
+    for i, text in sorted(rows):
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        for p in range(len(words) - 50):
+            j, q = first.setdefault(tuple(words[p : p + 51]), (i, p))
+            if (i, p) != (j, q) and not (i == j and p < q + 51):
+                out |= {(i, p + k) for k in range(51)}
+    return out
+
+
+def test_runs_inside_lines_and_over_lines(spark):
+    dice = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    some = lambda n: [dice.choice(vocabulary) for _ in range(n)]
+    passages = [some(n) for n in (50, 51, 52, 54, 59, 80, 200)]
+
+    def broken(words, n):
+        return "".join(w + (" \n" if k % n == n - 1 else dice.choice([" ", "  ", "\t"])) for k, w in enumerate(words))
+
+    rows = []
+    for i in range(60):
+        parts = [broken(some(dice.randrange(90)), 1000)]
+        for _ in range(dice.randrange(3)):  # inside a longer line, or over short lines
+            parts += [broken(dice.choice(passages), dice.choice([7, 20, 38, 1000])), broken(some(dice.randrange(90)), 1000)]
+        rows.append((i, "é" * (i % 3) + " ".join(parts).replace("w1", "W1")))
+    rows += [(70, "same\n" * 300), (71, "same " * 120), (72, "a b c " * 60 + broken(passages[5][:70], 9)), (73, " ".join(vocabulary[:45] * 9)), (74, "x " + " ".join(vocabulary[:45] * 4)), (75, "")]
+    want = covered_words(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = paragraphs.repeated_spans(docs).collect()
+    texts, got = dict(rows), set()
+    for r in spans:
+        at = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", texts[r.doc_id])]
+        got |= {(r.doc_id, k) for k, (a, b) in enumerate(at) if r.start <= a and b <= r.end}
+    lines = set()
+    for r in paragraphs.repeated_passages(docs).collect():
+        at = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", texts[r.doc_id])]
+        lines |= {(r.doc_id, k) for k, (a, b) in enumerate(at) if r.start <= a and b <= r.end}
+    assert got == want | lines and len(want - lines) > 1000
+    ordered = sorted((r.doc_id, r.start, r.end) for r in spans)
+    assert all(a[0] < b[0] or a[2] < b[1] for a, b in zip(ordered, ordered[1:]))
+    left = {r.doc_id: r.text for r in paragraphs.without_passages(docs).collect()}
+    for i, text in rows:
+        assert left[i].split() == [w for k, w in enumerate(text.split()) if (i, k) not in got]
+    assert paragraphs.repeated_spans(docs.limit(0)).count() == 0
