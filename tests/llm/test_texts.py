@@ -105,3 +105,18 @@ def test_pipeline(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, kept, folder)
     assert packed.select("doc_id").distinct().count() == kept.select("doc_id").distinct().count()
     assert set(queries.QUERIES) >= {"pipeline", *[q for q in queries.QUERIES if q.startswith("op")]} and len(queries.QUERIES) == 11
+
+
+def test_template_inside_the_article(spark):
+    note = "<p>Read us every day for one coin.</p>"
+    made = lambda k, tag, n: f"<div>Site</div><{tag}><h2>Title {k}</h2>{note}" + "".join(f"<p>story {k} part {j} of {k * 7 + j}</p>" for j in range(n)) + f"<div><b>Always here</b></div></{tag}>"
+    rows = [(k, f"http://{tag}.example/{k}", made(k, tag, 2 + k % 3)) for tag in ("article", "section") for k in range(6)]
+    rows = [(100 * i, *r[1:]) for i, r in enumerate(rows)]
+    # Near copies of one text, which makes none of it template.
+    long = "".join(f"<p>Paragraph {k} is about thing number {k * k}.</p>" for k in range(9))
+    rows += [(5000 + k, f"http://copies.example/{k}", f"<article>{long}<p>Seen {k}</p></article>") for k in range(2)]
+    got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(12):
+        k = i % 6
+        assert got[100 * i].split("\n") == [f"Title {k}"] + [f"story {k} part {j} of {k * 7 + j}" for j in range(2 + k % 3)]
+    assert all(got[5000 + k].count("Paragraph") == 9 for k in range(2))
