@@ -120,3 +120,14 @@ def test_template_inside_the_article(spark):
         k = i % 6
         assert got[100 * i].split("\n") == [f"Title {k}"] + [f"story {k} part {j} of {k * 7 + j}" for j in range(2 + k % 3)]
     assert all(got[5000 + k].count("Paragraph") == 9 for k in range(2))
+
+
+def test_reference_page_of_each_layout():
+    a = [f"<div><table><tr><td>Menu<td>More</table><p>a{k} text {k}</div>" for k in range(3)]
+    b = [f"<ul><li>Shop<li>Help</ul><section><h2>b{k}</h2><p>word {k}</section>" for k in range(3)]
+    got = wrappers.main_texts(["", a[0], b[0], b[1], a[1], b[2], a[2]])
+    assert got == ["", "a0 text 0", "b0\nword 0", "b1\nword 1", "a1 text 1", "b2\nword 2", "a2 text 2"]
+    # One of 65 pages is not left without the others; a rare text in one place of many pages is no template.
+    pages = [f"<div><p>Menu</p><p>{'Again' if k < 2 else f'own {k}'} </p><p>x{k} y{k} z{k} u{k} v{k}</p></div>" for k in range(65)]
+    got = wrappers.main_texts(pages)
+    assert got[0] == "Again\nx0 y0 z0 u0 v0" and got[64] == "own 64\nx64 y64 z64 u64 v64"
