@@ -26,10 +26,12 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that shingles link, directly or not, the one with the least id; of repeated rows one."""
-    found = jaccard.jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy("text")
-    kept = docs.join(found, "doc_id").withColumn("nth", F.row_number().over(first)).where("nth = 1").select(docs.columns)
+    """Of texts that shingles link, directly or not, the one with the least id; of rows with equal id and text one."""
+    found = jaccard.text_components(docs).where("doc_id is not null and (first is null or (doc_id = first.doc_id and tie = first.tie))")
+    found = found.select("doc_id", F.col("tie").alias("tie_found")).distinct()
+    own = docs.withColumn("tie_found", F.xxhash64(whole_text()))
+    first = Window.partitionBy("doc_id", "tie_found").orderBy("text")
+    kept = own.join(found, ["doc_id", "tie_found"]).withColumn("nth", F.row_number().over(first)).where("nth = 1").select(docs.columns)
     return kept.unionByName(docs.where("doc_id is null"))
 
 

@@ -111,7 +111,7 @@ def least_difference(x: bytes, y: bytes) -> int:
 
 
 def _profiles(rows: DataFrame, level: np.ndarray) -> DataFrame:
-    """(doc_id, n, set_key, first: shingles of its window, parts: how many of its shingles fall in each part, bits)."""
+    """(doc_id, tie, n, set_key, first: shingles of its window, parts: how many of its shingles fall in each part, bits)."""
     sent = rows.sparkSession.sparkContext.broadcast(level)  # a byte for each slot
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,10 +127,10 @@ def _profiles(rows: DataFrame, level: np.ndarray) -> DataFrame:
                 first.append(own[order[: n - -(-4 * n // 5) + 1]].astype(np.int64) if n else np.zeros(0, np.int64))
                 parts.append(np.bincount((own % np.uint64(PARTS)).astype(np.int64), minlength=PARTS).astype(np.int32))
                 bits.append(parities(own))
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(first, pa.list_(pa.int64())), pa.array(parts, pa.list_(pa.int32())), pa.array(bits, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "set_key", "first", "parts", "bits"])
+            columns = [batch.column("doc_id"), batch.column("tie"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(first, pa.list_(pa.int64())), pa.array(parts, pa.list_(pa.int32())), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "n", "set_key", "first", "parts", "bits"])
 
-    return rows.mapInArrow(profile, "doc_id long, n long, set_key binary, first array<long>, parts array<int>, bits binary")
+    return rows.mapInArrow(profile, "doc_id long, tie long, n long, set_key binary, first array<long>, parts array<int>, bits binary")
 
 
 def _near_enough(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -373,12 +373,15 @@ def verified_edges(pairs: DataFrame, regions: DataFrame, sets: DataFrame) -> Dat
     return joined
 
 
-def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
+def text_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, tie: hash of its text, n, first: (doc_id, tie) of the least in its component) of every row.
+
+    Rows with one id and different texts are told apart. ``first`` is null where a row has no shingles or no id.
+    """
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).withColumn("tie", F.xxhash64("text"))
     profiles = staged(_profiles(rows, frequent_slots(rows)), "profiles")
     usable = profiles.where("n > 0 and doc_id is not null")
-    classes = staged(usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("n", "first", "parts", "bits"), "doc_id").alias("x")).select("set_key", "rep", "x.*"), "classes")
+    classes = staged(usable.groupBy("set_key").agg(F.min(F.struct("doc_id", "tie")).alias("least"), F.first(F.struct("n", "first", "parts", "bits")).alias("x")).select("set_key", F.xxhash64("set_key").alias("rep"), "least", "x.*"), "classes")
 
     members = classes.select("rep", "n", F.explode("first").alias("shingle"))
     met = staged(members.repartition("shingle").sortWithinPartitions("shingle", "n").mapInArrow(_pairs_and_regions, "region long, a long, b long"), "met")
@@ -391,7 +394,8 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
 
     # Sets of those documents only that take part, from their texts.
     needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(regions.select("rep")).distinct()
-    some = rows.join(needed, F.col("doc_id") == F.col("rep")).select("rep", "text").dropDuplicates(["rep"])
+    of = classes.join(needed, "rep").select("rep", "least.*")
+    some = rows.join(of, ["doc_id", "tie"]).select("rep", "text").dropDuplicates(["rep"])
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -403,6 +407,14 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
 
     joined = verified_edges(pairs, regions, sets)
     found = components(joined)
-    of = classes.join(found, F.col("rep") == F.col("id"), "left").select("set_key", F.coalesce("component", "rep").alias("of"))
-    out = profiles.select("doc_id", "n", "set_key").join(of, "set_key", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("of", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    of = classes.join(found, F.col("rep") == F.col("id"), "left").select("set_key", "least", F.coalesce("component", "rep").alias("of"))
+    first = of.groupBy("of").agg(F.min("least").alias("first"))
+    of = of.select("set_key", "of").join(first, "of").select("set_key", "first")
+    out = profiles.select("doc_id", "tie", "n", "set_key").join(of, "set_key", "left")
+    return out.select("doc_id", "tie", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("first")).alias("first"))
+
+
+def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document."""
+    found = text_components(docs, text, doc_id)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("first.doc_id", "doc_id").alias("component_id"))

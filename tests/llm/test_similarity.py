@@ -184,3 +184,15 @@ def test_runs_inside_lines_and_over_lines(spark):
     for i, text in rows:
         assert left[i].split() == [w for k, w in enumerate(text.split()) if (i, k) not in got]
     assert paragraphs.repeated_spans(docs.limit(0)).count() == 0
+
+
+def test_one_id_with_different_texts(spark):
+    import corpus_pipeline
+
+    line = lambda name, n=40: " ".join(f"{name}{k}" for k in range(n))
+    rows = [(1, line("a")), (2, line("b")), (2, line("c")), (3, line("b") + " more"), (4, line("c") + " more"), (5, line("a")), (5, line("z")), (2, line("b")), (6, None), (6, ""), (6, line("y")), (None, line("a"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.text or "") for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()}
+    assert got == {(1, line("a")), (2, line("b")), (2, line("c")), (5, line("z")), (6, ""), (6, line("y")), (None, line("a"))}
+    found = sorted((r.doc_id, r.component_id) for r in jaccard.jaccard_components(docs).collect() if r.doc_id in (3, 4, 5))
+    assert found == [(3, 2), (4, 2), (5, 1), (5, 5)]
