@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmetrics.llm import bpe, fingerprints, huffman, jaccard, neardup, packing, paragraphs, pii, toxicity, wrappers
+from parcelmetrics.llm import bpe, collocations, fingerprints, huffman, jaccard, neardup, packing, paragraphs, pii, toxicity, wrappers
+from parcelmetrics.llm import checks
 from parcelmetrics.llm.common import scratch_path
 from parcelmetrics.llm.tokens import public_path
 
@@ -73,6 +74,10 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,7 +95,8 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_personal_data": op9_personal_data,
     "op10_main_text": op10_main_text,
+    "op11_collocations": op11_collocations,
     "pipeline": pipeline,
 }
-#: None of these can be said in SQL; tests compare them with brute force, the tokenizers library or held-out labels.
-ORACLE_SQL: dict[str, str] = {}
+#: The others can't be said in SQL; tests compare them with brute force, the tokenizers library or held-out labels.
+ORACLE_SQL: dict[str, str] = {"op11_collocations": checks.COLLOCATIONS}
