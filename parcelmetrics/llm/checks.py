@@ -37,3 +37,41 @@ SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(
        CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
 FROM ranked WHERE rank <= 2000
 """
+
+
+def centroids(clusters: int = 40, rounds: int = 5, dimensions: int = 64) -> str:
+    """Lloyd rounds written out; a round is two steps, assignment and the new centroids."""
+
+    def assigned(n: int) -> str:
+        return f"""a{n} AS MATERIALIZED (
+  SELECT vec_id, arg_min(k, (distance, k)) AS k, min(distance) AS distance
+  FROM (SELECT v.vec_id, c.k, sum((v.x - c.x) * (v.x - c.x)) AS distance
+        FROM parts v JOIN c{n} c ON v.d = c.d GROUP BY v.vec_id, c.k)
+  GROUP BY vec_id)"""
+
+    def moved(n: int) -> str:
+        # // cuts towards zero; the floor of a negative mean is one less where something is left over.
+        return f"""c{n + 1} AS MATERIALIZED (
+  SELECT c.k, c.d, CASE WHEN m.n IS NULL THEN c.x ELSE m.s // m.n - CASE WHEN m.s % m.n < 0 THEN 1 ELSE 0 END END AS x
+  FROM c{n} c LEFT JOIN (
+    SELECT a.k, v.d, sum(v.x)::BIGINT AS s, count(*)::BIGINT AS n FROM a{n} a JOIN parts v ON a.vec_id = v.vec_id GROUP BY a.k, v.d) m
+  ON c.k = m.k AND c.d = m.d)"""
+
+    steps = ",\n".join(f"{assigned(n)},\n{moved(n)}" for n in range(rounds))
+    return f"""
+WITH kept AS (
+  SELECT vec_id, embedding FROM embeddings
+  WHERE len(embedding) = {dimensions} AND list_count(list_filter(embedding, lambda x: isfinite(x))) = {dimensions}),
+parts AS MATERIALIZED (
+  SELECT vec_id, d, CAST(floor(256 * CAST(embedding[d] AS DOUBLE)) AS BIGINT) AS x FROM kept, range(1, {dimensions} + 1) AS ds(d)),
+seeds AS (
+  SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS k FROM kept QUALIFY k < {clusters}),
+c0 AS MATERIALIZED (SELECT s.k, v.d, v.x FROM seeds s JOIN parts v ON s.vec_id = v.vec_id),
+{steps},
+{assigned(rounds)},
+hashes AS (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY k),
+inertias AS (SELECT k, sum(distance) AS own FROM a{rounds} GROUP BY k)
+SELECT a.vec_id, CAST(a.k AS INTEGER) AS cluster, CAST(a.distance AS BIGINT) AS distance, CAST(i.own AS BIGINT) AS cluster_inertia,
+       CAST((SELECT sum(own) FROM inertias) AS BIGINT) AS inertia, h.centroid_sha256
+FROM a{rounds} a JOIN hashes h ON a.k = h.k JOIN inertias i ON a.k = i.k
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmetrics.llm import bpe, collocations, fingerprints, huffman, jaccard, neardup, packing, paragraphs, pii, toxicity, wrappers
+from parcelmetrics.llm import backoff, bpe, centroids, collocations, fingerprints, huffman, jaccard, neardup, packing, paragraphs, pii, toxicity, wrappers
 from parcelmetrics.llm import checks
 from parcelmetrics.llm.common import scratch_path
 from parcelmetrics.llm.tokens import public_path
@@ -78,6 +78,14 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents").select("lang", "text"))
 
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.score(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,7 +104,9 @@ QUERIES = {
     "op9_personal_data": op9_personal_data,
     "op10_main_text": op10_main_text,
     "op11_collocations": op11_collocations,
+    "op12_lm_scores": op12_lm_scores,
+    "op13_centroids": op13_centroids,
     "pipeline": pipeline,
 }
 #: The others can't be said in SQL; tests compare them with brute force, the tokenizers library or held-out labels.
-ORACLE_SQL: dict[str, str] = {"op11_collocations": checks.COLLOCATIONS}
+ORACLE_SQL: dict[str, str] = {"op11_collocations": checks.COLLOCATIONS, "op13_centroids": checks.centroids()}

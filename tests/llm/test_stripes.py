@@ -83,3 +83,80 @@ def test_packing_of_integers():
     values = np.array([-1, 0, 65534, 65535, 65536, 2**40, 2**62])
     assert stripes.unpacked(stripes.packed(values)).tolist() == values.tolist()
     assert stripes.unpacked(stripes.packed(np.zeros(0))).tolist() == []
+
+
+def model(rows, prior):
+    """Scores by dictionaries over the whole training part."""
+    import math
+
+    from parcelmetrics.llm.backoff import END, held_out
+
+    def words(text):
+        return (text or "").encode().lower().split()
+
+    train = [words(t) + [END] for i, t in rows if not held_out(i)]
+    c = collections.Counter(w for doc in train for w in doc)
+    pairs = collections.Counter(p for doc in train for p in zip([END, *doc], doc))
+    total, distinct = sum(c.values()), len(c)
+    share = lambda w: (c[w] + 0.1) / (total + 0.1 * (distinct + 1))
+    out = []
+    for i, text in rows:
+        doc = words(text) + [END]
+        base = sum(math.log10(share(w)) for w in doc)
+        own = sum(math.log10((pairs[h, w] + prior * share(w)) / (c[h] + prior)) for h, w in zip([END, *doc], doc))
+        out.append((i, held_out(i), len(doc), sum(c[w] > 0 for w in doc), total, base, own))
+    return out
+
+
+def near(got, want):
+    order = lambda r: (r[0] is None, r[0] or 0, r[-1])
+    assert len(got) == len(want)
+    for a, b in zip(sorted(map(tuple, got), key=order), sorted(want, key=order)):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9)
+
+
+def test_scores_of_the_automaton(spark):
+    from pyspark.sql import functions as F
+
+    from parcelmetrics.llm import backoff
+
+    rows = [(k, text) for k, (_, text) in enumerate(texts())] + [(None, "a b"), (7, "again, 7"), (7, "again, 7"), (10**12, "x" * 100_000), (-3, "unseen\x1cword \x85")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("N", F.lit(1)).withColumn("score", F.lit("clash")).repartition(5)
+    for prior in (backoff.PRIOR, 2.0):
+        near(backoff.score(docs, prior).collect(), model(rows, prior))
+    assert backoff.score(docs.limit(0)).count() == 0
+
+
+def test_scores_without_training(spark):
+    from parcelmetrics.llm import backoff
+
+    held = [k for k in range(200) if backoff.held_out(k)][:5]
+    rows = [(k, "some words") for k in held]
+    got = backoff.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    near(got, model(rows, backoff.PRIOR))
+
+
+def test_arcs_and_failure_sum_to_one():
+    from parcelmetrics.llm import backoff
+
+    counts = np.array([3, 5, 2, 0])
+    before, after, pairs = np.array([0, 1, 1]), np.array([1, 1, 2]), np.array([3, 2, 2])
+    a = backoff.Automaton(counts, 10, 3, before, after, pairs, 4.0)
+    unknown = 0.1 / (10 + 0.4)
+    for state in range(3):
+        own = {w: 10 ** a.arcs[(state + 1) * 4 + w] for w in range(4) if (state + 1) * 4 + w in a.arcs}
+        rest = sum(10 ** a.unigram[w] for w in range(3) if w not in own) + unknown
+        assert state or len(own) == 1
+        # What no arc takes goes down the failure arc.
+        missing = counts[state] - pairs[before == state].sum()
+        assert sum(own.values()) + 10 ** a.failure[state + 1] * rest == pytest.approx(1 - missing / (counts[state] + 4.0))
+
+
+def test_scores_predict_held_out_texts_better(spark):
+    from pyspark.sql import functions as F
+
+    from parcelmetrics.llm.queries import op12_lm_scores
+
+    scored = op12_lm_scores(spark, "/root/testdata/sf0.01").where("held_out")
+    base, own = scored.agg(F.sum("base_score"), F.sum("score")).first()
+    assert own > base
