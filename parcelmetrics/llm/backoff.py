@@ -26,7 +26,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelmetrics.llm.common import drop_staged, staged, whole_text
-from parcelmetrics.llm.stripes import BUCKET_BYTES, Numbers, bucket_numbers, by_frequency, count_pairs, count_words, packed, shards_for, told_pairs, told_words, unpacked, with_answers
+from parcelmetrics.llm.stripes import (
+    BUCKET_BYTES,
+    WORDS,
+    Numbers,
+    bucket_numbers,
+    by_frequency,
+    count_pairs,
+    count_words,
+    packed,
+    shards_for,
+    told_pairs,
+    told_words,
+    unpacked,
+    with_answers,
+    word_columns,
+)
 from parcelmetrics.llm.tokens import small_batches, summed
 
 #: Strength of the prior in tokens, what is added to each unigram count, and the folds of which one is held out.
@@ -77,7 +92,7 @@ class Automaton:
 
 
 def document_buckets(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
-    """(bucket, n, words, counts, codes, ...) of (doc_id, text: binary): codes of words and end tokens, training counts."""
+    """(bucket, n, WORDS, counts, codes, ...) of (doc_id, text: binary): codes of words and end tokens, training counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = bucket_numbers()
@@ -100,16 +115,16 @@ def document_buckets(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
             values = [
                 pa.array([next(numbers)]),
                 pa.array([len(flat)]),
-                pa.array([words], pa.list_(pa.binary())),
+                *[pa.array([c], pa.binary()) for c in word_columns(words)],
                 pa.array([packed(counts)], pa.binary()),
                 pa.array([packed(flat)], pa.binary()),
                 pa.array([ids], pa.list_(pa.int64())),
                 pa.array([packed(lengths)], pa.binary()),
                 pa.array([out.tolist()], pa.list_(pa.bool_())),
             ]
-            yield pa.RecordBatch.from_arrays(values, ["bucket", "n", "words", "counts", "codes", "ids", "lengths", "held_out"])
+            yield pa.RecordBatch.from_arrays(values, ["bucket", "n", "words", "word_lengths", "places", "counts", "codes", "ids", "lengths", "held_out"])
 
-    return docs.mapInArrow(run, f"bucket long, n long, words array<binary>, counts binary, codes binary, {DOCUMENTS}")
+    return docs.mapInArrow(run, f"bucket long, n long, {WORDS}, counts binary, codes binary, {DOCUMENTS}")
 
 
 def _pairs(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,11 +160,11 @@ def score(docs: DataFrame, prior: float = PRIOR, folds: int = FOLDS, doc_id: str
     total, distinct = sums[0] or 0, sums[1] or 0
 
     def with_words(row: dict, told: pa.Table) -> pa.Table:
-        ids, totals = told_words(row["words"], told, shards)
+        ids, totals = told_words(row["places"], told)
         one = {"bucket": [row["bucket"]], "codes": [row["codes"]], "word_ids": [packed(ids)], "totals": [packed(totals)]}
         return pa.table(one | {c: [row[c]] for c in ("ids", "lengths", "held_out")})
 
-    own = buckets.drop("counts", "n")
+    own = buckets.drop("counts", "n", "words", "word_lengths")
     known = staged(with_answers(own, answers, with_words, f"bucket long, codes binary, word_ids binary, totals binary, {DOCUMENTS}"), "document-words")
     drop_staged(answers)
     drop_staged(buckets)

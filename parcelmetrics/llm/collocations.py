@@ -20,7 +20,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelmetrics.llm.common import drop_staged, staged, whole_text
-from parcelmetrics.llm.stripes import BUCKET_BYTES, Numbers, bucket_numbers, by_frequency, count_pairs, count_words, packed, shards_for, told_pairs, told_words, unpacked, with_answers
+from parcelmetrics.llm.stripes import (
+    BUCKET_BYTES,
+    WORDS,
+    Numbers,
+    apart,
+    bucket_numbers,
+    by_frequency,
+    count_pairs,
+    count_words,
+    packed,
+    shards_for,
+    told_pairs,
+    told_words,
+    unpacked,
+    with_answers,
+    word_columns,
+)
 from parcelmetrics.llm.tokens import small_batches
 
 LONGEST, LEAST, TOP = 5, 100, 2000
@@ -37,7 +53,7 @@ def pieces(text: bytes) -> list[bytes]:
 
 
 def word_buckets(docs: DataFrame) -> DataFrame:
-    """(bucket, n, words as ``<language> <word>``, counts, codes, langs, lang_counts) of (lang, text)."""
+    """(bucket, n, WORDS as ``<language> <word>``, counts, codes, langs, lang_counts) of (lang, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = bucket_numbers()
@@ -69,16 +85,16 @@ def word_buckets(docs: DataFrame) -> DataFrame:
                 [
                     pa.array([next(numbers)]),
                     pa.array([len(flat)]),
-                    pa.array([words], pa.list_(pa.binary())),
+                    *[pa.array([c], pa.binary()) for c in word_columns(words)],
                     pa.array([packed(counts)], pa.binary()),
                     pa.array([packed(flat)], pa.binary()),
                     pa.array([list(lang_counts)], pa.list_(pa.binary())),
                     pa.array([list(lang_counts.values())], pa.list_(pa.int64())),
                 ],
-                ["bucket", "n", "words", "counts", "codes", "langs", "lang_counts"],
+                ["bucket", "n", "words", "word_lengths", "places", "counts", "codes", "langs", "lang_counts"],
             )
 
-    schema = "bucket long, n long, words array<binary>, counts binary, codes binary, langs array<binary>, lang_counts array<long>"
+    schema = f"bucket long, n long, {WORDS}, counts binary, codes binary, langs array<binary>, lang_counts array<long>"
     return docs.mapInArrow(run, schema)
 
 
@@ -99,15 +115,12 @@ def _state(bucket: int, codes: np.ndarray, grams: np.ndarray, word_ids: np.ndarr
     return pa.table({name.split()[0]: [v] for name, v in zip(STATE.split(", "), values)})
 
 
-def _from_words(shards: int):
-    def take(row: dict, answers: pa.Table) -> pa.Table | None:
-        ids, _ = told_words(row["words"], answers, shards)
-        new = np.append(np.where(ids >= 0, np.cumsum(ids >= 0) - 1, -1), -1)
-        codes = new[unpacked(row["codes"])]
-        ids = ids[ids >= 0]
-        return _state(row["bucket"], codes, codes, ids, ids)
-
-    return take
+def _from_words(row: dict, answers: pa.Table) -> pa.Table | None:
+    ids, _ = told_words(row["places"], answers)
+    new = np.append(np.where(ids >= 0, np.cumsum(ids >= 0) - 1, -1), -1)
+    codes = new[unpacked(row["codes"])]
+    ids = ids[ids >= 0]
+    return _state(row["bucket"], codes, codes, ids, ids)
 
 
 def _longer(length: int, shards: int):
@@ -137,16 +150,17 @@ def _ask(length: int):
 
 
 def _kept(answers: DataFrame, columns: list[str]) -> DataFrame:
-    """The rows (id, f, ...) of the entries that shards keep."""
+    """The rows (id, f, ...) of the entries that shards keep; ``word`` comes of its two columns."""
+    read = [c for name in columns for c in (["words", "word_lengths"] if name == "word" else [name])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                values = [row[c] if c == "words" else unpacked(row[c]) for c in columns]
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.binary() if c == "words" else pa.int64()) for c, v in zip(columns, values)], columns)
+                values = [apart(row["words"], row["word_lengths"]) if c == "word" else pa.array(unpacked(row[c])) for c in columns]
+                yield pa.RecordBatch.from_arrays(values, columns)
 
-    kinds = ", ".join(f"{c} {'binary' if c == 'words' else 'long'}" for c in columns)
-    return answers.where("bucket is null").select(columns).mapInArrow(run, kinds).withColumnRenamed("ids", "id").withColumnRenamed("totals", "f")
+    kinds = ", ".join(f"{c} {'binary' if c == 'word' else 'long'}" for c in columns)
+    return answers.where("bucket is null").select(read).mapInArrow(run, kinds).withColumnRenamed("ids", "id").withColumnRenamed("totals", "f")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -156,13 +170,13 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     totals = staged(buckets.select(F.explode(F.arrays_zip("langs", "lang_counts")).alias("x")).groupBy(F.col("x.langs").cast("string").alias("lang")).agg(F.sum("x.lang_counts").alias("n")), "words")
     shards = shards_for(buckets)
     answers = count_words(buckets, shards, least)
-    known = _kept(answers, ["ids", "totals", "words"]).withColumn("word", F.col("words").cast("string"))
+    known = _kept(answers, ["ids", "totals", "word"]).withColumn("word", F.col("word").cast("string"))
     # A language may hold spaces, a word may not.
     known = known.select("id", "f", F.regexp_replace("word", r"(?s) [^ ]*\z", "").alias("lang"), F.substring_index("word", " ", -1).alias("word"))
     known = staged(known, "frequent-words")
     level = known.select("id", "f", "lang", F.array("word").alias("words"))
     found = [level]
-    state = staged(with_answers(buckets.drop("langs", "lang_counts", "counts"), answers, _from_words(shards), STATE), "phrases-in-place")
+    state = staged(with_answers(buckets.select("bucket", "places", "codes"), answers, _from_words, STATE), "phrases-in-place")
     drop_staged(answers)
     drop_staged(buckets)
     for length in range(1, longest):

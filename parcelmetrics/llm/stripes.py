@@ -28,7 +28,9 @@ from parcelmetrics.llm.tokens import runs
 BUCKET_BYTES, SHARD_ENTRIES = 6_000_000, 1_500_000
 
 ANSWERS = "bucket long, shard int, ids binary, totals binary"
-WORD_ANSWERS = f"{ANSWERS}, words array<binary>"
+WORD_ANSWERS = f"{ANSWERS}, words binary, word_lengths binary"
+#: What a bucket tells about its words: as bytes one after the other, in the order of their hashes, and the number of each.
+WORDS = "words binary, word_lengths binary, places binary"
 PAIR_ANSWERS = f"{ANSWERS}, prefixes binary, following binary"
 
 
@@ -43,6 +45,23 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i8").ravel() - 1
 
 
+def joined(words: list[bytes]) -> tuple[bytes, bytes]:
+    """Words one after the other, and their lengths."""
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(words)), packed(np.fromiter(map(len, words), np.int64, len(words)))
+
+
+def apart(words: bytes, lengths: bytes) -> pa.BinaryArray:
+    offsets = np.concatenate([[0], np.cumsum(unpacked(lengths))]).astype(np.int32)
+    data = zstandard.ZstdDecompressor().decompress(words) if words else b""
+    return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def word_columns(words: list[bytes]) -> list[bytes]:
+    """The columns WORDS for a bucket's words, which are numbered in the given order."""
+    places = np.argsort(_hashes(words), kind="stable")
+    return [*joined([words[k] for k in places.tolist()]), packed(places)]
+
+
 class Numbers(dict):
     """Numbers of keys in the order of their first use."""
 
@@ -71,8 +90,8 @@ def shards_for(buckets: DataFrame) -> int:
     return max(buckets.sparkSession.sparkContext.defaultParallelism, -(-total // SHARD_ENTRIES))
 
 
-def _shard_of_words(words: Iterable[bytes], shards: int) -> np.ndarray:
-    return np.fromiter(map(zlib.crc32, words), np.int64) % shards
+def _hashes(words: Iterable[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.int64)
 
 
 def _shard_of_pairs(prefixes: np.ndarray, following: np.ndarray, shards: int) -> np.ndarray:
@@ -108,36 +127,39 @@ def _answers(rows: pa.Table, shard: int, shards: int, entries: np.ndarray, total
 
 
 def count_words(buckets: DataFrame, shards: int, least: int) -> DataFrame:
-    """Answers for ``buckets`` (bucket, words: array<binary>, counts: packed), staged.
+    """Answers for ``buckets`` (bucket, counts: packed, and WORDS), staged.
 
-    A row without bucket has a shard's words with totals of at least ``least``.
+    A shard has a range of the words' hashes, in whose order a bucket lists its words. A row without bucket has a shard's
+    words with totals of at least ``least``.
     """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
         for batch in batches:
-            for bucket, words, counts in zip(batch.column("bucket").to_pylist(), batch.column("words").to_pylist(), batch.column("counts").to_pylist()):
-                counts, rows = unpacked(counts), []
-                for shard, places in _dealt(_shard_of_words(words, shards)):
-                    rows.append((shard, bucket, [words[k] for k in places.tolist()], packed(counts[places])))
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                words = apart(row["words"], row["word_lengths"]).to_pylist()
+                counts, rows = unpacked(row["counts"])[unpacked(row["places"])], []
+                for shard, places in _dealt((_hashes(words) * shards) >> 32):
+                    rows.append((shard, row["bucket"], *joined(words[places[0] : places[-1] + 1]), packed(counts[places])))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), ASKED)], ["shard", "bucket", "words", "counts"])
-
-    ASKED = [pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["shard", "bucket", "words", "word_lengths", "counts"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, ["shard"]):
             shard = rows.column("shard")[0].as_py()
-            lists = rows.column("words").combine_chunks()
-            found = lists.flatten().dictionary_encode()
+            lists = [apart(w, n) for w, n in zip(rows.column("words").to_pylist(), rows.column("word_lengths").to_pylist())]
+            found = pa.concat_arrays(lists).dictionary_encode()
             entries = found.indices.to_numpy()
             totals = np.bincount(entries, np.concatenate(_column(rows, "counts")), len(found.dictionary)).astype(np.int64)
-            kept, ids, told = _answers(rows, shard, shards, entries, totals, least, np.diff(lists.offsets.to_numpy()).tolist())
-            out = [(None, shard, packed(ids[kept]), packed(totals[kept]), found.dictionary.take(pa.array(kept)).to_pylist())]
-            out += [(bucket, shard, *own, None) for bucket, own in told]
-            types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.binary())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["bucket", "shard", "ids", "totals", "words"])
+            kept, ids, told = _answers(rows, shard, shards, entries, totals, least, [len(x) for x in lists])
+            out = [(None, shard, packed(ids[kept]), packed(totals[kept]), *joined(found.dictionary.take(pa.array(kept)).to_pylist()))]
+            out += [(bucket, shard, *own, None, None) for bucket, own in told]
+            types = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["bucket", "shard", "ids", "totals", "words", "word_lengths"])
 
-    asked = buckets.select("bucket", "words", "counts").mapInArrow(ask, "shard int, bucket long, words array<binary>, counts binary")
+    asked = buckets.select("bucket", "counts", *[c.split()[0] for c in WORDS.split(", ")])
+    asked = asked.mapInArrow(ask, "shard int, bucket long, words binary, word_lengths binary, counts binary")
     return staged(_in_shards(asked).mapInArrow(merge, WORD_ANSWERS), "word-totals")
 
 
@@ -178,22 +200,22 @@ def count_pairs(buckets: DataFrame, stripes: Callable[[dict], tuple[np.ndarray,
     return staged(_in_shards(asked).mapInArrow(merge, PAIR_ANSWERS), "pair-totals")
 
 
-def _told(shard: np.ndarray, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers and totals of a bucket's entries, whose shards are given, from the answers to it."""
-    order = np.argsort(shard, kind="stable")
+def _told(order: np.ndarray, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and totals of a bucket's entries from the answers to it, which name them in the given order."""
     answers = answers.sort_by("shard")
-    ids, totals = np.empty(len(shard), np.int64), np.empty(len(shard), np.int64)
+    ids, totals = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
     ids[order] = np.concatenate([np.zeros(0, np.int64), *_column(answers, "ids")])
     totals[order] = np.concatenate([np.zeros(0, np.int64), *_column(answers, "totals")])
     return ids, totals
 
 
-def told_words(words: list[bytes], answers: pa.Table, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    return _told(_shard_of_words(words, shards), answers)
+def told_words(places: bytes, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and totals of the words of a bucket with the column ``places``."""
+    return _told(unpacked(places), answers)
 
 
 def told_pairs(prefixes: np.ndarray, following: np.ndarray, answers: pa.Table, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    return _told(_shard_of_pairs(prefixes, following, shards), answers)
+    return _told(np.argsort(_shard_of_pairs(prefixes, following, shards), kind="stable"), answers)
 
 
 def with_answers(buckets: DataFrame, answers: DataFrame, take: Callable[[dict, pa.Table], pa.Table | None], schema: str) -> DataFrame:
