@@ -7,6 +7,10 @@ import re
 from parcelmetrics.sources.sample import GENERATED, VIEWS
 
 
+#: Steps computed once, however often they are named.
+KEPT = {"paid", "charged", "bought", "single_terms", "fx_daily", "cost_top", "item_sums"}
+
+
 def with_views(body: str, *steps: tuple[str, str]) -> str:
     """``WITH`` the sample views, then ``steps`` (name, sql), then ``body``.
 
@@ -33,5 +37,5 @@ def with_views(body: str, *steps: tuple[str, str]) -> str:
         visit(sql)
     visit(body)
     parts = [f"v_{name} AS ({bind(VIEWS[name], True)})" for name in VIEWS if name in chosen]
-    parts += [f"{name} AS ({bind(sql, False)})" for name, sql in steps]
+    parts += [f"{name} AS {'MATERIALIZED ' if name in KEPT else ''}({bind(sql, False)})" for name, sql in steps]
     return f"WITH {', '.join(parts)} {bind(body, False)}" if parts else body

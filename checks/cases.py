@@ -11,33 +11,26 @@ STANDARD = "[1,4,5,6,7,8,9,10,11,12,13,14,18,19,26,27,28,29,30]"
 STANDARD_LIST = STANDARD.strip("[]")
 
 
-def _validity(fee: str, markets: str, rate: str, since: str = "0001-01-01", until: str = "9999-12-31") -> str:
-    return (
-        f"SELECT '{fee}' AS fee, UNNEST({markets}) AS market_id, DATE '{since}' AS since,"
-        f" DATE '{until}' AS until, CAST({rate} AS DECIMAL(5,4)) AS rate"
-    )
-
-
-RATE_TABLE = " UNION ALL ".join(
-    [
-        _validity("pg", STANDARD, "0.08"),
-        _validity("pg", "[20]", "0.08"),
-        _validity("pg", "[2,21]", "0.0778", until="1998-01-02"),
-        _validity("pg", "[2,21]", "0.1164", since="1998-01-02"),
-        _validity("pg", "[22]", "0.0778"),
-        _validity("service", STANDARD, "0.05"),
-        _validity("service", "[3,24,33]", "0.08"),
-        _validity("service", "[20,34]", "0.07"),
-        _validity("service", "[22]", "0.0718"),
-        _validity("surtax", STANDARD, "0.10"),
-        _validity("surtax", "[20]", "0.10"),
-        _validity("vendor", "[19]", "0.05"),
-        _validity("vendor", "[2,21]", "0.0718", until="1998-01-01"),
-        _validity("vendor", "[2,21]", "0.0218", since="1998-01-01"),
-        _validity("vendor", "[22]", "0.05", until="1999-06-01"),
-        _validity("vendor", "[22]", "0.04", since="1999-06-01"),
-    ]
-)
+MARKETS = range(1, 35)
+
+
+def _rates(market: int) -> str:
+    """Rates of a market before and after the day on which its fee changed; most never change."""
+    standard = market in map(int, STANDARD_LIST.split(","))
+    pg = ("0.0778", "0.1164") if market in (2, 21) else ("0.08",) * 2 if standard or market == 20 else ("0.0778",) * 2 if market == 22 else ("0",) * 2
+    vendor = {2: ("0.0718", "0.0218"), 21: ("0.0718", "0.0218"), 22: ("0.05", "0.04"), 19: ("0.05",) * 2}.get(market, ("0",) * 2)
+    service = "0.05" if standard else {3: "0.08", 24: "0.08", 33: "0.08", 20: "0.07", 34: "0.07", 22: "0.0718"}.get(market, "0")
+    surtax = "0.10" if standard or market == 20 else "0"
+    change = "1999-06-01" if market == 22 else "1998-01-01"
+    money = ", ".join(f"CAST({r} AS DECIMAL(5,4))" for r in (*pg, *vendor, service, surtax))
+    return f"({market}, DATE '{change}', {money})"
+
+
+# One row per market, plain columns.
+MARKET_RATES = f"""
+    SELECT * FROM (VALUES {', '.join(map(_rates, MARKETS))})
+    AS r(market_id, vendor_change, pg_old, pg_new, vendor_old, vendor_new, service_rate, surtax_rate)"""
+PG_CHANGE = "DATE '1998-01-02'"
 
 
 def q9(krw: str, fx: str) -> str:
@@ -56,36 +49,38 @@ COST_TOP = """
     QUALIFY ROW_NUMBER() OVER (PARTITION BY tracking_number
         ORDER BY original_cost DESC, customer_cost DESC, marked_up_cost DESC, fuel_surcharge_cost DESC) = 1"""
 
-def rate_on_day(fee: str) -> str:
-    day = "COALESCE(CAST(t.trans_at_utc AS DATE), DATE '0001-01-01')"
-    chosen = f"list_filter(r.rates, lambda x: x.fee = '{fee}' AND {day} >= x.since AND {day} < x.until)"
-    return f"COALESCE(list_extract(list_transform({chosen}, lambda x: x.rate), 1), 0)"
-
-
-BOUGHT = f"""
-    SELECT m.*, t.reference_id AS paid_id, CAST(t.trans_at_utc AS DATE) AS paid_on, d.parsed_domain,
+# One row of a request and payment, with everything that fees need.
+PAID = f"""
+    SELECT m.*, t.reference_id AS paid_id, CAST(t.trans_at_utc AS DATE) AS paid_on,
            {z('t.discount_value')} AS disc, {z('t.coupon_discount_value')} AS coup,
-           COALESCE(x.origin_usd_krw, 1450) AS fxo, COALESCE(x.usd_krw, 1450) AS fxb,
            {z('m.fee_unit_price_krw')} * {z('m.quotation_quantity')} AS g,
            {z('m.fee_handling_fee_usd')} AS hand, {z('m.fee_domestic_shipping_price_usd')} AS dom,
-           COALESCE(m.last_status = 'CANCELED', FALSE) AS gone,
-           {rate_on_day('pg')} AS pg_rate, {rate_on_day('service')} AS service_rate, {rate_on_day('surtax')} AS surtax_rate,
-           {rate_on_day('vendor')} AS vendor_rate,
-           CASE WHEN m.market_id = 22 THEN 0 ELSE {rate_on_day('vendor')} END AS vendor_child_rate
+           COALESCE(m.last_status = 'CANCELED', FALSE) AS gone
     FROM {{market_request}} m
     LEFT JOIN {{payment}} t ON m.request_id = t.reference_id
-         AND t.pay_service IN ('NewWeBuy', 'BUY_REQUEST') AND t.transaction_status = 'CNF'
-    LEFT JOIN fx_daily x ON x.currency_date = CAST(t.trans_at_utc AS DATE)
-    LEFT JOIN {{request_domain}} d ON d.buy_request_id = m.request_id
-    LEFT JOIN market_rates r ON r.market_id = m.market_id"""
+         AND t.pay_service IN ('NewWeBuy', 'BUY_REQUEST') AND t.transaction_status = 'CNF'"""
+
+# Each fee once, as a column.
+CHARGED = f"""
+    SELECT p.*, COALESCE(x.origin_usd_krw, 1450) AS fxo, COALESCE(x.usd_krw, 1450) AS fxb,
+           p.g * COALESCE(CASE WHEN p.paid_on >= {PG_CHANGE} THEN r.pg_new ELSE r.pg_old END, 0) AS pg_fee,
+           p.g * COALESCE(r.service_rate, 0) AS service_fee,
+           p.g * COALESCE(r.surtax_rate, 0) AS surtax_fee,
+           p.g * COALESCE(CASE WHEN p.paid_on >= r.vendor_change THEN r.vendor_new ELSE r.vendor_old END, 0) AS vendor_fee
+    FROM paid p
+    LEFT JOIN fx_daily x ON x.currency_date = p.paid_on
+    LEFT JOIN market_rates r ON r.market_id = p.market_id"""
 
-# One row per market, so that the join above is by equality alone; the date is looked up in its list.
-MARKET_RATES = """
-    SELECT market_id, list({'fee': fee, 'since': since, 'until': until, 'rate': rate}) AS rates FROM rate_table GROUP BY market_id"""
+BOUGHT = f"""
+    SELECT c.*, CASE WHEN c.market_id = 22 THEN 0 ELSE c.vendor_fee END AS vendor_child_fee,
+           {q9('c.g', 'c.fxb')} AS g_usd, {q9('c.pg_fee', 'c.fxb')} AS pg_usd, {q9('c.service_fee', 'c.fxb')} AS service_usd,
+           {q9('c.surtax_fee', 'c.fxb')} AS surtax_usd, {q9('c.vendor_fee', 'c.fxb')} AS vendor_usd,
+           {q9('CASE WHEN c.market_id = 22 THEN 0 ELSE c.vendor_fee END', 'c.fxb')} AS vendor_child_usd
+    FROM charged c"""
 
 
 # Goods amounts of one purchase row b. KRW terms of children are rounded one by one.
-FEE = {f: f"b.g * b.{f}_rate" for f in ["pg", "service", "surtax", "vendor", "vendor_child"]}
+FEE = {f: f"b.{f}_fee" for f in ["pg", "service", "surtax", "vendor", "vendor_child"]}
 
 
 def child_terms(vendor: str) -> dict[str, str]:
@@ -95,10 +90,8 @@ def child_terms(vendor: str) -> dict[str, str]:
         f" + {r(FEE['service'])} - {r('b.disc * b.fxb')} - {r('b.coup * b.fxb')}",
         "gp": f"{r('b.hand * b.fxb')} + {r(FEE['surtax'])} + {r(FEE['service'])} - {r('b.disc * b.fxb')}"
         f" - {r('b.coup * b.fxb')} - {r(FEE[vendor])}",
-        "gru": f"{q9('b.g', 'b.fxb')} + b.dom + b.hand + {q9(FEE['pg'], 'b.fxb')} + {q9(FEE['surtax'], 'b.fxb')}"
-        f" + {q9(FEE['service'], 'b.fxb')} - b.disc - b.coup",
-        "gpu": f"b.hand + {q9(FEE['surtax'], 'b.fxb')} + {q9(FEE['service'], 'b.fxb')} - b.disc - b.coup"
-        f" - {q9(FEE[vendor], 'b.fxb')}",
+        "gru": "b.g_usd + b.dom + b.hand + b.pg_usd + b.surtax_usd + b.service_usd - b.disc - b.coup",
+        "gpu": f"b.hand + b.surtax_usd + b.service_usd - b.disc - b.coup - b.{vendor}_usd",
     }
 
 
@@ -114,7 +107,7 @@ SINGLE_TERMS = {
 
 def items(fx: str, vendor: str) -> dict[str, str]:
     """Itemised columns of a purchase row, decimals."""
-    out = {"total_goods_price_krw": "b.g", "total_goods_price_usd": f"ROUND({q9('b.g', 'b.fxb')}, 2)"}
+    out = {"total_goods_price_krw": "b.g", "total_goods_price_usd": "ROUND(b.g_usd, 2)"}
     for column, name in [
         ("hand", "fee_handling_fee"),
         ("dom", "domestic_shipping_price"),
@@ -125,15 +118,15 @@ def items(fx: str, vendor: str) -> dict[str, str]:
         out[f"{name}_usd"] = f"b.{column}"
     for fee, name in [("surtax", "surtax"), (vendor, "business_fee"), ("pg", "pg_fee"), ("service", "service_fee")]:
         out[f"{name}_krw"] = f"ROUND({FEE[fee]}, 0)"
-        out[f"{name}_usd"] = f"ROUND({q9(FEE[fee], 'b.fxb')}, 2)"
+        out[f"{name}_usd"] = f"ROUND(b.{fee}_usd, 2)"
     return out
 
 
 ITEM_SUMS = f"""
     SELECT c.package_id, {', '.join(
-        f"SUM(CASE WHEN b.gone THEN 0 ELSE {sql} END) AS {name}" for name, sql in items('b.fxb', 'vendor').items())}
-    FROM {{package}} c JOIN bought b ON c.reference_id = b.request_id
-    WHERE c.package_type = 'INNER' AND c.reference_type IN ('BUY_REQUEST', 'BUYFORME')
+        f"COALESCE(SUM(CASE WHEN b.gone THEN 0 ELSE {sql} END), 0) AS {name}" for name, sql in items('b.fxb', 'vendor').items())}
+    FROM {{package}} c LEFT JOIN bought b ON c.reference_id = b.request_id AND c.reference_type IN ('BUY_REQUEST', 'BUYFORME')
+    WHERE c.package_type = 'INNER'
     GROUP BY c.package_id"""
 
 PARENT = {
@@ -241,7 +234,7 @@ def bought_columns() -> dict[str, str]:
     return {
         "market_id": "b.market_id",
         "trans_at_utc_purchase": "b.paid_on",
-        "package_merchant_clean": f"CASE WHEN b.market_id IN ({STANDARD_LIST}) THEN b.parsed_domain ELSE p.package_merchant END",
+        "package_merchant_clean": f"CASE WHEN b.market_id IN ({STANDARD_LIST}) THEN d.parsed_domain ELSE p.package_merchant END",
         "product_name": "COALESCE(b.customs_item_description, b.item_description)",
         "product_category": "b.customs_category",
         "fee_unit_price_krw": z("b.fee_unit_price_krw"),
@@ -263,7 +256,10 @@ FEES_JOIN = "LEFT JOIN {package_fee} f ON f.package_id = p.package_id"
 
 FX_STEP = ("fx_daily", FX_DAILY)
 COST_STEP = ("cost_top", COST_TOP)
-BOUGHT_STEPS = [("rate_table", RATE_TABLE), ("market_rates", MARKET_RATES), FX_STEP, ("bought", BOUGHT)]
+BOUGHT_STEPS = [("market_rates", MARKET_RATES), FX_STEP, ("paid", PAID), ("charged", CHARGED), ("bought", BOUGHT)]
+# Goods terms of single purchases, once and as columns.
+SINGLE_STEP = ("single_terms", f"SELECT b.*, {', '.join(f'{sql} AS {name}' for name, sql in SINGLE_TERMS.items())} FROM bought b WHERE b.paid_id IS NOT NULL")
+DOMAIN = "LEFT JOIN {request_domain} d ON d.buy_request_id = b.request_id"
 
 
 def _case_1() -> tuple[str, list]:
@@ -278,14 +274,14 @@ def _case_2() -> tuple[str, list]:
         **identity("2"),
         **bought_columns(),
         **items("b.fxo", "vendor"),
-        **measures(SINGLE_TERMS, True, zero_costs=True),
+        **measures({name: f"b.{name}" for name in SINGLE_TERMS}, True, zero_costs=True),
     }
     body = f"""SELECT {finish(values)}
-    FROM {{package}} p JOIN bought b ON b.request_id = p.reference_id AND b.package_id = p.package_id
-    {TRIMMED} {FEES_JOIN} {joins('b.customer_id', 'p.country_code', 'p.trans_at_utc')}
-    WHERE b.paid_id IS NOT NULL AND b.last_status <> 'CANCELED' AND p.package_type = 'SINGLE'
+    FROM {{package}} p JOIN single_terms b ON b.request_id = p.reference_id AND b.package_id = p.package_id
+    {DOMAIN} {TRIMMED} {FEES_JOIN} {joins('b.customer_id', 'p.country_code', 'p.trans_at_utc')}
+    WHERE b.last_status <> 'CANCELED' AND p.package_type = 'SINGLE'
       AND p.reference_type IN ('BUY_REQUEST', 'BUYFORME') AND CAST(p.trans_at_utc AS DATE) >= {START}"""
-    return body, [*BOUGHT_STEPS, COST_STEP]
+    return body, [*BOUGHT_STEPS, SINGLE_STEP, COST_STEP]
 
 
 def _parents(case: int) -> tuple[str, str]:
@@ -343,6 +339,7 @@ def _goods_children(case: int) -> tuple[str, list]:
     body = f"""SELECT {finish(values)}
     FROM {{package}} p JOIN parent_{case} q ON q.package_id = p.package_id
     LEFT JOIN bought b ON b.request_id = p.reference_id AND p.reference_type IN ('BUY_REQUEST', 'BUYFORME')
+    {DOMAIN}
     LEFT JOIN {{package_fee_item}} f ON f.inner_package_id = p.inner_package_id
     {joins('p.customer_id', 'q.country_code', 'p.trans_at_utc')}
     WHERE p.package_type = 'INNER'"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.base import with_views
-from checks.cases import BOUGHT_STEPS, COST_TOP, FX_DAILY, FEE, ITEM_SUMS, PIECES, items, q9, steps_of
+from checks.cases import BOUGHT_STEPS, COST_TOP, FX_DAILY, FEE, ITEM_SUMS, PIECES, items, steps_of
 
 
 def half_even(num: str, den: str, digits: int = 1) -> str:
@@ -58,6 +58,63 @@ MERGED = (
 )
 
 
+# Gaps before the tariff, and after it where a country has one and both sides have a fee.
+GAP_FIELDS = [f"{name}" for c in ("standard", "express") for name in (f"gap_{c}_pct", f"{c}_cheapest_fee", f"{c}_cheapest_carrier", f"competitor_{c}_min")]
+
+
+def _both_gaps() -> list[tuple[str, str]]:
+    before = _gaps("v").replace("priced", "priced_before")
+    after = _gaps("v", "('rival_a', 'rival_b', 'rival_c')").replace("priced", "priced_after")
+    return [
+        TARIFF,
+        MERGED,
+        ("priced_before", _priced("{rate_card}")[1]),
+        ("priced_after", _priced("merged")[1]),
+        ("gaps_before", before),
+        ("gaps_after", f"{after} WHERE g.country IN (SELECT country FROM tariff)"),
+    ]
+
+
+def refreshed_gaps() -> str:
+    fields = ", ".join(f"COALESCE(a.{f}, b.{f}) AS {f}" for f in GAP_FIELDS)
+    return with_views(f"SELECT b.country, b.weight, {fields} FROM gaps_before b LEFT JOIN gaps_after a ON a.country = b.country AND a.weight = b.weight", *_both_gaps())
+
+
+def rate_card_document() -> str:
+    figures = ["total", "DHL", "EMS", "FEDEX", "UPS", "kpacket"]
+    stale = "CASE WHEN CAST(g.weight * 2 AS INT) % 2 = 0 THEN -1 END"
+    volumes = []
+    for p in ("p1998", "p1999"):
+        for f in figures:
+            old = stale if (p, f) == ("p1998", "total") else "NULL"
+            volumes.append(f"CAST(CASE WHEN g.country IN (SELECT country FROM volume WHERE period = '{p}') THEN COALESCE(v{p}.{f}, 0) ELSE {old} END AS BIGINT) AS {p}_{f}")
+    joins = " ".join(f"LEFT JOIN volume v{p} ON v{p}.period = '{p}' AND v{p}.country = g.country AND v{p}.weight = g.weight" for p in ("p1998", "p1999"))
+    gaps = ", ".join(f"COALESCE(a.{f}, {'99.5' if f == 'gap_express_pct' else 'NULL'}) AS {f}" for f in GAP_FIELDS)
+    columns = (
+        "columns_of",
+        """SELECT country, string_agg(carrier || '=' || platforms, ';' ORDER BY carrier) AS columns FROM (
+            SELECT country, carrier, string_agg(platform, ',' ORDER BY platform = 'rival_c', platform) AS platforms FROM (
+                SELECT DISTINCT country, carrier, platform FROM {rate_card}
+                UNION SELECT c.country, c.carrier, 'rival_c' FROM (SELECT DISTINCT country, carrier FROM {rate_card}) c
+                JOIN tariff t ON t.country = c.country AND t.carrier = c.carrier) GROUP BY country, carrier) GROUP BY country""",
+    )
+    fees = (
+        "fees_of",
+        """SELECT country, weight, string_agg(f, ',' ORDER BY f) AS fees FROM (
+            SELECT country, weight, carrier || ':' || platform || '=' || fee AS f FROM merged) GROUP BY country, weight""",
+    )
+    steps = {name: sql for name, sql in [*_both_gaps(), *VOLUME, columns, fees]}
+    return with_views(
+        f"""SELECT g.country, k.columns, g.weight + CASE WHEN CAST(g.weight * 2 AS INT) % 3 = 0 THEN CAST(0.04 AS DOUBLE) ELSE 0 END AS weight,
+            'keep ' || g.country AS note, f.fees, {gaps}, {', '.join(volumes)},
+            CASE WHEN CAST(g.weight * 2 AS INT) % 2 = 0 THEN 'kept' END AS p1998_memo
+        FROM (SELECT DISTINCT country, weight FROM {{rate_card}}) g
+        JOIN columns_of k ON k.country = g.country JOIN fees_of f ON f.country = g.country AND f.weight = g.weight
+        LEFT JOIN gaps_after a ON a.country = g.country AND a.weight = g.weight {joins}""",
+        *steps.items(),
+    )
+
+
 def _volume_steps() -> list[tuple[str, str]]:
     cols = "package_id, country_code, dimension_weight, carrier, carrier_service, trans_at_utc_package"
     rows = " UNION ALL ".join(f"SELECT {cols} FROM ({sql})" for sql, _ in PIECES.values())
@@ -254,7 +311,7 @@ def tier_summary() -> str:
 def market_checks() -> dict[str, str]:
     d = lambda c: f"CAST({c} AS DOUBLE) AS {c}"
     fees = ", ".join(
-        f"CAST(ROUND({FEE[f]}, 0) AS DOUBLE) AS {f}_krw, CAST(ROUND({q9(FEE[f], 'b.fxb')}, 2) AS DOUBLE) AS {f}_usd"
+        f"CAST(ROUND({FEE[f]}, 0) AS DOUBLE) AS {f}_krw, CAST(ROUND(b.{f}_usd, 2) AS DOUBLE) AS {f}_usd"
         for f in ["pg", "service", "surtax", "vendor", "vendor_child"]
     )
     volumes = "total, DHL, EMS, FEDEX, UPS, kpacket"
@@ -291,6 +348,8 @@ def market_checks() -> dict[str, str]:
                JOIN tariff t ON t.country = c.country AND t.carrier = c.carrier) GROUP BY country, carrier""",
             TARIFF,
         ),
+        "tariff_refreshed_gaps": refreshed_gaps(),
+        "rate_card_document": rate_card_document(),
         "carrier_volume": with_views(f"SELECT period, country, weight, {volumes} FROM volume", *VOLUME),
         "rate_card_volume": with_views(
             """SELECT a.period, g.country, g.weight, """ + ", ".join(f"COALESCE(v.{c}, 0) AS {c}" for c in volumes.split(", ")) + """

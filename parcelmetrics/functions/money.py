@@ -10,7 +10,7 @@ quotient is cut to nine fractional digits, the scale of the warehouse numeric ty
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
 
 MONEY = "DECIMAL(18,2)"
@@ -58,58 +58,39 @@ STANDARD_MARKETS = [1, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 18, 19, 26, 27, 28,
 STANDARD_MARKETS_20 = sorted([*STANDARD_MARKETS, 20])
 
 
-@dataclass(frozen=True)
-class Rate:
-    """One row of the rate table: first matching row wins, ``since`` is inclusive."""
-
-    markets: tuple[int, ...]
-    rate: str
-    since: date | None = None
+FEE_KINDS = ("pg", "service", "surtax", "vendor")
 
-
-def rate_for(rules: Iterable[Rate], market_id: str, on: str) -> str:
-    """The rate of the first rule covering the marketplace on the given date, else zero."""
-    branches = []
-    for rule in rules:
-        hit = f"{market_id} IN ({', '.join(map(str, rule.markets))})"
-        if rule.since is not None:
-            hit += f" AND {on} >= DATE '{rule.since.isoformat()}'"
-        branches.append(f"WHEN {hit} THEN CAST({rule.rate} AS {RATE})")
-    return f"CASE {' '.join(branches)} ELSE CAST(0 AS {RATE}) END"
+#: A row of the rate table: valid from a day on and until the day before another, or for good.
+RateRow = tuple[str, int, date, date | None, str]
 
 
 @dataclass(frozen=True)
 class FeeSchedule:
-    """Rates of the four marketplace fees. The three dates are when a rate changed."""
+    """The days on which a rate of the published schedule changed; ``rows`` is that schedule as a table."""
 
-    # Dates and rates.
+    # Dates.
     pg_change: date = date(2025, 12, 9)
     vendor_change: date = date(2025, 12, 8)
     vendor_change_22: date = date(2026, 2, 1)
-    pg: tuple[Rate, ...] = field(init=False)
-    service: tuple[Rate, ...] = field(init=False)
-    surtax: tuple[Rate, ...] = field(init=False)
-    vendor: tuple[Rate, ...] = field(init=False)
-
-    def __post_init__(self) -> None:
-        m19, m20 = tuple(STANDARD_MARKETS), tuple(STANDARD_MARKETS_20)
-        put = lambda name, rules: object.__setattr__(self, name, rules)
-        put("pg", (Rate(m20, "0.08"), Rate((2, 21), "0.1164", self.pg_change), Rate((2, 21, 22), "0.0778")))
-        put(
-            "service",
-            (Rate(m19, "0.05"), Rate((3, 24, 33), "0.08"), Rate((20, 34), "0.07"), Rate((22,), "0.0718")),
-        )
-        put("surtax", (Rate(m20, "0.10"),))
-        put(
-            "vendor",
-            (
-                Rate((19,), "0.05"),
-                Rate((2, 21), "0.0218", self.vendor_change),
-                Rate((2, 21), "0.0718"),
-                Rate((22,), "0.04", self.vendor_change_22),
-                Rate((22,), "0.05"),
-            ),
-        )
-
-    def vendor_without(self, market: int) -> tuple[Rate, ...]:
-        return tuple(r for r in self.vendor if r.markets != (market,))
+
+    def rows(self) -> list[RateRow]:
+        """(fee, market_id, valid_from, valid_to, rate); a market without a row pays nothing."""
+        always, open_end = date.min, None
+        # Rates by fee, marketplaces and period.
+        periods = [
+            ("pg", STANDARD_MARKETS_20, always, open_end, "0.08"),
+            ("pg", [2, 21], always, self.pg_change, "0.0778"),
+            ("pg", [2, 21], self.pg_change, open_end, "0.1164"),
+            ("pg", [22], always, open_end, "0.0778"),
+            ("service", STANDARD_MARKETS, always, open_end, "0.05"),
+            ("service", [3, 24, 33], always, open_end, "0.08"),
+            ("service", [20, 34], always, open_end, "0.07"),
+            ("service", [22], always, open_end, "0.0718"),
+            ("surtax", STANDARD_MARKETS_20, always, open_end, "0.10"),
+            ("vendor", [19], always, open_end, "0.05"),
+            ("vendor", [2, 21], always, self.vendor_change, "0.0718"),
+            ("vendor", [2, 21], self.vendor_change, open_end, "0.0218"),
+            ("vendor", [22], always, self.vendor_change_22, "0.05"),
+            ("vendor", [22], self.vendor_change_22, open_end, "0.04"),
+        ]
+        return [(fee, market, since, until, rate) for fee, markets, since, until, rate in periods for market in markets]

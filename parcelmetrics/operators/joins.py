@@ -16,6 +16,7 @@ def splittable_join(
     spread: str,
     how: str = "left",
     only_if: str | None = None,
+    also: str | None = None,
 ) -> DataFrame:
     """Equi-join in which a hot left key can be split over many tasks.
 
@@ -26,7 +27,8 @@ def splittable_join(
     Left rows that cannot match (no key, or ``only_if`` false) take the hash of ``spread``
     instead, so they are dealt out evenly and not collected under one NULL key.
     ``only_if`` is a left-side condition of the ON clause: rows failing it are kept by a
-    left join, with NULLs. The right key is dropped from the result.
+    left join, with NULLs. ``also`` is a further condition of the ON clause, on columns of both
+    sides, whose names must differ. The right key is dropped from the result.
     """
     can_match = f"`{left_key}` IS NOT NULL"
     if only_if is not None:
@@ -40,7 +42,7 @@ def splittable_join(
     )
     kept = [f"`{c}`" for c in right.columns if c != right_key]
     b = right.selectExpr(*kept, f"`{right_key}` AS _key_right", f"xxhash64(`{right_key}`) AS _hash_right")
-    on = F.expr(f"`{left_key}` = _key_right AND _hash_left = _hash_right AND _can_match")
+    on = F.expr(f"`{left_key}` = _key_right AND _hash_left = _hash_right AND _can_match" + (f" AND {also}" if also else ""))
     return a.join(b, on, how).drop("_can_match", "_hash_left", "_hash_right", "_key_right")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,45 +19,68 @@ def children_of(package: DataFrame) -> DataFrame:
     return package.filter(F.col("package_type") == INNER)
 
 
+#: Attributes of a parent that the cases use, the ones that a DISTINCT over parents compares.
+PARENT_COLUMNS = [
+    "package_id", "package_type", "trans_at_utc", "ship_at_kst", "package_merchant", "order_type", "customer_id", "country_code",
+    "carrier", "carrier_service", "package_count", "package_weight", "dimension_weight", "reference_type", "track_number",
+]
+
+_BUY = f"COALESCE(reference_type IN ({', '.join(map(repr, BUY_TYPES))}), FALSE)"
+_ASN = f"COALESCE(reference_type = '{ASN}', FALSE)"
+#: Tests of one child; a parent has a flag where some child passes.
+_TESTS = {
+    "has_buy": _BUY,
+    "has_asn": _ASN,
+    "has_non_buy": f"NOT {_BUY}",
+    "has_other": f"NOT {_BUY} AND NOT {_ASN}",
+    "has_non_asn": f"reference_type IS NOT NULL AND NOT {_ASN}",
+}
+
+
 def child_mix(children: DataFrame) -> DataFrame:
     """One row of flags per parent: five existence tests on the children in one aggregate.
 
     Flags are combined on the map side, so a parent with very many children sends one row
     per map task. A missing type does not count against an all-ASN parent.
     """
-    buy = f"COALESCE(reference_type IN ({', '.join(map(repr, BUY_TYPES))}), FALSE)"
-    asn = f"COALESCE(reference_type = '{ASN}', FALSE)"
-    tests = {
-        "has_buy": buy,
-        "has_asn": asn,
-        "has_non_buy": f"NOT {buy}",
-        "has_other": f"NOT {buy} AND NOT {asn}",
-        "has_non_asn": f"reference_type IS NOT NULL AND NOT {asn}",
-    }
     return children.groupBy("package_id").agg(
-        F.expr("COUNT(*) AS n_children"), *[F.expr(f"BOOL_OR({test}) AS {name}") for name, test in tests.items()]
+        F.expr("COUNT(*) AS n_children"), *[F.expr(f"BOOL_OR({test}) AS {name}") for name, test in _TESTS.items()]
     )
 
 
-def in_case(case: int, require_children: bool = False) -> str:
-    """Membership test of a parent joined to its mix; a childless parent passes 3 and 4."""
-    rules = {
-        3: "NOT COALESCE(has_non_asn, FALSE)",
-        4: f"NOT COALESCE(has_non_buy, FALSE) AND NOT contains(order_type, '{FORWARDING}')",
-        5: "has_buy AND has_asn AND NOT has_other",
-    }
-    return f"{rules[case]} AND COALESCE(n_children, 0) > 0" if require_children else rules[case]
+def families(package: DataFrame, start: Column) -> DataFrame:
+    """Per package id the flags of its children and its parent rows from ``start`` on, in one aggregate of one scan.
+
+    A parent id has one row, or a few where the source repeats it; they are the only rows that are collected. A parent
+    without id has no children.
+    """
+    is_child = f"(package_type = '{INNER}' AND package_id IS NOT NULL)"
+    is_parent = F.col("package_type").isin(PARENT_TYPES) & (F.col("trans_at_utc") >= start)
+    rows = package.filter((F.col("package_type") == INNER) | is_parent)
+    parent = F.when(F.col("package_type") != INNER, F.struct(*PARENT_COLUMNS))
+    flags = [F.expr(f"COALESCE(BOOL_OR({is_child} AND {test}), FALSE) AS {name}") for name, test in _TESTS.items()]
+    grouped = rows.groupBy("package_id").agg(F.expr(f"COUNT_IF({is_child}) AS n_children"), *flags, F.collect_list(parent).alias("parents"))
+    return grouped.filter(F.size("parents") > 0)
+
+
+#: Membership of a parent ``p`` in a case, given its flags; a childless parent passes 3 and 4.
+_RULES = {
+    "3": "NOT has_non_asn",
+    "4": f"NOT has_non_buy AND NOT contains(p.order_type, '{FORWARDING}')",
+    "5": "has_buy AND has_asn AND NOT has_other",
+}
 
 
-def parents_of_cases(
-    package: DataFrame, mix: DataFrame, cases: tuple[int, ...], start: Column, require_children: bool
-) -> DataFrame:
-    """Parents of the given cases with the case they belong to in ``_case``.
+def parents_of(families: DataFrame, cases: Iterable[str], require_children: bool = False) -> DataFrame:
+    """The parents of the given cases, a row for each case that a parent belongs to, named in ``_case``.
 
-    The cases asked for together must exclude each other, as 4 and 5 do.
+    Case 3 takes distinct parents.
     """
-    parents = package.filter(F.col("package_type").isin(PARENT_TYPES) & (F.col("trans_at_utc") >= start))
-    flags = [c for c in mix.columns if c != "package_id"]
-    chosen = " ".join(f"WHEN {in_case(case, require_children)} THEN '{case}'" for case in cases)
-    joined = parents.join(mix, "package_id", "left").withColumn("_case", F.expr(f"CASE {chosen} END"))
-    return joined.filter("_case IS NOT NULL").drop(*flags)
+    childless = " AND n_children > 0" if require_children else ""
+
+    def tagged(case: str) -> str:
+        parents = "array_distinct(parents)" if case == "3" else "parents"
+        return f"transform(filter({parents}, p -> {_RULES[case]}{childless}), p -> named_struct('_case', '{case}', 'p', p))"
+
+    lists = ", ".join(tagged(case) for case in sorted(cases))
+    return families.selectExpr(f"inline(concat({lists}))").select("_case", "p.*")

@@ -5,21 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelmetrics.functions.money import (
-    GOODS,
-    STANDARD_MARKETS,
-    STANDARD_MARKETS_20,
-    FeeSchedule,
-    amount,
-    cents,
-    rate_for,
-    rate_or_fallback,
-    to_usd,
-    won,
-)
+from parcelmetrics.functions.money import FEE_KINDS, GOODS, RATE, STANDARD_MARKETS, STANDARD_MARKETS_20, FeeSchedule, amount, cents, rate_or_fallback, to_usd, won
 from parcelmetrics.operators.columns import add_columns
 from parcelmetrics.operators.dedupe import keep_highest
 from parcelmetrics.operators.joins import splittable_join, with_fx
+from parcelmetrics.operators.rates import rate_table, with_rates
 from parcelmetrics.sources.warehouse import Tables
 
 # Reference types of purchases and of announced parcels; payment codes.
@@ -52,16 +42,36 @@ _FEE_BASES = ["goods_krw", "pg_krw", "service_krw", "surtax_krw", "vendor_krw",
 _USD_ITEMS = ["handling", "domestic", "discount", "coupon"]
 
 
+def with_payments(requests: DataFrame, paid: DataFrame) -> DataFrame:
+    """Requests with each of their payments, and those without any.
+
+    Payments are the side that adaptive execution can split, so that a request holding a large share of them is no single
+    task; requests without a payment follow from the distinct paid ids, which are combined on the map side.
+    """
+    known = paid.filter("paid_request_id IS NOT NULL")
+    met = splittable_join(known, requests, "paid_request_id", "request_id", spread="purchase_date", how="inner")
+    met = met.withColumn("is_paid", F.lit(True)).withColumnRenamed("paid_request_id", "request_id")
+    ids = known.select(F.col("paid_request_id").alias("_paid_id")).distinct()
+    unpaid = requests.join(ids, F.col("request_id") == F.col("_paid_id"), "left_anti").withColumn("is_paid", F.lit(False))
+    return met.unionByName(unpaid, allowMissingColumns=True)
+
+
+def with_domains(bought: DataFrame, domains: DataFrame) -> DataFrame:
+    """The shop domain of each request; a request with several domains repeats."""
+    domains = domains.select("buy_request_id", "parsed_domain")
+    return splittable_join(bought, domains, "request_id", "buy_request_id", spread="market_package_id")
+
+
 def purchases(
     t: Tables,
-    schedule: FeeSchedule,
+    rates: FeeSchedule | DataFrame,
     services: tuple[str, ...] = PURCHASE_SERVICES,
     child_vendor_22: bool = False,
 ) -> DataFrame:
-    """Requests with their confirmed payments, shop domain, purchase-date rate and fees.
+    """Requests with their confirmed payments, purchase-date rate and fees.
 
-    Several confirmed payments give several rows, as in the source queries. Requests,
-    payments and domains share one key, so the chain shuffles each table once.
+    Several confirmed payments give several rows, as in the source queries. ``rates`` is a table of fee rates (see
+    ``operators.rates``) or the schedule to make one from. An unpaid request has no date and takes the earliest rates.
     ``vendor_child_krw`` leaves marketplace 22 out unless ``child_vendor_22`` is set.
     """
     m = t["market_request"].selectExpr(
@@ -80,31 +90,23 @@ def purchases(
         "COALESCE(customs_item_description, item_description) AS product_name",
         "customs_category AS product_category",
     )
-    paid = confirmed_payments(t["payment"], services)
-    domains = t["request_domain"].select("buy_request_id", "parsed_domain")
-    joined = m.join(paid, m["request_id"] == paid["paid_request_id"], "left").join(
-        domains, m["request_id"] == domains["buy_request_id"], "left"
-    )
+    joined = with_payments(m, confirmed_payments(t["payment"], services))
     joined = with_fx(joined, daily_fx(t["currency"]), "purchase_date", "buy")
-    vendor_child = schedule.vendor if child_vendor_22 else schedule.vendor_without(22)
-    rules = {
-        "pg": schedule.pg,
-        "service": schedule.service,
-        "surtax": schedule.surtax,
-        "vendor": schedule.vendor,
-        "vendor_child": vendor_child,
-    }
+    if isinstance(rates, FeeSchedule):
+        rates = rate_table(joined.sparkSession, rates)
+    joined = with_rates(joined, rates, "market_id", "purchase_date", spread="request_id")
+    child_rate = "vendor_rate" if child_vendor_22 else "IF(market_id = 22, 0, vendor_rate)"
+    fees = {fee: f"{fee}_rate" for fee in FEE_KINDS} | {"vendor_child": child_rate}
     return add_columns(
         joined,
         {
-            "is_paid": "paid_request_id IS NOT NULL",
             "discount_usd": amount("discount_usd"),
             "coupon_usd": amount("coupon_usd"),
             "origin_buy": rate_or_fallback("origin_buy"),
             "usd_krw_buy": rate_or_fallback("usd_krw_buy"),
-            **{f"{fee}_krw": f"goods_krw * {rate_for(r, 'market_id', 'purchase_date')}" for fee, r in rules.items()},
+            **{f"{fee}_krw": f"goods_krw * CAST({rate} AS {RATE})" for fee, rate in fees.items()},
         },
-    ).drop("paid_request_id", "buy_request_id")
+    ).drop(*[f"{fee}_rate" for fee in FEE_KINDS])
 
 
 def clean_merchant(merchant: str) -> str:
@@ -135,21 +137,18 @@ _SHARED_USD = "handling_usd + service_usd + surtax_usd - discount_usd - coupon_u
 _REVENUE_USD = f"{_SHARED_USD} + goods_usd + domestic_usd + pg_usd"
 
 
-def with_exact_goods_terms(df: DataFrame) -> DataFrame:
+def exact_goods_terms() -> dict[str, str]:
     """Goods revenue and profit of a single-package purchase: only two fees are rounded."""
     shared = f"handling_krw + {won('service_krw')} + surtax_krw - discount_krw - coupon_krw"
-    return add_columns(
-        df,
-        {
-            "goods_revenue": f"{shared} + goods_krw + domestic_krw + {won('pg_krw')}",
-            "goods_revenue_usd_raw": _REVENUE_USD,
-            "goods_profit": f"{shared} - {won('vendor_krw')}",
-            "goods_profit_usd_raw": f"{_SHARED_USD} - vendor_usd",
-        },
-    )
+    return {
+        "goods_revenue": f"({shared} + goods_krw + domestic_krw + {won('pg_krw')})",
+        "goods_revenue_usd_raw": f"({_REVENUE_USD})",
+        "goods_profit": f"({shared} - {won('vendor_krw')})",
+        "goods_profit_usd_raw": f"({_SHARED_USD} - vendor_usd)",
+    }
 
 
-def with_child_goods_terms(df: DataFrame) -> DataFrame:
+def child_goods_terms() -> dict[str, str]:
     """Goods terms of a child package: KRW terms rounded one by one, zero when canceled."""
     added = " + ".join(won(c) for c in ["handling_krw", "surtax_krw", "service_krw"])
     shared = f"{added} - {won('discount_krw')} - {won('coupon_krw')}"
@@ -159,7 +158,7 @@ def with_child_goods_terms(df: DataFrame) -> DataFrame:
         "goods_profit": f"{shared} - {won('vendor_child_krw')}",
         "goods_profit_usd_raw": f"{_SHARED_USD} - vendor_child_usd",
     }
-    return add_columns(df, {name: _unless_canceled(value) for name, value in terms.items()})
+    return {name: f"({_unless_canceled(value)})" for name, value in terms.items()}
 
 
 # Itemised columns, in result order.
@@ -199,12 +198,13 @@ def purchase_details(posted_rate: bool = False, vendor: str = "vendor", canceled
     return {k: _unless_canceled(v) for k, v in items.items()} if canceled_as_zero else items
 
 
-def goods_per_package(children: DataFrame, bought: DataFrame, legacy_pg_usd: bool = False) -> DataFrame:
+def goods_per_package(children: DataFrame, bought: DataFrame, legacy_pg_usd: bool = False, every_parent: bool = False) -> DataFrame:
     """Rounded purchase items summed per parent package, before any 1:N join.
 
     Only purchase children are needed: a parent that has another kind never uses these
     sums in case 4, and case 5 asks for purchase children itself. Children without a
-    request add zeros, so an inner join gives the same sums. ``legacy_pg_usd`` adds
+    request add zeros, so an inner join gives the same sums; ``every_parent`` keeps the rows of
+    parents without any request, with zeros. ``legacy_pg_usd`` adds
     ``sum_pg_fee_usd_legacy``, in which the standard marketplaces' fee is still in KRW, a
     known slip of one of the source queries.
     """
@@ -213,8 +213,12 @@ def goods_per_package(children: DataFrame, bought: DataFrame, legacy_pg_usd: boo
         markets = ", ".join(map(str, STANDARD_MARKETS_20))
         slip = f"CASE WHEN market_id IN ({markets}) THEN {cents('pg_krw')} ELSE {cents('pg_usd')} END"
         items["pg_fee_usd_legacy"] = _unless_canceled(slip)
-    buy = children.filter(F.col("reference_type").isin(BUY_TYPES)).select("package_id", "inner_package_id", "reference_id")
-    joined = splittable_join(buy, bought, "reference_id", "request_id", spread="inner_package_id", how="inner")
-    return with_both_currencies(joined).groupBy("package_id").agg(
-        *[F.expr(f"SUM({sql}) AS sum_{name}") for name, sql in items.items()]
-    )
+    is_buy = F.col("reference_type").isin(BUY_TYPES)
+    if every_parent:
+        kids = children.select("package_id", "inner_package_id", F.when(is_buy, F.col("reference_id")).alias("reference_id"))
+    else:
+        kids = children.filter(is_buy).select("package_id", "inner_package_id", "reference_id")
+    how = "left" if every_parent else "inner"
+    joined = splittable_join(kids, bought, "reference_id", "request_id", spread="inner_package_id", how=how)
+    zero = {name: f"COALESCE({sql}, 0)" if every_parent else sql for name, sql in items.items()}
+    return with_both_currencies(joined).groupBy("package_id").agg(*[F.expr(f"SUM({sql}) AS sum_{name}") for name, sql in zero.items()])

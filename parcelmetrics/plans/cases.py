@@ -1,13 +1,17 @@
 """The five profit cases: one wide row per package, or per child package and purchase.
 
-Every case ends in ``ledger``, which turns fees, shipping costs and goods terms into the
-same measures in KRW and USD. ``CANONICAL`` is the order of the result columns.
+All cases are one chain. Rows are tagged with their kind (``1`` to ``5``, children ``3_1``, ``4_1``, ``5_1``), meet fees,
+shipping costs, purchases, customers and exchange rates once, each by one join that knows which kinds it is for, and end in
+one projection in which a kind may choose its own expression. Fewer kinds leave out the joins that only others need.
+``CANONICAL`` is the order of the result columns.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +20,7 @@ from parcelmetrics.functions.money import FX, KRW, USD, FeeSchedule, amount, cen
 from parcelmetrics.operators.columns import add_columns
 from parcelmetrics.operators.dedupe import keep_highest
 from parcelmetrics.operators.joins import splittable_join, with_fx
-from parcelmetrics.operators.packages import SINGLE, child_mix, children_of, parents_of_cases
+from parcelmetrics.operators.packages import PARENT_COLUMNS, SINGLE, child_mix, children_of, families, parents_of
 from parcelmetrics.operators.purchases import (
     ASN,
     BUY_TYPES,
@@ -24,13 +28,14 @@ from parcelmetrics.operators.purchases import (
     DETAIL_COLUMNS,
     PURCHASE_SERVICES,
     clean_merchant,
+    child_goods_terms,
     daily_fx,
+    exact_goods_terms,
     goods_per_package,
     purchase_details,
     purchases,
     with_both_currencies,
-    with_child_goods_terms,
-    with_exact_goods_terms,
+    with_domains,
     without_gaps,
 )
 from parcelmetrics.sources.schemas import COSTS, FEES
@@ -122,6 +127,8 @@ class CaseOptions:
     # Fixed value: first package date.
     start_date: date = date(2025, 1, 1)
     schedule: FeeSchedule = field(default_factory=FeeSchedule)
+    # A rate table of one's own, in place of the published schedule.
+    rates: DataFrame | None = None
     purchase_services: tuple[str, ...] = PURCHASE_SERVICES
     require_children: bool = False
     trim_before_dedupe: bool = False
@@ -129,11 +136,31 @@ class CaseOptions:
     child_vendor_22: bool = False
 
 
-#: The parent attributes that the third case selects DISTINCT.
-CASE_3_COLUMNS = [
-    "package_id", "package_type", "trans_at_utc", "ship_at_kst", "package_merchant", "order_type", "customer_id", "country_code",
-    "carrier", "carrier_service", "package_count", "package_weight", "dimension_weight", "reference_type", "track_number",
-]
+#: Kinds of rows: top-level packages, which ship, and children of combined parcels.
+SHIPPED, CHILDREN = ("1", "2", "3", "4", "5"), ("3_1", "4_1", "5_1")
+KINDS = (*SHIPPED, *CHILDREN)
+#: Combined parcels with purchases and their children.
+BUNDLES, BUNDLED = ("4", "5"), ("4_1", "5_1")
+
+#: What a row brings from the package table, besides ``_kind``.
+ROW_COLUMNS = [*PARENT_COLUMNS, "inner_package_id", "reference_id"]
+#: Attributes that children take from their parent: all of them, or those of the route only.
+INHERITED = ["trans_at_utc", "ship_at_kst", "package_merchant", "customer_id", "country_code", "carrier", "carrier_service"]
+ROUTE = ["country_code", "carrier", "carrier_service"]
+
+
+def _kinds(names: Iterable[str]) -> str:
+    return f"_kind IN ({', '.join(map(repr, names))})"
+
+
+def choose(wanted: set[str], variants: Mapping[tuple[str, ...], str], otherwise: str = "NULL") -> str:
+    """The expression of a row's kind; kinds that are not ``wanted`` leave no trace."""
+    used = [(kinds, sql) for own, sql in variants.items() if (kinds := [k for k in own if k in wanted])]
+    if wanted - {k for kinds, _ in used for k in kinds}:
+        used.append(([], otherwise))
+    *branches, (_, last) = used
+    branches = [(kinds, sql) for kinds, sql in branches if sql != last]
+    return f"CASE {' '.join(f'WHEN {_kinds(kinds)} THEN {sql}' for kinds, sql in branches)} ELSE {last} END" if branches else last
 
 
 class CaseQueries:
@@ -146,7 +173,43 @@ class CaseQueries:
         self.fx = daily_fx(tables["currency"])
         self.children = children_of(tables["package"])
         self.mix = child_mix(self.children)
-        self.bought = purchases(tables, self.o.schedule, self.o.purchase_services, self.o.child_vendor_22)
+        self.families = families(tables["package"], self.start)
+        rates = self.o.schedule if self.o.rates is None else self.o.rates
+        self.bought = purchases(tables, rates, self.o.purchase_services, self.o.child_vendor_22)
+
+    # Rows ----------------------------------------------------------------------------
+
+    def _singles(self, wanted: set[str]) -> DataFrame:
+        types = [*([ASN] if "1" in wanted else []), *(BUY_TYPES if "2" in wanted else [])]
+        df = self.t["package"].filter(
+            (F.col("package_type") == SINGLE) & F.col("reference_type").isin(types) & (F.col("trans_at_utc") >= self.start)
+        )
+        return df.selectExpr(*ROW_COLUMNS, f"CASE WHEN reference_type = '{ASN}' THEN '1' ELSE '2' END AS _kind")
+
+    def _parents(self, wanted: set[str]) -> DataFrame:
+        df = parents_of(self.families, wanted, self.o.require_children).selectExpr(
+            *PARENT_COLUMNS, "CAST(0 AS BIGINT) AS inner_package_id", "CAST(NULL AS BIGINT) AS reference_id", "_case AS _kind"
+        )
+        if not wanted & set(BUNDLES):
+            return df
+        # Families and sums are both grouped by package, so this join moves nothing.
+        sums = goods_per_package(self.children, self.bought, self.o.legacy_pg_usd)
+        sums = sums.select("package_id", F.struct(*[c for c in sums.columns if c != "package_id"]).alias("_sums"))
+        return df.join(sums, "package_id", "left")
+
+    def _children(self, wanted: set[str]) -> DataFrame:
+        """Children with their parent's kind: all attributes of the parent in case 3, its route in cases 4 and 5."""
+        parents = parents_of(self.families, {kind[0] for kind in wanted}, self.o.require_children).selectExpr(
+            "package_id", "CONCAT(_case, '_1') AS _kind", *[f"{c} AS _parent_{c}" for c in INHERITED]
+        )
+        # An announced child without an id of its own has no place in case 3.
+        announced = f"(_kind <> '3_1' OR (inner_package_id <> 0 AND reference_type = '{ASN}'))"
+        kids = self.children.select(*ROW_COLUMNS)
+        df = splittable_join(kids, parents, "package_id", "package_id", spread="inner_package_id", how="inner", also=announced)
+        taken = {
+            c: choose(wanted, {("3_1",): f"_parent_{c}"}, f"_parent_{c}" if c in ROUTE else c) for c in INHERITED
+        }
+        return add_columns(df, taken).select(*ROW_COLUMNS, "_kind")
 
     # Joins shared by the cases -------------------------------------------------------
 
@@ -162,168 +225,153 @@ class CaseQueries:
         ties = ["customer_cost", "marked_up_cost", "fuel_surcharge_cost"]
         return keep_highest(costs, "tracking_number", "original_cost", ties)
 
-    def _with_costs(self, df: DataFrame, trimmed: bool) -> DataFrame:
-        costs = self.shipping_costs()
-        if trimmed:
-            df = df.withColumn("_track", F.trim("track_number"))
-            costs = costs.withColumn("tracking_number", F.trim("tracking_number"))
-        else:
-            df = df.withColumn("_track", F.col("track_number"))
-        joined = splittable_join(df, costs, "_track", "tracking_number", spread="package_id")
-        return joined.drop("_track", "tracking_number")
-
-    def _with_fees(self, df: DataFrame) -> DataFrame:
-        return df.join(self.t["package_fee"].select("package_id", *FEES, "shipping_fee"), "package_id", "left")
-
-    def _with_item_fees(self, df: DataFrame, how: str) -> DataFrame:
-        items = self.t["package_fee_item"].select("inner_package_id", *FEES, "shipping_fee")
-        return splittable_join(df, items, "inner_package_id", "inner_package_id", spread="package_id", how=how)
+    def _with_fees(self, df: DataFrame, wanted: set[str]) -> DataFrame:
+        """Fees of packages, or of items for children; a child of case 3 needs an item."""
+        tables = []
+        if wanted & set(SHIPPED):
+            tables.append(self.t["package_fee"].selectExpr("named_struct('item', FALSE, 'id', package_id) AS _fees_of", *FEES, "shipping_fee"))
+        if wanted & set(CHILDREN):
+            tables.append(self.t["package_fee_item"].selectExpr("named_struct('item', TRUE, 'id', inner_package_id) AS _fees_of", *FEES, "shipping_fee"))
+        fees = reduce(DataFrame.unionByName, tables).filter("_fees_of.id IS NOT NULL").withColumn("_has_fees", F.lit(True))
+        item = _kinds(CHILDREN)
+        key = f"IF({item}, named_struct('item', TRUE, 'id', inner_package_id), named_struct('item', FALSE, 'id', package_id))"
+        df = df.withColumn("_fee_key", F.expr(key))
+        can = f"IF({item}, inner_package_id, package_id) IS NOT NULL"
+        joined = splittable_join(df, fees, "_fee_key", "_fees_of", spread="package_id", only_if=can).drop("_fee_key")
+        if "3_1" in wanted:
+            joined = joined.filter("_kind <> '3_1' OR _has_fees")
+        return joined.drop("_has_fees")
+
+    def _with_costs(self, df: DataFrame, wanted: set[str]) -> DataFrame:
+        """Shipping costs by trimmed tracking number; case 3 wants the number as written."""
+        costs = self.shipping_costs().withColumnRenamed("tracking_number", "_number").withColumn("_number_trimmed", F.trim("_number"))
+        df = df.withColumn("_track", F.trim("track_number"))
+        written = "(_kind <> '3' OR track_number = _number)" if "3" in wanted else None
+        only_if = _kinds(SHIPPED) if wanted & set(CHILDREN) else None
+        return splittable_join(df, costs, "_track", "_number_trimmed", spread="package_id", only_if=only_if, also=written).drop("_track", "_number")
+
+    def _with_purchases(self, df: DataFrame, wanted: set[str]) -> DataFrame:
+        """Purchases of single packages, which need a paid one, and of children bought; without one, amounts are zero."""
+        buy = f"reference_type IN ({', '.join(map(repr, BUY_TYPES))})"
+        for_kind = choose(wanted, {("2",): "TRUE", BUNDLED: buy}, "FALSE")
+        own = f"(package_id = market_package_id AND is_paid AND last_status <> '{CANCELED}')"
+        df = splittable_join(
+            df,
+            with_domains(self.bought, self.t["request_domain"]).withColumn("_has_purchase", F.lit(True)),
+            "reference_id",
+            "request_id",
+            spread="package_id",
+            only_if=for_kind,
+            also=f"(_kind <> '2' OR {own})" if "2" in wanted else None,
+        )
+        if "2" in wanted:
+            df = df.filter("_kind <> '2' OR _has_purchase")
+        return with_both_currencies(without_gaps(df.drop("_has_purchase")))
 
-    def _with_dimensions(self, df: DataFrame, customer: str = "customer_id") -> DataFrame:
+    def _with_dimensions(self, df: DataFrame, wanted: set[str]) -> DataFrame:
         """Suite, country names and the package-date rates.
 
         Spark broadcasts customers and countries by itself while they are small; beyond
         that the customer join is a shuffle join in which a hot customer can be split.
+        The customer of a single purchase is the purchaser.
         """
-        suites = self.t["customer"].select(F.col("customer_id").alias("_customer"), "suite_number")
+        suites = self.t["customer"].select(F.col("customer_id").alias("_customer_id"), "suite_number")
         names = self.t["country"].select(
             F.col("country_code").alias("_country"),
             F.col("name_en").alias("country_name"),
             F.col("name_kr").alias("country_name_kr"),
         )
-        df = splittable_join(df, suites, customer, "_customer", spread="package_id").drop("_customer")
+        df = df.withColumn("_customer", F.expr(choose(wanted, {("2",): "market_customer_id"}, "customer_id")))
+        df = splittable_join(df, suites, "_customer", "_customer_id", spread="package_id").drop("_customer")
         df = df.join(names, F.col("country_code") == F.col("_country"), "left").drop("_country")
         return with_fx(df, self.fx, "CAST(trans_at_utc AS DATE)", "package")
 
-    # Cases ---------------------------------------------------------------------------
+    # The chain -----------------------------------------------------------------------
+
+    def rows(self, *kinds: str) -> DataFrame:
+        """Canonical rows of the given kinds, all in one pass."""
+        wanted = set(kinds) or set(KINDS)
+        parts = []
+        if singles := wanted & {"1", "2"}:
+            parts.append(self._singles(singles))
+        if parents := wanted & {"3", *BUNDLES}:
+            parts.append(self._parents(parents))
+        if children := wanted & set(CHILDREN):
+            parts.append(self._children(children))
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        df = self._with_fees(df, wanted)
+        if wanted & set(SHIPPED):
+            df = self._with_costs(df, wanted)
+        if wanted & {"2", *BUNDLED}:
+            df = self._with_purchases(df, wanted)
+        return ledger(self._with_dimensions(df, wanted), wanted, self.o.legacy_pg_usd)
 
     def case_1(self) -> DataFrame:
         """Single announced parcels."""
-        p = self.t["package"]
-        df = p.filter(
-            (F.col("package_type") == SINGLE) & (F.col("reference_type") == ASN) & (F.col("trans_at_utc") >= self.start)
-        )
-        df = self._with_dimensions(self._with_costs(self._with_fees(df), trimmed=True))
-        return ledger(df, case="'1'", no_goods=True)
+        return self.rows("1")
 
     def case_2(self) -> DataFrame:
         """Single purchases with a confirmed payment; the customer is the purchaser."""
-        p = self.t["package"]
-        single = p.filter(
-            (F.col("package_type") == SINGLE)
-            & F.col("reference_type").isin(BUY_TYPES)
-            & (F.col("trans_at_utc") >= self.start)
-        )
-        paid = self.bought.filter(F.col("is_paid") & (F.col("last_status") != CANCELED))
-        df = single.join(
-            paid,
-            (F.col("reference_id") == F.col("request_id")) & (F.col("package_id") == F.col("market_package_id")),
-            "inner",
-        )
-        df = self._with_costs(self._with_fees(df), trimmed=True)
-        df = self._with_dimensions(df, customer="market_customer_id")
-        df = with_exact_goods_terms(with_both_currencies(df))
-        details = {**_purchase_columns(), **purchase_details(posted_rate=True, canceled_as_zero=False)}
-        return ledger(df, case="'2'", details=details, zero_costs=True)
-
-    def _parents(self, *cases: int) -> DataFrame:
-        return parents_of_cases(self.t["package"], self.mix, cases, self.start, self.o.require_children)
+        return self.rows("2")
 
     def case_3_parents(self) -> DataFrame:
         """Combined parcels without any child that is not announced."""
-        df = self._with_fees(self._parents(3).dropDuplicates(CASE_3_COLUMNS))
-        df = self._with_dimensions(self._with_costs(df, trimmed=False))
-        return ledger(df, case="'3'", details={"inner_package_id": "0"}, no_goods=True)
+        return self.rows("3")
 
     def case_3_children(self) -> DataFrame:
         """Announced children of case 3: dates, merchant, customer and route of the parent."""
-        inherited = ["trans_at_utc", "ship_at_kst", "package_merchant", "customer_id", "country_code", "carrier", "carrier_service"]
-        # Parents repeat only if every selected attribute differs somewhere, as in the parent rows.
-        parents = self._parents(3).dropDuplicates(CASE_3_COLUMNS).select("package_id", *inherited)
-        kids = self.children.filter((F.col("inner_package_id") != 0) & (F.col("reference_type") == ASN)).drop(*inherited)
-        df = splittable_join(kids, parents, "package_id", "package_id", spread="inner_package_id", how="inner")
-        df = self._with_dimensions(self._with_item_fees(df, how="inner"))
-        return ledger(df, case="'3_1'", no_goods=True, ships=False)
-
-    def goods_parents(self, *cases: int) -> DataFrame:
-        """Parents of case 4, of case 5, or of both in one pass: the measures are the same."""
-        sums = goods_per_package(self.children, self.bought, self.o.legacy_pg_usd)
-        df = self._parents(*cases).join(sums, "package_id", "left")
-        df = self._with_dimensions(self._with_costs(self._with_fees(df), trimmed=True))
-        if self.o.legacy_pg_usd:
-            slip = "CASE WHEN _case = '4' THEN sum_pg_fee_usd_legacy ELSE sum_pg_fee_usd END"
-            df = add_columns(df, {"sum_pg_fee_usd": slip})
-
-        def s(name: str) -> str:
-            return f"COALESCE(sum_{name}, 0)"
-
-        terms = {}
-        for currency, revenue, profit in [
-            ("krw", "goods_revenue", "goods_profit"),
-            ("usd", "goods_revenue_usd_raw", "goods_profit_usd_raw"),
-        ]:
-            added = " + ".join(s(f"{n}_{currency}") for n in ["fee_handling_fee", "surtax", "service_fee"])
-            taken = " + ".join(s(f"{n}_{currency}") for n in ["discount_value", "coupon_discount_value"])
-            more = " + ".join(s(f"{n}_{currency}") for n in ["total_goods_price", "domestic_shipping_price", "pg_fee"])
-            terms[revenue] = f"{added} + {more} - ({taken})"
-            terms[profit] = f"{added} - ({taken}) - {s(f'business_fee_{currency}')}"
-        details = {name: s(name) for name in DETAIL_COLUMNS}
-        details |= {name: "0" for name in ["market_id", *UNIT_COLUMNS, "inner_package_id"]}
-        details |= {name: "1450" for name in ["origin_usd_krw_purchase", "usd_krw_purchase"]}
-        hidden = ["package_merchant", "package_merchant_clean", "product_name", "product_category", "trans_at_utc_purchase"]
-        details |= {name: "NULL" for name in hidden}
-        return ledger(add_columns(df, terms), case="_case", details=details, fees_zero=True)
+        return self.rows("3_1")
 
     def case_4_parents(self) -> DataFrame:
         """Combined parcels, not forwarded, holding purchases only."""
-        return self.goods_parents(4)
+        return self.rows("4")
 
     def case_5_parents(self) -> DataFrame:
         """Combined parcels holding both purchases and announced parcels, nothing else."""
-        return self.goods_parents(5)
-
-    def goods_children(self, *cases: int) -> DataFrame:
-        """Children with their own dates, merchant and customer, and the parent's route."""
-        inherited = ["country_code", "carrier", "carrier_service"]
-        parents = self._parents(*cases).select("package_id", "_case", *inherited)
-        kids = self.children.drop(*inherited)
-        df = splittable_join(kids, parents, "package_id", "package_id", spread="inner_package_id", how="inner")
-        # The type test belongs to the join: announced children stay, without a purchase.
-        is_buy = f"reference_type IN ({', '.join(map(repr, BUY_TYPES))})"
-        df = splittable_join(
-            df, self.bought, "reference_id", "request_id", spread="inner_package_id", how="left", only_if=is_buy
-        )
-        df = self._with_dimensions(self._with_item_fees(df, how="left"))
-        df = with_child_goods_terms(with_both_currencies(without_gaps(df)))
-        details = {**_purchase_columns(), **purchase_details(vendor="vendor_child")}
-        return ledger(df, case="CONCAT(_case, '_1')", details=details, fees_zero=True, ships=False, canceled="is_canceled")
+        return self.rows("5")
 
     def case_4_children(self) -> DataFrame:
-        return self.goods_children(4)
+        """Children with their own dates, merchant and customer, and the parent's route."""
+        return self.rows("4_1")
 
     def case_5_children(self) -> DataFrame:
-        return self.goods_children(5)
+        return self.rows("5_1")
 
     def case_3(self) -> DataFrame:
-        return self.case_3_parents().unionByName(self.case_3_children())
+        return self.rows("3", "3_1")
 
     def case_4(self) -> DataFrame:
-        return self.case_4_parents().unionByName(self.case_4_children())
+        return self.rows("4", "4_1")
 
     def case_5(self) -> DataFrame:
-        return self.case_5_parents().unionByName(self.case_5_children())
+        return self.rows("5", "5_1")
 
     def all(self) -> dict[int, DataFrame]:
         return {1: self.case_1(), 2: self.case_2(), 3: self.case_3(), 4: self.case_4(), 5: self.case_5()}
 
 
 def case_table(cases: CaseQueries) -> DataFrame:
-    """All rows of all cases in one frame; cases 4 and 5 share one pass."""
-    parts = [cases.case_2(), cases.case_3(), cases.goods_parents(4, 5), cases.goods_children(4, 5)]
-    table = cases.case_1()
-    for part in parts:
-        table = table.unionByName(part)
-    return table
+    """All rows of all cases in one frame and one pass."""
+    return cases.rows(*KINDS)
+
+
+def _summed(name: str) -> str:
+    return f"COALESCE(_sums.sum_{name}, 0)"
+
+
+def bundle_goods_terms() -> dict[str, str]:
+    """Goods terms of a combined parcel from the sums over its purchases."""
+    terms = {}
+    for currency, revenue, profit in [
+        ("krw", "goods_revenue", "goods_profit"),
+        ("usd", "goods_revenue_usd_raw", "goods_profit_usd_raw"),
+    ]:
+        added = " + ".join(_summed(f"{n}_{currency}") for n in ["fee_handling_fee", "surtax", "service_fee"])
+        taken = " + ".join(_summed(f"{n}_{currency}") for n in ["discount_value", "coupon_discount_value"])
+        more = " + ".join(_summed(f"{n}_{currency}") for n in ["total_goods_price", "domestic_shipping_price", "pg_fee"])
+        terms[revenue] = f"({added} + {more} - ({taken}))"
+        terms[profit] = f"({added} - ({taken}) - {_summed(f'business_fee_{currency}')})"
+    return terms
 
 
 def _purchase_columns() -> dict[str, str]:
@@ -335,45 +383,55 @@ def _purchase_columns() -> dict[str, str]:
         "trans_at_utc_purchase": "purchase_date",
         "origin_usd_krw_purchase": "origin_buy",
         "usd_krw_purchase": "usd_krw_buy",
+        "product_name": "product_name",
+        "product_category": "product_category",
+        "market_id": "market_id",
     }
 
 
-def ledger(
-    df: DataFrame,
-    case: str,
-    details: dict[str, str] | None = None,
-    no_goods: bool = False,
-    ships: bool = True,
-    fees_zero: bool = False,
-    zero_costs: bool = False,
-    canceled: str | None = None,
-) -> DataFrame:
-    """Measures of one case from warehouse fees, shipping costs and goods terms.
-
-    ``ships`` false marks child rows, which have no shipping cost and no shipping profit.
-    A missing markup leaves shipping and total profit NULL. ``canceled`` rows have zero
-    total profit but keep warehouse profit. ``case`` is an expression. ``fees_zero`` shows missing option fees as
-    zero, ``zero_costs`` does so for the itemised shipping costs.
+def _details(wanted: set[str], legacy_pg_usd: bool) -> dict[str, str]:
+    """Columns about goods, which only kinds with purchases have."""
+    bundle = {name: _summed(name) for name in DETAIL_COLUMNS}
+    if legacy_pg_usd:
+        bundle["pg_fee_usd"] = f"CASE WHEN _kind = '4' THEN {_summed('pg_fee_usd_legacy')} ELSE {_summed('pg_fee_usd')} END"
+    bundle |= {name: "0" for name in ["market_id", *UNIT_COLUMNS]}
+    bundle |= {name: "1450" for name in ["origin_usd_krw_purchase", "usd_krw_purchase"]}
+    single = {**_purchase_columns(), **purchase_details(posted_rate=True, canceled_as_zero=False)}
+    child = {**_purchase_columns(), **purchase_details(vendor="vendor_child")}
+    names = [*DETAIL_COLUMNS, *_purchase_columns()]
+    return {n: choose(wanted, {("2",): single[n], BUNDLED: child[n], BUNDLES: bundle.get(n, "NULL")}) for n in names}
+
+
+def ledger(df: DataFrame, wanted: set[str], legacy_pg_usd: bool = False) -> DataFrame:
+    """Measures from warehouse fees, shipping costs and goods terms.
+
+    Children have no shipping cost and no shipping profit. A missing markup leaves shipping and total profit NULL.
+    Canceled children have zero total profit but keep warehouse profit. Kinds with several purchases show missing option
+    fees as zero, single purchases do so for the itemised shipping costs.
     """
+    exact, child, bundle = exact_goods_terms(), child_goods_terms(), bundle_goods_terms()
+    terms = {n: choose(wanted, {("2",): exact[n], BUNDLED: child[n], BUNDLES: bundle[n]}, f"CAST(0 AS {KRW})") for n in GOODS_TERMS}
     df = add_columns(
         df,
         {
             "_fx": rate_or_fallback("usd_krw_package"),
             "_warehouse": total(FEES),
             "_shipping": amount("shipping_fee"),
-            **({name: f"CAST(0 AS {KRW})" for name in GOODS_TERMS} if no_goods else {}),
+            **terms,
         },
     )
     profit, profit_usd = "goods_profit + _warehouse * _fx", "goods_profit_usd_raw + _warehouse"
-    if ships:
-        profit, profit_usd = f"{profit} + marked_up_cost", f"{profit_usd} + {to_usd('marked_up_cost', '_fx')}"
-    if canceled is not None:
-        profit, profit_usd = (f"CASE WHEN {canceled} THEN 0 ELSE {p} END" for p in (profit, profit_usd))
+    shipped, shipped_usd = f"{profit} + marked_up_cost", f"{profit_usd} + {to_usd('marked_up_cost', '_fx')}"
+    profit, profit_usd = (
+        choose(wanted, {SHIPPED: ships, BUNDLED: f"(CASE WHEN is_canceled THEN 0 ELSE {own} END)"}, own)
+        for ships, own in ((shipped, profit), (shipped_usd, profit_usd))
+    )
 
     out = {
         "ship_date_kst": "CAST(ship_at_kst AS DATE)",
         "trans_at_utc_package": "CAST(trans_at_utc AS DATE)",
-        "profit_case": case,
+        "profit_case": "_kind",
+        "package_merchant": choose(wanted, {BUNDLES: "NULL"}, "package_merchant"),
         "goods_revenue_krw": won("goods_revenue"),
         "goods_revenue_usd": cents("goods_revenue_usd_raw"),
         "warehouse_revenue_krw": won("_warehouse * _fx"),
@@ -392,18 +450,19 @@ def ledger(
         "usd_krw_package": "_fx",
         "shipping_fee_krw": won("_shipping * _fx"),
         "shipping_fee_usd": "shipping_fee",
+        **_details(wanted, legacy_pg_usd),
     }
     for fee in FEES:
         out[f"{fee}_krw"] = won(f"{amount(fee)} * _fx")
-        out[f"{fee}_usd"] = amount(fee) if fees_zero else fee
-    if ships:
+        out[f"{fee}_usd"] = choose(wanted, {(*BUNDLES, *BUNDLED): amount(fee)}, fee)
+    # Children meet no shipping cost, so its columns are empty for them.
+    if wanted & set(SHIPPED):
         out["shipping_profit_krw"] = won("marked_up_cost")
         out["shipping_profit_usd"] = cents(to_usd("marked_up_cost", "_fx"))
         for cost in COSTS:
-            value = amount(cost) if zero_costs else cost
+            value = choose(wanted, {("2",): amount(cost)}, cost)
             out[f"{cost}_krw"] = won(value)
             out[f"{cost}_usd"] = cents(to_usd(value, "_fx"))
-    out |= details or {}
 
     present = set(df.columns)
     source = {name: out.get(name, f"`{name}`" if name in present else "NULL") for name in CANONICAL}

@@ -75,9 +75,14 @@ def rate_gaps(card: DataFrame, platforms: Platforms) -> DataFrame:
     return mins.selectExpr(*out)
 
 
-def refresh_gaps(rows: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Gap fields of the card rows: recomputed where possible, else what was there before."""
+def refresh_gaps(rows: DataFrame, gaps: DataFrame, countries: DataFrame | None = None) -> DataFrame:
+    """Gap fields of the card rows: recomputed where possible, else what was there before.
+
+    With ``countries`` (a column country), as those of a tariff, rows of other countries stay as they are.
+    """
     names = [c for c in gaps.columns if c not in GRID]
+    if countries is not None:
+        gaps = gaps.join(countries.select("country").distinct(), "country", "left_semi")
     new = gaps.select(*GRID, *[F.col(c).alias(f"_new_{c}") for c in names])
     joined = rows.join(new, GRID, "left")
     kept = [c for c in rows.columns if c not in names]
@@ -88,7 +93,12 @@ def refresh_gaps(rows: DataFrame, gaps: DataFrame) -> DataFrame:
 
 
 def parse_tariff(
-    text: DataFrame, label: str, platform: str, row_order: str = "row_order", max_kg: float = MAX_TARIFF_KG
+    text: DataFrame,
+    label: str,
+    platform: str,
+    row_order: str = "row_order",
+    max_kg: float = MAX_TARIFF_KG,
+    excluded: Sequence[str] = (EXCLUDED_COUNTRY,),
 ) -> DataFrame:
     """One platform's tariff as long rate rows from the text columns of a tariff file.
 
@@ -103,7 +113,7 @@ def parse_tariff(
         "CAST(try_cast(TRIM(REPLACE(Fee, ',', '')) AS DOUBLE) AS BIGINT) AS fee",
         f"`{row_order}` AS _order",
     )
-    wanted = (F.col("_platform") == label) & (F.col("country") != EXCLUDED_COUNTRY) & (F.col("weight") <= max_kg)
+    wanted = (F.col("_platform") == label) & ~F.col("country").isin(list(excluded)) & (F.col("weight") <= max_kg)
     return (
         clean.filter(wanted)
         .groupBy("country", "weight", "carrier")

@@ -16,8 +16,8 @@ from parcelmetrics.operators.purchases import (
     goods_per_package,
     with_both_currencies,
 )
-from parcelmetrics.plans import competitors, rollups, tiers, weekly
-from parcelmetrics.plans.cases import CaseQueries, case_table
+from parcelmetrics.plans import competitors, ratecard, rollups, tiers, weekly
+from parcelmetrics.plans.cases import SHIPPED, CaseQueries, case_table
 from parcelmetrics.sources.sample import SAMPLE_OPTIONS, SampleViews, sample_tables
 from parcelmetrics.sources.schemas import TARIFF_COLUMNS
 from parcelmetrics.sources.staging import staged
@@ -59,9 +59,9 @@ def case_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _combined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Combined straight from the case queries, without the written table."""
+    """Combined straight from the case queries in one pass, without the written table."""
     cases = CaseQueries(sample_tables(spark, sf_dir), SAMPLE_OPTIONS)
-    return comparable(rollups.combine(cases.all()))
+    return comparable(rollups.combine_table(cases.rows(*SHIPPED)))
 
 
 def _rollup(build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -109,7 +109,7 @@ def _purchase_fees(q: CaseQueries) -> DataFrame:
 
 
 def _goods_per_parent(q: CaseQueries) -> DataFrame:
-    sums = goods_per_package(q.children, q.bought)
+    sums = goods_per_package(q.children, q.bought, every_parent=True)
     return sums.selectExpr("package_id", *[f"sum_{c} AS {c}" for c in DETAIL_COLUMNS])
 
 
@@ -149,6 +149,45 @@ def _rate_card_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return competitors.rate_volumes(SampleViews(spark, sf_dir)["rate_card"], _volumes(spark, sf_dir))
 
 
+# The sample card: some weights are not rounded, rows hold a stale gap, an earlier volume and a field of their own.
+_CARD_FIELDS = {
+    "weight": "CAST(weight + CASE WHEN CAST(weight * 2 AS INT) % 3 = 0 THEN 0.04D ELSE 0D END AS VARIANT)",
+    "note": "CAST(CONCAT('keep ', country) AS VARIANT)",
+    "gap_express_pct": "CAST(99.5D AS VARIANT)",
+    "dk_volume_p1998": "CASE WHEN CAST(weight * 2 AS INT) % 2 = 0 THEN parse_json('{\"total\": -1, \"memo\": \"kept\"}') END",
+}
+_CARD_GAPS = [f"{name}" for c in competitors.CLASSES for name in (f"gap_{c}_pct", f"{c}_cheapest_fee", f"{c}_cheapest_carrier", f"competitor_{c}_min")]
+
+
+def _rate_card_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested card after volumes and a tariff, laid out a row each."""
+    v = SampleViews(spark, sf_dir)
+    card = ratecard.from_long(v["rate_card"], _CARD_FIELDS)
+    card = ratecard.with_volumes(card, _volumes(spark, sf_dir))
+    rows = ratecard.card_rows(ratecard.with_tariff(card, _tariff(v), PLATFORMS_MERGED))
+    fees = f"flatten(transform(map_entries(CAST(row['fees'] AS {ratecard.FEES})), c -> transform(map_entries(c.value), p -> CONCAT(c.key, ':', p.key, '=', CAST(p.value AS STRING)))))"
+    kind = {"pct": "double", "fee": "bigint", "min": "bigint", "carrier": "string"}
+    figures = [(label, figure) for label, _, _ in PERIODS for figure in ratecard.FIGURES]
+    return rows.selectExpr(
+        "country",
+        "columns",
+        "CAST(row['weight'] AS DOUBLE) AS weight",
+        "CAST(row['note'] AS STRING) AS note",
+        f"array_join(array_sort({fees}), ',') AS fees",
+        *[f"try_variant_get(row['{name}'], '$', '{kind[name.rsplit('_')[-1]]}') AS {name}" for name in _CARD_GAPS],
+        *[f"try_variant_get(row['dk_volume_{label}'], '$.{figure}', 'bigint') AS {label}_{figure}" for label, figure in figures],
+        "try_variant_get(row['dk_volume_p1998'], '$.memo', 'string') AS p1998_memo",
+    )
+
+
+def _refreshed_gaps(v: SampleViews) -> DataFrame:
+    """Gaps of the whole card, then again after the tariff, for the tariff's countries only."""
+    before = competitors.rate_gaps(v["rate_card"], PLATFORMS)
+    tariff = _tariff(v)
+    after = competitors.rate_gaps(competitors.merge_tariff(v["rate_card"], tariff), PLATFORMS_MERGED)
+    return competitors.refresh_gaps(before, after, tariff)
+
+
 def _carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return competitors.carrier_diagnostics(competitors.shipments(case_rows(spark, sf_dir)))
 
@@ -217,6 +256,8 @@ QUERIES: dict[str, Query] = {
     "tariff_merge": _views(_merged),
     "tariff_merge_gap": _views(lambda v: competitors.rate_gaps(_merged(v), PLATFORMS_MERGED)),
     "tariff_platforms": _views(_platforms),
+    "tariff_refreshed_gaps": _views(_refreshed_gaps),
+    "rate_card_document": _rate_card_document,
     "carrier_volume": _volumes,
     "rate_card_volume": _rate_card_volumes,
     "carrier_diagnostics": _carriers,
