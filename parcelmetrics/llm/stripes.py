@@ -25,7 +25,7 @@ from parcelmetrics.llm.common import staged
 from parcelmetrics.llm.tokens import runs
 
 #: Bytes of text of a bucket, but for a longer single text, and entries aimed at in a shard.
-BUCKET_BYTES, SHARD_ENTRIES = 6_000_000, 1_500_000
+BUCKET_BYTES, SHARD_ENTRIES = 3_000_000, 1_500_000
 
 ANSWERS = "bucket long, shard int, ids binary, totals binary"
 WORD_ANSWERS = f"{ANSWERS}, words binary, word_lengths binary"
