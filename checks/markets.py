@@ -174,6 +174,26 @@ def weekly_total_trend() -> str:
     return with_views(_trend("t", "scope"), SERIES, total)
 
 
+def weekly_category_trend() -> str:
+    total = ("t", "SELECT category, week_start, CAST(SUM(n) AS BIGINT) AS n, SUM(cents) AS cents FROM series GROUP BY ALL")
+    return with_views(_trend("t", "category"), SERIES, total)
+
+
+def report_categories() -> str:
+    """Weeks from 1998-05-11 to 1998-06-14; the last of them is reported."""
+    last, before = "week_start = DATE '1998-06-08'", "week_start = DATE '1998-06-01'"
+    sums = f"""SELECT category, COALESCE(SUM(n) FILTER ({last}), 0) AS n, COALESCE(SUM(cents) FILTER ({last}), 0) AS cents,
+        COALESCE(SUM(n) FILTER ({before}), 0) AS pn, COALESCE(SUM(cents) FILTER ({before}), 0) AS pc,
+        COALESCE(SUM(n) FILTER (NOT {last}), 0) AS fn, COALESCE(SUM(cents) FILTER (NOT {last}), 0) AS fc
+        FROM series WHERE week_start BETWEEN DATE '1998-05-11' AND DATE '1998-06-08' GROUP BY category"""
+    money = lambda c: f"CAST({c} AS DOUBLE) / 100"
+    return with_views(
+        f"""SELECT category, CAST(n AS BIGINT) AS n, {money('cents')} AS revenue, CAST(pn AS BIGINT) AS prior_n, {money('pc')} AS prior_revenue,
+        CAST(fn AS BIGINT) AS four_weeks_n, {money('fc')} AS four_weeks_revenue, {_pct('n', 'pn')} AS n_wow_pct, {_pct('cents', 'pc')} AS revenue_wow_pct FROM ({sums})""",
+        SERIES,
+    )
+
+
 def report_week() -> str:
     return with_views(
         """SELECT service, CAST(week_start AS VARCHAR) AS week_start, n, CAST(cents AS DOUBLE) / 100 AS revenue FROM series
@@ -282,6 +302,11 @@ def tier_transition(admins: bool = True) -> str:
     )
 
 
+def tier_matrix_percent() -> str:
+    cols = ", ".join(f"MAX(row_pct) FILTER (to_state = '{s}') AS \"{s}\"" for s in ["Basic", "Bronze", "Silver", "Gold", "VIP", "No activity"])
+    return f"SELECT from_period, to_period, from_state, {cols} FROM ({tier_transition()}) GROUP BY from_period, to_period, from_state"
+
+
 def tier_matrix() -> str:
     cols = ", ".join(
         f"CAST(COALESCE(SUM(customers) FILTER (to_state = '{s}'), 0) AS BIGINT) AS \"{s}\""
@@ -339,6 +364,9 @@ def market_checks() -> dict[str, str]:
         ),
         "rate_gap": with_views(_gaps("v"), _priced("{rate_card}")),
         "tariff_rows": with_views("SELECT * FROM tariff", TARIFF),
+        "tariff_file": with_views("SELECT * FROM tariff", TARIFF),
+        "rate_card_file": with_views("""SELECT country, ROUND(weight + CASE WHEN CAST(weight * 2 AS INT) % 3 = 0 THEN 0.04 ELSE 0 END, 1) AS weight,
+            carrier, platform, fee FROM {rate_card}"""),
         "tariff_merge": with_views("SELECT * FROM merged", TARIFF, MERGED),
         "tariff_merge_gap": with_views(_gaps("v", "('rival_a', 'rival_b', 'rival_c')"), TARIFF, MERGED, _priced("merged")),
         "tariff_platforms": with_views(
@@ -362,7 +390,9 @@ def market_checks() -> dict[str, str]:
         ),
         "weekly_trend": weekly_trend(),
         "weekly_total_trend": weekly_total_trend(),
+        "weekly_category_trend": weekly_category_trend(),
         "weekly_report_rows": report_week(),
+        "weekly_report_categories": report_categories(),
         "weekly_contribution": contributions(),
         "weekly_package_mix": package_mix(),
         "weekday_distribution": weekday_distribution(),
@@ -371,5 +401,6 @@ def market_checks() -> dict[str, str]:
         "tier_transition": tier_transition(),
         "tier_transition_no_admin": tier_transition(False),
         "tier_matrix": tier_matrix(),
+        "tier_matrix_percent": tier_matrix_percent(),
         "tier_summary": tier_summary(),
     }

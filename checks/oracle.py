@@ -42,5 +42,9 @@ def oracle_sql() -> dict[str, str]:
         "top_suites": r.top_suites(),
         "revenue_concentration": r.concentration(),
         "suite_search": r.suite_search("S11"),
+        "page_amounts": r.page_amounts(),
+        "older_results": r.older_results(),
+        "exported_cases": r.exported_cases(),
+        "dashboard_file": r.dashboard_file(),
         **market_checks(),
     }

@@ -341,11 +341,49 @@ def split_shares() -> str:
 
 
 def top_suites() -> str:
-    return over_combined(
-        f"""SELECT suite_number, {dbl('total_revenue', 'total_revenue')}, {dbl('total_profit', 'total_profit')}, total_packages, profit_pkg_count
-        FROM s ORDER BY total_revenue DESC, suite_number LIMIT 50""",
-        suite_step(),
-    )
+    return f"SELECT * FROM ({suite_profiles(False)}) ORDER BY total_revenue DESC, suite_number LIMIT 50"
+
+
+def page_amounts() -> str:
+    return f"""SELECT suite_number, COALESCE(CAST(NULLIF(total_revenue_usd, 0) AS DOUBLE), CAST(total_revenue AS DOUBLE) / 1450) AS revenue_usd,
+        total_package_weight / 1000 AS package_kg, total_dim_weight / 1000 AS dimension_kg,
+        CASE WHEN cost_pkg_count = 0 THEN 0 ELSE total_package_weight_cost / cost_pkg_count END AS cost_weight
+        FROM ({suite_totals()})"""
+
+
+def older_results() -> str:
+    """Each layout by what its columns hold, written out."""
+    fees = ["storage_fee", "request_photo_fee", "repack_fee", "bubble_wrap_fee", "vacuum_repack_fee", "plasticbox_fee", "remove_papertube_fee", "inclusion_fee", "bfm_extra_fee"]
+    goods = ["total_goods_price", "domestic_shipping_price", "fee_handling_fee", "pg_fee", "service_fee", "surtax"]
+    add = lambda names, c: " + ".join(f"CAST(COALESCE({n}_{c}, 0) AS DECIMAL(18,2))" for n in names)
+    parts = []
+    for case, piece in ((1, "case_1"), (4, "case_4_parents")):
+        body = f"FROM ({PIECES[piece][0]})"
+        head = f"{case} AS case_number, package_id"
+        parts.append(f"""SELECT 'named otherwise' AS layout, {head}, goods_revenue_krw, goods_revenue_usd, warehouse_revenue_krw, warehouse_revenue_usd,
+            shipping_revenue_krw, shipping_revenue_usd, ship_date_kst, 0 AS marked_up_cost_krw, usd_krw_package AS origin_usd_krw_package {body}""")
+        own = ["0", "0"] if case == 1 else [add(goods, "krw"), add(goods, "usd")]
+        parts.append(f"""SELECT 'fees only', {head}, {own[0]}, {own[1]}, {add(fees, 'krw')}, {add(fees, 'usd')},
+            COALESCE(shipping_fee_krw, 0), COALESCE(shipping_fee_usd, 0), ship_date_kst, marked_up_cost_krw, origin_usd_krw_package {body}""")
+        exact = "CAST(COALESCE(shipping_fee_usd, 0) * 100 AS HUGEINT) * CAST(ROUND(COALESCE(usd_krw_package, 1450) * 100) AS HUGEINT)"
+        down, rest = f"(({exact}) // 10000)", f"(({exact}) % 10000)"
+        even = f"({down} + CASE WHEN {rest} > 5000 OR ({rest} = 5000 AND {down} % 2 = 1) THEN 1 ELSE 0 END)"
+        parts.append(f"""SELECT 'dollars only', {head}, 0, 0, COALESCE(storage_fee_krw, 0), 0, {even}, COALESCE(shipping_fee_usd, 0), NULL, 0, usd_krw_package {body}""")
+    names = ["goods_revenue_krw", "goods_revenue_usd", "warehouse_revenue_krw", "warehouse_revenue_usd", "shipping_revenue_krw", "shipping_revenue_usd", "marked_up_cost_krw", "origin_usd_krw_package"]
+    columns = ", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in names)
+    return with_views(f"SELECT layout, case_number, package_id, ship_date_kst, {columns} FROM ({' UNION ALL '.join(parts)})", *steps_of("case_1", "case_4_parents"))
+
+
+def exported_cases() -> str:
+    columns = "package_id, profit_case, inner_package_id, revenue_krw, profit_usd, ship_date_kst AS ship_date"
+    rows = " UNION ALL ".join(f"SELECT * FROM ({PIECES[n][0]})" for n in ("case_4_parents", "case_4_children"))
+    return with_views(f"SELECT {columns}, 'reference_type,revenue_krw,revenue_usd' AS beside_reference FROM ({rows})", *steps_of("case_4_parents", "case_4_children"))
+
+
+def dashboard_file() -> str:
+    columns = "source_case, buy, storage, ship, buy_usd, storage_usd, ship_usd"
+    return f"""SELECT 'revenue_split' AS section, {columns.replace('source_case', 'NULL AS source_case')} FROM ({revenue_split(False)})
+        UNION ALL SELECT 'case_revenue_splits', {columns} FROM ({revenue_split(True)})"""
 
 
 def concentration() -> str:

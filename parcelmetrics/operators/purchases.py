@@ -43,16 +43,18 @@ _USD_ITEMS = ["handling", "domestic", "discount", "coupon"]
 
 
 def with_payments(requests: DataFrame, paid: DataFrame) -> DataFrame:
-    """Requests with each of their payments, and those without any.
+    """Requests with each of their payments, and those without any; a request without id joins nothing and is left out.
 
     Payments are the side that adaptive execution can split, so that a request holding a large share of them is no single
     task; requests without a payment follow from the distinct paid ids, which are combined on the map side.
     """
-    known = paid.filter("paid_request_id IS NOT NULL")
-    met = splittable_join(known, requests, "paid_request_id", "request_id", spread="purchase_date", how="inner")
-    met = met.withColumn("is_paid", F.lit(True)).withColumnRenamed("paid_request_id", "request_id")
-    ids = known.select(F.col("paid_request_id").alias("_paid_id")).distinct()
-    unpaid = requests.join(ids, F.col("request_id") == F.col("_paid_id"), "left_anti").withColumn("is_paid", F.lit(False))
+    # The hash as a second key gives both joins the same exchange of the requests, one that skew handling may split.
+    known = paid.filter("paid_request_id IS NOT NULL").withColumn("_paid_hash", F.xxhash64("paid_request_id"))
+    hashed = requests.filter("request_id IS NOT NULL").withColumn("_hash", F.xxhash64("request_id"))
+    same = F.expr("request_id = paid_request_id AND _hash = _paid_hash")
+    met = known.join(hashed, same).withColumn("is_paid", F.lit(True)).drop("_paid_hash", "_hash", "paid_request_id")
+    ids = known.select("paid_request_id", "_paid_hash").distinct()
+    unpaid = hashed.join(ids, same, "left_anti").withColumn("is_paid", F.lit(False)).drop("_hash")
     return met.unionByName(unpaid, allowMissingColumns=True)
 
 

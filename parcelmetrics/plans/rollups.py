@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelmetrics.functions.labels import (
+    CASE_NAMES,
     UNKNOWN_SUITE,
     WEIGHT_LABELS,
     case_name,
@@ -18,7 +20,7 @@ from parcelmetrics.functions.labels import (
 )
 from parcelmetrics.operators.columns import add_columns
 from parcelmetrics.operators.packages import PARENT_TYPES
-from parcelmetrics.operators.ranking import PERCENTILE, describe, ranked_values, top_rows, with_percentile_ranks
+from parcelmetrics.operators.ranking import describe, top_share, with_percentile_ranks
 
 CURRENCIES = ("krw", "usd")
 REVENUE_PARTS = {"buy": "goods_revenue", "storage": "warehouse_revenue", "ship": "shipping_revenue"}
@@ -57,50 +59,72 @@ FALLBACK_FEES = [
 ]
 FALLBACK_GOODS = ["total_goods_price", "domestic_shipping_price", "fee_handling_fee", "pg_fee", "service_fee", "surtax"]
 
+#: An expression for a schema, given as the names of its columns.
+Expression = Callable[[set[str]], str]
 
-def sum_present(columns: list[str], present: set[str]) -> str:
+
+def sum_present(columns: Iterable[str], present: set[str]) -> str:
     """Sum of the columns that exist, NULL as zero; zero when none does."""
     return " + ".join(f"COALESCE({c}, 0)" for c in columns if c in present) or "0"
 
 
+def total_of(*columns: str) -> Expression:
+    return lambda have: sum_present(columns, have)
+
+
+def plain(sql: str) -> Expression:
+    return lambda have: sql
+
+
+def _converted(have: set[str]) -> str:
+    return f"BROUND({sum_present(['shipping_fee'], have)} * {'COALESCE(usd_krw_package, 1450)' if 'usd_krw_package' in have else '1450'}, 0)"
+
+
+def _each(target: str, source: Callable[[str], Expression]) -> dict[str, Expression]:
+    return {f"{target}_{c}": source(c) for c in CURRENCIES}
+
+
+@dataclass(frozen=True)
+class Candidate:
+    """A way to fill targets: for results that have the column ``needs``, of the given cases (all if empty)."""
+
+    fills: Mapping[str, Expression]
+    needs: str | None = None
+    cases: tuple[int, ...] = ()
+
+
+#: Missing column to its candidates, of which the first that fits an older result counts.
+RESOLVED: dict[str, tuple[Candidate, ...]] = {
+    "warehouse_revenue_krw": (
+        Candidate(_each("warehouse_revenue", lambda c: total_of(f"revenue_sto_{c}")), "revenue_sto_krw"),
+        Candidate(_each("warehouse_revenue", lambda c: total_of(*[f"{fee}_{c}" for fee in FALLBACK_FEES]))),
+    ),
+    "shipping_revenue_krw": (
+        Candidate(_each("shipping_revenue", lambda c: total_of(f"revenue_shp_{c}")), "revenue_shp_krw"),
+        Candidate({"shipping_revenue_krw": total_of("shipping_fee_krw"), "shipping_revenue_usd": total_of("shipping_fee")}, "shipping_fee_krw"),
+        Candidate({"shipping_revenue_krw": _converted, "shipping_revenue_usd": total_of("shipping_fee")}),
+    ),
+    "goods_revenue_krw": (
+        Candidate(_each("goods_revenue", lambda c: total_of(f"revenue_buy_{c}")), "revenue_buy_krw"),
+        Candidate(_each("goods_revenue", lambda c: plain("0")), cases=(1, 3)),
+        Candidate(_each("goods_revenue", lambda c: total_of(*[f"{goods}_{c}" for goods in FALLBACK_GOODS]))),
+    ),
+    "ship_date_kst": (Candidate({"ship_date_kst": plain("ship_at_kst")}, "ship_at_kst"), Candidate({"ship_date_kst": plain("CAST(NULL AS DATE)")})),
+    "marked_up_cost_krw": (Candidate({"marked_up_cost_krw": plain("0")}),),
+    "origin_usd_krw_package": (
+        Candidate({"origin_usd_krw_package": plain("usd_krw_package")}, "usd_krw_package"),
+        Candidate({"origin_usd_krw_package": plain("1450")}),
+    ),
+}
+
+
 def standardize(df: DataFrame, case: int) -> DataFrame:
-    """Fill in measure columns an older result lacks, from what it does have."""
+    """Fill in measure columns an older result lacks, from what it does have, by the table of candidates."""
     have = set(df.columns)
     new: dict[str, str] = {}
-
-    def first(name: str) -> str:
-        return f"COALESCE({name}, 0)" if name in have else "0"
-
-    if "warehouse_revenue_krw" not in have:
-        for c in CURRENCIES:
-            old = f"revenue_sto_{c}"
-            fees = sum_present([f"{fee}_{c}" for fee in FALLBACK_FEES], have)
-            new[f"warehouse_revenue_{c}"] = first(old) if "revenue_sto_krw" in have else fees
-    if "shipping_revenue_krw" not in have:
-        if "revenue_shp_krw" in have:
-            new |= {f"shipping_revenue_{c}": first(f"revenue_shp_{c}") for c in CURRENCIES}
-        elif "shipping_fee_krw" in have:
-            new |= {"shipping_revenue_krw": first("shipping_fee_krw"), "shipping_revenue_usd": first("shipping_fee")}
-        else:
-            rate = "COALESCE(usd_krw_package, 1450)" if "usd_krw_package" in have else "1450"
-            new |= {
-                "shipping_revenue_krw": f"BROUND({first('shipping_fee')} * {rate}, 0)",
-                "shipping_revenue_usd": first("shipping_fee"),
-            }
-    if "goods_revenue_krw" not in have:
-        for c in CURRENCIES:
-            if "revenue_buy_krw" in have:
-                new[f"goods_revenue_{c}"] = first(f"revenue_buy_{c}")
-            elif case in (1, 3):
-                new[f"goods_revenue_{c}"] = "0"
-            else:
-                new[f"goods_revenue_{c}"] = sum_present([f"{g}_{c}" for g in FALLBACK_GOODS], have)
-    if "ship_date_kst" not in have:
-        new["ship_date_kst"] = "ship_at_kst" if "ship_at_kst" in have else "CAST(NULL AS DATE)"
-    if "marked_up_cost_krw" not in have:
-        new["marked_up_cost_krw"] = "0"
-    if "origin_usd_krw_package" not in have:
-        new["origin_usd_krw_package"] = "usd_krw_package" if "usd_krw_package" in have else "1450"
+    for missing in RESOLVED.keys() - have:
+        fitting = (c for c in RESOLVED[missing] if (c.needs is None or c.needs in have) and (not c.cases or case in c.cases))
+        new |= {name: sql(have) for name, sql in next(fitting).fills.items()}
     return add_columns(df, new) if new else df
 
 
@@ -165,20 +189,33 @@ KPI_SUMS = {
 }
 
 
+def _distinct(df: DataFrame, column: str) -> Column:
+    """Number of distinct values but NULL, as a scalar: combined on the map side, one row a value."""
+    return df.select(column).where(F.col(column).isNotNull()).distinct().agg(F.count("*")).scalar()
+
+
 def kpi_totals(df: DataFrame) -> DataFrame:
-    """Totals, distinct packages and customers, and the period with measurable profit."""
+    """Totals, distinct packages and customers, and the period with measurable profit.
+
+    Rows are summed per package first, so the number of packages is a plain count and no row is copied for a
+    distinct count.
+    """
+    measures = [f"{col}_{c}" for col in KPI_SUMS.values() for c in CURRENCIES]
+    eligible = "CASE WHEN profit_krw IS NOT NULL THEN ship_date_kst END"
+    per_package = df.groupBy("package_id").agg(
+        *[F.sum(m).alias(m) for m in measures], F.expr(f"MIN({eligible}) AS _first"), F.expr(f"MAX({eligible}) AS _last")
+    )
     sums = [F.expr(f"CAST(COALESCE(SUM({col}_krw), 0) AS BIGINT) AS {name}") for name, col in KPI_SUMS.items()]
     usd = [F.expr(f"BROUND(COALESCE(SUM({col}_usd), 0), 2) AS {name}_usd") for name, col in KPI_SUMS.items()]
-    eligible = "CASE WHEN profit_krw IS NOT NULL THEN ship_date_kst END"
-    return df.agg(
+    totals = per_package.agg(
         *sums,
-        F.count_distinct("package_id").alias("total_packages"),
-        F.count_distinct("suite_number").alias("total_customers"),
+        F.count("package_id").alias("total_packages"),
         *usd,
-        F.expr(f"CAST(MIN({eligible}) AS STRING) AS profit_start_date"),
-        F.expr(f"CAST(MAX({eligible}) AS STRING) AS profit_end_date"),
-        F.expr(f"COUNT(DISTINCT {eligible}) AS profit_days"),
+        F.expr("CAST(MIN(_first) AS STRING) AS profit_start_date"),
+        F.expr("CAST(MAX(_last) AS STRING) AS profit_end_date"),
     )
+    days = df.selectExpr(f"{eligible} AS _day")
+    return totals.select("*", _distinct(df, "suite_number").alias("total_customers"), _distinct(days, "_day").alias("profit_days"))
 
 
 def median_exchange_rate(df: DataFrame) -> DataFrame:
@@ -186,7 +223,7 @@ def median_exchange_rate(df: DataFrame) -> DataFrame:
     rates = df.selectExpr(
         "CASE WHEN origin_usd_krw_package > 0 THEN CAST(origin_usd_krw_package * 100 AS BIGINT) END AS value"
     )
-    median = describe(rates, [], quantiles={"median": 0.5})
+    median = describe(rates, {"rate": "value"}, {"median": 0.5})
     rate = "BROUND(CAST(median AS DECIMAL(20,1)) / 100, 2)"
     return median.selectExpr(f"CASE WHEN count > 0 THEN CAST({rate} AS DOUBLE) ELSE 1450D END AS exchange_rate")
 
@@ -213,14 +250,8 @@ PACKAGE_METRICS = [
 ]
 
 
-def unpivot(df: DataFrame, values: Mapping[str, str], keys: list[str] | None = None) -> DataFrame:
-    """Rows (keys, metric, value) from whole-number expressions."""
-    pairs = ", ".join(f"'{name}', CAST({sql} AS BIGINT)" for name, sql in values.items())
-    return df.selectExpr(*(keys or []), f"stack({len(values)}, {pairs}) AS (metric, value)")
-
-
 def package_statistics(df: DataFrame) -> DataFrame:
-    return describe(unpivot(df, {m: m for m in PACKAGE_METRICS}), ["metric"])
+    return describe(df, {m: m for m in PACKAGE_METRICS})
 
 
 # Case summary --------------------------------------------------------------------------
@@ -236,20 +267,38 @@ def _weight(column: str) -> str:
     return f"try_cast({column} AS DOUBLE)"
 
 
+def exact_weight(column: str) -> str:
+    """A weight in decimals, so that sums do not depend on the order of rows; digits beyond the fourth are cut."""
+    return f"CAST({_weight(column)} AS DECIMAL(20,4))"
+
+
 def case_summary(df: DataFrame) -> DataFrame:
-    """Sums, distinct counts and per-package and per-suite ratios of each case."""
-    eligible = "CASE WHEN profit_krw IS NOT NULL THEN {} END"
-    sums = df.groupBy("source_case").agg(
-        F.count_distinct("package_id").alias("package_id"),
-        F.count_distinct("suite_number").alias("suite_count"),
+    """Sums, distinct counts and per-package and per-suite ratios of each case.
+
+    Distinct counts are counts of rows grouped per package and per suite, of which a flag says whether any has a profit.
+    """
+    weights = {
+        "package_weight": exact_weight("package_weight"),
+        "dimension_weight": exact_weight("dimension_weight"),
+        "total_act_weight_profit": f"CASE WHEN {HAS_COST} THEN {exact_weight('package_weight')} END",
+        "total_dim_weight_profit": f"CASE WHEN {HAS_COST} THEN {exact_weight('dimension_weight')} END",
+    }
+    profit = F.expr("MAX(CASE WHEN profit_krw IS NOT NULL THEN 1 ELSE 0 END) AS _profit")
+    per_package = df.groupBy("source_case", "package_id").agg(
+        profit, *[F.sum(c).alias(c) for c in SUMMED], *[F.expr(f"SUM({sql}) AS {name}") for name, sql in weights.items()]
+    )
+    counted = "CASE WHEN {} IS NOT NULL THEN _profit END"
+    packages = per_package.groupBy("source_case").agg(
+        F.count("package_id").alias("package_id"),
         *[F.expr(f"COALESCE(SUM({c}), 0) AS {c}") for c in SUMMED],
-        F.expr(f"COALESCE(SUM({_weight('package_weight')}), 0D) AS package_weight"),
-        F.expr(f"COALESCE(SUM({_weight('dimension_weight')}), 0D) AS dimension_weight"),
-        F.expr(f"COUNT(DISTINCT {eligible.format('package_id')}) AS profit_pkg_count"),
-        F.expr(f"COUNT(DISTINCT {eligible.format('suite_number')}) AS profit_suite_count"),
-        F.expr(f"COALESCE(SUM(CASE WHEN {HAS_COST} THEN {_weight('package_weight')} END), 0D) AS total_act_weight_profit"),
-        F.expr(f"COALESCE(SUM(CASE WHEN {HAS_COST} THEN {_weight('dimension_weight')} END), 0D) AS total_dim_weight_profit"),
+        *[F.expr(f"COALESCE(CAST(SUM({name}) AS DOUBLE), 0D) AS {name}") for name in weights],
+        F.expr(f"COALESCE(SUM({counted.format('package_id')}), 0) AS profit_pkg_count"),
+    )
+    per_suite = df.groupBy("source_case", "suite_number").agg(profit)
+    suites = per_suite.groupBy("source_case").agg(
+        F.count("suite_number").alias("suite_count"), F.expr(f"COALESCE(SUM({counted.format('suite_number')}), 0) AS profit_suite_count")
     )
+    sums = packages.join(suites, "source_case")
 
     def ratio(top: str, count: str) -> str:
         return f"CAST({top} AS DOUBLE) / GREATEST({count}, 1)"
@@ -306,65 +355,135 @@ def _bin_mask(column: str) -> str:
     return f"BIT_OR(CASE WHEN {weight_bin(column)} IS NOT NULL THEN shiftleft(1, {weight_bin(column)}) ELSE 0 END)"
 
 
-def suite_totals(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Every scalar of a suite, and its weight histograms, in two grouping steps.
+CASE_DETAIL = {
+    "revenue": "revenue_krw",
+    "profit": "profit_krw",
+    "buy": "revenue_buy_krw",
+    "storage": "revenue_storage_krw",
+    "ship": "revenue_ship_krw",
+    "revenue_usd": "revenue_usd",
+    "profit_usd": "profit_usd",
+    "buy_usd": "revenue_buy_usd",
+    "storage_usd": "revenue_storage_usd",
+    "ship_usd": "revenue_ship_usd",
+}
+
+
+
+#: Country codes are numbered AA = 0 to ZZ = 675; a package's are bits of as many words.
+_LETTERS, _BITS = 26, 60
+_WORDS = -(-_LETTERS * _LETTERS // _BITS)
+_CODE = f"(ascii(country_code) - 65) * {_LETTERS} + ascii(substr(country_code, 2, 1)) - 65"
+
+
+def _codes_of_bits() -> str:
+    """The country codes of a package from its words of bits."""
+    bits = " ".join(f"WHEN {k} THEN _c{k}" for k in range(_WORDS))
+    code = f"CONCAT(chr(65 + x DIV {_LETTERS}), chr(65 + x % {_LETTERS}))"
+    held = f"(shiftright(CASE x DIV {_BITS} {bits} END, x % {_BITS}) & 1) = 1"
+    return f"transform(filter(sequence(0, {_LETTERS * _LETTERS - 1}), x -> {held}), x -> {code})"
+
+
+def suite_rows(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """One row per suite: every scalar, the weight histograms, and maps of its cases and countries, in one pass.
 
     The first step groups by suite and package, so the rows of a very large suite are spread
     over its packages, and a distinct count of packages that meet a condition becomes a sum
-    of flags in the second step: no set of packages is ever held per suite.
+    of flags: no set of packages is ever held per suite. What belongs to a case is a conditional sum, countries are bits.
+    The second step groups by suite and country; a package in several countries counts once in the sums and
+    once in each of them. The third adds the countries of a suite up.
     """
     keys = keys or SUITE
     parents = ", ".join(f"'{t}'" for t in PARENT_TYPES)
     weights = {"package": "package_weight", "dim": "dimension_weight"}
+    cases = {name: f"'{name}'" for name in CASE_NAMES}
+
+    def in_case(k: int) -> str:
+        return f"source_case = {list(cases.values())[k]}"
+
+    numbers = range(len(cases))
     per_package = df.groupBy(*keys, "package_id").agg(
         *[F.expr(f"SUM({source}) AS {name}") for name, source in SUITE_TOTALS.items()],
         F.expr(f"MAX(CASE WHEN package_type IN ({parents}) THEN 1 ELSE 0 END) AS _console"),
         F.expr("MAX(CASE WHEN profit_krw IS NOT NULL THEN 1 ELSE 0 END) AS _profit"),
         F.expr(f"MAX(CASE WHEN {HAS_COST} THEN 1 ELSE 0 END) AS _cost"),
-        *[F.expr(f"SUM({_weight(c)}) AS _w_{n}") for n, c in weights.items()],
-        *[F.expr(f"COUNT({_weight(c)}) AS _c_{n}") for n, c in weights.items()],
-        *[F.expr(f"SUM(CASE WHEN {HAS_COST} THEN {_weight(c)} END) AS _x_{n}") for n, c in weights.items()],
+        *[F.expr(f"SUM({exact_weight(c)}) AS _w_{n}") for n, c in weights.items()],
+        *[F.expr(f"COUNT({_weight(c)}) AS _n_{n}") for n, c in weights.items()],
+        *[F.expr(f"SUM(CASE WHEN {HAS_COST} THEN {exact_weight(c)} END) AS _x_{n}") for n, c in weights.items()],
         *[F.expr(f"{_bin_mask(c)} AS _b_{n}") for n, c in weights.items()],
+        *[F.expr(f"MAX(CASE WHEN {in_case(k)} THEN 1 ELSE 0 END) AS _k{k}") for k in numbers],
+        *[F.expr(f"SUM(CASE WHEN {in_case(k)} THEN {source} END) AS _k{k}_{name}") for k in numbers for name, source in CASE_DETAIL.items()],
+        F.expr(f"MIN(CASE WHEN {is_country_code()} THEN country_code END) AS _first"),
+        F.expr(f"MAX(CASE WHEN {is_country_code()} THEN country_code END) AS _last"),
+        *[
+            F.expr(f"BIT_OR(CASE WHEN {is_country_code()} AND ({_CODE}) DIV {_BITS} = {k} THEN shiftleft(1L, CAST(({_CODE}) % {_BITS} AS INT)) ELSE 0L END) AS _c{k}")
+            for k in range(_WORDS)
+        ],
+    )
+    # A package of one country, or of none, is one row; of several, a row for the sums and one for each country.
+    one = "array(named_struct('country', _first, 'sums', TRUE))"
+    several = f"concat(array(named_struct('country', CAST(NULL AS STRING), 'sums', TRUE)), transform({_codes_of_bits()}, c -> named_struct('country', c, 'sums', FALSE)))"
+    placed = per_package.selectExpr("*", f"explode(IF(_first IS NULL OR _first = _last, {one}, {several})) AS _in").drop("_first", "_last", *[f"_c{k}" for k in range(_WORDS)])
+
+    def summed(column: str) -> str:
+        return f"SUM(CASE WHEN _in.sums THEN {column} END)"
+
+    def packages(flag: str) -> str:
+        # A NULL package id is a group of its own here, but not a package.
+        return f"SUM(CASE WHEN _in.sums AND package_id IS NOT NULL THEN {flag} END)"
+
+    bins = {f"_b_{n}_{i}": f"SUM(CASE WHEN _in.sums THEN shiftright(_b_{n}, {i}) & 1 END)" for n in weights for i in range(len(WEIGHT_LABELS))}
+    plain_sums = [*SUITE_TOTALS, *[f"_{kind}_{n}" for kind in "wnx" for n in weights], *[f"_k{k}_{name}" for k in numbers for name in CASE_DETAIL]]
+    flags = {"total_packages": "1", "profit_pkg_count": "_profit", "console_packages": "_console", "cost_pkg_count": "_cost", **{f"_k{k}": f"_k{k}" for k in numbers}}
+    by_country = placed.groupBy(*keys, F.col("_in.country").alias("_country")).agg(
+        *[F.expr(f"{summed(c)} AS {c}") for c in plain_sums],
+        *[F.expr(f"{packages(sql)} AS {name}") for name, sql in flags.items()],
+        *[F.expr(f"{sql} AS {name}") for name, sql in bins.items()],
+        F.count("package_id").alias("_here"),
     )
+    counted = "collect_list(CASE WHEN _country IS NOT NULL THEN named_struct('k', _country, 'v', _here) END)"
 
-    def bins(n: str) -> str:
-        counts = ", ".join(f"'{label}', SUM(shiftright(_b_{n}, {i}) & 1)" for i, label in enumerate(WEIGHT_LABELS))
+    def histogram(n: str) -> str:
+        counts = ", ".join(f"'{label}', COALESCE(SUM(_b_{n}_{i}), 0)" for i, label in enumerate(WEIGHT_LABELS))
         return f"map_filter(map({counts}), (k, v) -> v > 0)"
 
-    totals = per_package.groupBy(*keys).agg(
+    def case_stats() -> str:
+        entries = []
+        for k, name in enumerate(cases.values()):
+            fields = ", ".join(f"'{f}', COALESCE(SUM(_k{k}_{f}), 0)" for f in CASE_DETAIL)
+            entries.append(f"{name}, named_struct('count', COALESCE(SUM(_k{k}), 0), {fields})")
+        seen = ", ".join(f"IF(MAX(_any{k}), {name}, NULL)" for k, name in enumerate(cases.values()))
+        return f"map_filter(map({', '.join(entries)}), (k, v) -> array_contains(array({seen}), k))"
+
+    # A case is listed where it has rows, even if none of them has a package id.
+    by_country = by_country.selectExpr("*", *[f"_k{k}_revenue IS NOT NULL AS _any{k}" for k in numbers])
+    totals = by_country.groupBy(*keys).agg(
         *[F.expr(f"COALESCE(SUM({name}), 0) AS {name}") for name in SUITE_TOTALS],
-        # A NULL package id is a group of its own here, but not a package.
-        F.count("package_id").alias("total_packages"),
-        F.expr("SUM(CASE WHEN package_id IS NOT NULL THEN _profit END) AS profit_pkg_count"),
-        F.expr("SUM(CASE WHEN package_id IS NOT NULL THEN _console END) AS console_packages"),
-        F.expr("SUM(CASE WHEN package_id IS NOT NULL THEN _cost END) AS cost_pkg_count"),
-        *[F.expr(f"COALESCE(SUM(_w_{n}), 0D) AS total_{n}_weight") for n in weights],
-        *[F.expr(f"SUM(_c_{n}) AS _c_{n}") for n in weights],
-        *[F.expr(f"COALESCE(SUM(_x_{n}), 0D) AS total_{n}_weight_cost") for n in weights],
-        F.expr(f"{bins('package')} AS weight_bins_actual"),
-        F.expr(f"{bins('dim')} AS weight_bins_volumetric"),
+        *[F.expr(f"COALESCE(SUM({name}), 0) AS {name}") for name in flags if not name.startswith("_")],
+        *[F.expr(f"COALESCE(SUM(_w_{n}), 0) AS total_{n}_weight") for n in weights],
+        *[F.expr(f"SUM(_n_{n}) AS _n_{n}") for n in weights],
+        *[F.expr(f"COALESCE(SUM(_x_{n}), 0) AS total_{n}_weight_cost") for n in weights],
+        F.expr(f"{histogram('package')} AS weight_bins_actual"),
+        F.expr(f"{histogram('dim')} AS weight_bins_volumetric"),
+        F.expr(f"{case_stats()} AS case_stats"),
+        F.expr(f"map_from_entries(array_sort({counted})) AS country_counts"),
     )
-    means = {f"avg_{n}_weight": f"CASE WHEN _c_{n} > 0 THEN {one_decimal(f'total_{n}_weight', f'_c_{n}')} END" for n in weights}
+    means = {f"avg_{n}_weight": f"CASE WHEN _n_{n} > 0 THEN {one_decimal(f'total_{n}_weight', f'_n_{n}')} END" for n in weights}
     sums = {
         c: f"CAST(BROUND(CAST({c} AS DECIMAL(24,3)), 1) AS DOUBLE)"
         for n in weights
         for c in (f"total_{n}_weight", f"total_{n}_weight_cost")
     }
-    return add_columns(totals, {**means, **sums}).drop(*[f"_c_{n}" for n in weights])
+    more = {"shipping_countries": "SIZE(country_counts)"}
+    return add_columns(totals, {**means, **sums, **more}).drop(*[f"_n_{n}" for n in weights])
 
 
-CASE_DETAIL = {
-    "revenue": "revenue_krw",
-    "profit": "profit_krw",
-    "buy": "revenue_buy_krw",
-    "storage": "revenue_storage_krw",
-    "ship": "revenue_ship_krw",
-    "revenue_usd": "revenue_usd",
-    "profit_usd": "profit_usd",
-    "buy_usd": "revenue_buy_usd",
-    "storage_usd": "revenue_storage_usd",
-    "ship_usd": "revenue_ship_usd",
-}
+NESTED = ["case_stats", "country_counts", "shipping_countries"]
+
+
+def suite_totals(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The scalars of a suite and its weight histograms."""
+    return suite_rows(df, keys).drop(*NESTED)
 
 
 def suite_case_detail(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -405,33 +524,16 @@ def suite_weight_histogram(df: DataFrame) -> DataFrame:
 def with_percentiles(totals: DataFrame, group: list[str]) -> DataFrame:
     """Revenue and profit percentiles of suites, within each ``group``."""
     values = {"rev_percentile": "total_revenue", "profit_percentile": "total_profit"}
-    return add_columns(with_percentile_ranks(totals, group, values), {"percentile": "rev_percentile"})
+    return add_columns(with_percentile_ranks(totals, [*group, *SUITE], group, values), {"percentile": "rev_percentile"})
 
 
 def suite_profiles(df: DataFrame, period: list[str] | None = None) -> DataFrame:
     """One row per suite (and period): scalars, percentiles and nested maps.
 
-    The maps hold at most five cases, six bins and the countries of the two-letter code
-    space. All three inputs end up grouped by suite, so joining them needs no shuffle.
+    The maps hold at most five cases, six bins and the countries of the two-letter code space.
     """
     period = period or []
-    keys = [*period, *SUITE]
-    fields = ", ".join(["count", *CASE_DETAIL])
-    cases = suite_case_detail(df, keys).groupBy(*keys).agg(
-        F.expr(f"map_from_entries(array_sort(collect_list(struct(source_case, struct({fields}))))) AS case_stats")
-    )
-    countries = suite_countries(df, keys).groupBy(*keys).agg(
-        F.expr("map_from_entries(array_sort(collect_list(struct(country_code, count)))) AS country_counts")
-    )
-    profiles = suite_totals(df, keys).join(cases, keys, "left").join(countries, keys, "left")
-    profiles = add_columns(
-        profiles,
-        {
-            "country_counts": "COALESCE(country_counts, CAST(map() AS MAP<STRING, BIGINT>))",
-            "shipping_countries": "COALESCE(SIZE(country_counts), 0)",
-        },
-    )
-    return with_percentiles(profiles, period)
+    return with_percentiles(suite_rows(df, [*period, *SUITE]), period)
 
 
 def with_ship_year(df: DataFrame) -> DataFrame:
@@ -450,7 +552,7 @@ SUITE_METRICS = ["total_revenue", "total_rev_buy", "total_rev_storage", "total_r
 
 
 def suite_statistics(totals: DataFrame) -> DataFrame:
-    return describe(unpivot(totals, {m: m for m in SUITE_METRICS}), ["metric"])
+    return describe(totals, {m: m for m in SUITE_METRICS})
 
 
 PAGE_METRICS = {
@@ -468,7 +570,7 @@ PAGE_METRICS = {
 def suite_distribution(totals: DataFrame) -> DataFrame:
     """Distribution over suites; profit figures only over suites with measurable profit."""
     values = {m: f"CASE WHEN profit_pkg_count > 0 THEN {m} END" if needs else m for m, needs in PAGE_METRICS.items()}
-    return describe(unpivot(totals, values), ["metric"]).drop("std")
+    return describe(totals, values).drop("std")
 
 
 PAGE_KPIS = {
@@ -540,15 +642,11 @@ def top_suites(totals: DataFrame, n: int = 50) -> DataFrame:
 
 def concentration(totals: DataFrame) -> DataFrame:
     """How many suites are in the top percent, and what the top tenth contributes."""
-    rows = ranked_values(totals, [], "total_revenue")
-    amount = "CAST(value AS DECIMAL(19,0))"
-    sums = rows.agg(
-        F.expr(f"COALESCE(SUM(CASE WHEN {PERCENTILE} >= 99 THEN n END), 0) AS top_1_percent_count"),
-        F.expr(f"CAST(SUM({amount} * {top_rows()}) AS DECIMAL(38,0)) AS _top"),
-        F.expr(f"CAST(SUM({amount} * n) AS DECIMAL(38,0)) AS _revenue"),
-    )
-    share = "CAST(_top AS DOUBLE) / CAST(GREATEST(_revenue, 1) AS DOUBLE) * 100"
-    return sums.selectExpr("top_1_percent_count", f"COALESCE({share}, 0D) AS top_10_percent_contribution")
+    ranked = with_percentile_ranks(totals.select(*SUITE, "total_revenue"), SUITE, [], {"_percentile": "total_revenue"})
+    highest = ranked.agg(F.count_if(F.col("_percentile") >= 99).alias("n")).scalar()
+    share = "CAST(top AS DOUBLE) / CAST(GREATEST(total, 1) AS DOUBLE) * 100"
+    sums = top_share(totals, "total_revenue")
+    return sums.select(highest.alias("top_1_percent_count"), F.expr(f"COALESCE({share}, 0D) AS top_10_percent_contribution"))
 
 
 def search_suites(totals: DataFrame, query: str, exclude_admins: bool = False, n: int = 10) -> DataFrame:

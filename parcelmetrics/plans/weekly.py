@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -186,6 +187,31 @@ def service_changes(series: DataFrame) -> DataFrame:
     return new.unionByName(missing).join(F.broadcast(known), "week_start", "left_semi").select("week_start", "service", "status")
 
 
-def report_week(series: DataFrame, report_date: str) -> DataFrame:
-    """Rows of the full week, Monday to Sunday, before the report date."""
-    return series.filter(f"week_start = {reporting_week(repr(report_date))}")
+def weeks_before(payments: DataFrame, report_date: str, weeks: int = 1, column: str = "paid_at") -> DataFrame:
+    """Payments of the ``weeks`` full weeks, Monday to Sunday, that end before the week of the report date.
+
+    The bounds are on the raw time stamp, so they reach the scan and no other week is read.
+    """
+    monday = date.fromisoformat(report_date) - timedelta(days=date.fromisoformat(report_date).weekday())
+    first = monday - timedelta(days=7 * weeks)
+    kind = payments.schema[column].dataType
+    return payments.filter((F.col(column) >= F.lit(first.isoformat()).cast(kind)) & (F.col(column) < F.lit(monday.isoformat()).cast(kind)))
+
+
+def report_week(payments: DataFrame, report_date: str, keys: Sequence[str] = ("category", "service")) -> DataFrame:
+    """Count and revenue in the full week before the report date."""
+    return weekly_series(weeks_before(payments, report_date), keys)
+
+
+def week_against_before(payments: DataFrame, report_date: str, keys: Sequence[str]) -> DataFrame:
+    """The report's week beside the week before and the sums of the four weeks before, from these five weeks alone."""
+    series = weekly_series(weeks_before(payments, report_date, 5), keys)
+    latest = f"week_start = {reporting_week(repr(report_date))}"
+    before = f"week_start = {reporting_week(repr(report_date))} - INTERVAL 7 DAY"
+    sums = series.groupBy(*keys).agg(
+        *[F.expr(f"COALESCE(SUM(CASE WHEN {latest} THEN {c} END), 0) AS {c}") for c in ("n", "revenue")],
+        *[F.expr(f"COALESCE(SUM(CASE WHEN {before} THEN {c} END), 0) AS prior_{c}") for c in ("n", "revenue")],
+        *[F.expr(f"COALESCE(SUM(CASE WHEN NOT ({latest}) THEN {c} END), 0) AS four_weeks_{c}") for c in ("n", "revenue")],
+    )
+    changes = {f"{c}_wow_pct": f"CASE WHEN prior_{c} > 0 THEN {percent_change(c, f'prior_{c}')} END" for c in ("n", "revenue")}
+    return add_columns(sums, changes)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelmetrics.functions.labels import in_currency, kilograms
 from parcelmetrics.functions.money import cents, won
 from parcelmetrics.operators.packages import child_mix, children_of
 from parcelmetrics.operators.purchases import (
@@ -18,9 +20,10 @@ from parcelmetrics.operators.purchases import (
 )
 from parcelmetrics.plans import competitors, ratecard, rollups, tiers, weekly
 from parcelmetrics.plans.cases import SHIPPED, CaseQueries, case_table
+from parcelmetrics.sources.files import export_cases_csv, finite_columns, long_card, read_rate_card, read_tariff_csv, write_sections
 from parcelmetrics.sources.sample import SAMPLE_OPTIONS, SampleViews, sample_tables
 from parcelmetrics.sources.schemas import TARIFF_COLUMNS
-from parcelmetrics.sources.staging import staged
+from parcelmetrics.sources.staging import scratch_folder, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,7 +58,17 @@ def case_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> DataFrame:
         return case_table(CaseQueries(sample_tables(spark, sf_dir), SAMPLE_OPTIONS))
 
-    return staged(spark, f"{sf_dir}:case_rows", build, ["profit_case"])
+    return staged(spark, f"{sf_dir}:case_rows", build, ["profit_case"], of=sf_dir)
+
+
+def suite_rows(spark: SparkSession, sf_dir: str, by_year: bool = False) -> DataFrame:
+    """One row per suite (and ship year) of a data directory, written once."""
+
+    def build() -> DataFrame:
+        combined = rollups.combine_table(case_rows(spark, sf_dir))
+        return rollups.suite_rows(rollups.with_ship_year(combined), ["ship_year", *rollups.SUITE]) if by_year else rollups.suite_rows(combined)
+
+    return staged(spark, f"{sf_dir}:suite_rows:{by_year}", build, of=sf_dir)
 
 
 def _combined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +86,11 @@ def _rollup(build: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+def _suites(build: Callable[[DataFrame], DataFrame], by_year: bool = False) -> Query:
+    """A query over the suite rows."""
+    return lambda spark, sf_dir: comparable(_maps_as_json(build(suite_rows(spark, sf_dir, by_year))))
+
+
 def _rounded_std(stats: DataFrame) -> DataFrame:
     return stats.withColumn("std", F.round("std", 2))
 
@@ -82,16 +100,32 @@ def _maps_as_json(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.to_json(name) for name in maps})
 
 
-def _top(df: DataFrame) -> DataFrame:
-    columns = ["suite_number", "total_revenue", "total_profit", "total_packages", "profit_pkg_count"]
-    return rollups.top_suites(rollups.suite_totals(df)).select(*columns)
+def _profiles(suites: DataFrame) -> DataFrame:
+    return rollups.with_percentiles(suites, [])
 
 
-def _ranks(df: DataFrame) -> DataFrame:
-    ranked = rollups.with_percentiles(rollups.suite_totals(df), [])
+def _totals(suites: DataFrame) -> DataFrame:
+    return suites.drop(*rollups.NESTED)
+
+
+def _ranks(suites: DataFrame) -> DataFrame:
+    ranked = rollups.with_percentiles(suites.select("suite_number", "total_revenue", "total_profit"), [])
     return ranked.select("suite_number", "total_revenue", "total_profit", "rev_percentile", "profit_percentile")
 
 
+def _amounts(suites: DataFrame) -> DataFrame:
+    """Amounts as a page shows them: in the other currency where one is missing, weights in kilograms, no NaN."""
+    shown = suites.selectExpr(
+        "suite_number",
+        f"CAST({in_currency('total_revenue', 'NULLIF(total_revenue_usd, 0)', '1450')} AS DOUBLE) AS revenue_usd",
+        f"{kilograms('total_package_weight')} AS package_kg",
+        f"{kilograms('total_dim_weight')} AS dimension_kg",
+        # A mean over no packages, as a page would divide it.
+        "CASE WHEN cost_pkg_count = 0 THEN DOUBLE('NaN') ELSE total_package_weight_cost / cost_pkg_count END AS cost_weight",
+    )
+    return finite_columns(shown)
+
+
 # Operators of the cases -----------------------------------------------------------------
 
 
@@ -203,6 +237,92 @@ def _moves(v: SampleViews, admins: bool = True) -> DataFrame:
     return tiers.transitions(assigned, TIER_PAIRS)
 
 
+# Files and older results -------------------------------------------------------------------
+
+
+#: Columns of earlier results, by layout: (new name, expression over a row of today's results).
+LAYOUTS: dict[str, list[str]] = {
+    "named otherwise": [
+        *[f"warehouse_revenue_{c} AS revenue_sto_{c}" for c in rollups.CURRENCIES],
+        *[f"shipping_revenue_{c} AS revenue_shp_{c}" for c in rollups.CURRENCIES],
+        *[f"goods_revenue_{c} AS revenue_buy_{c}" for c in rollups.CURRENCIES],
+        "ship_date_kst AS ship_at_kst",
+        "usd_krw_package",
+    ],
+    "fees only": [
+        *[f"{fee}_{c}" for fee in rollups.FALLBACK_FEES for c in rollups.CURRENCIES],
+        *[f"{goods}_{c}" for goods in rollups.FALLBACK_GOODS for c in rollups.CURRENCIES],
+        "shipping_fee_krw",
+        "shipping_fee_usd AS shipping_fee",
+        "ship_date_kst",
+        "marked_up_cost_krw",
+        "origin_usd_krw_package",
+    ],
+    "dollars only": ["shipping_fee_usd AS shipping_fee", "usd_krw_package", "storage_fee_krw"],
+}
+
+
+def _older_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results as earlier runs laid them out, brought to today's columns."""
+    rows = case_rows(spark, sf_dir)
+    parts = []
+    for layout, columns in LAYOUTS.items():
+        for case in (1, 4):
+            older = rows.filter(F.col("profit_case") == str(case)).selectExpr("package_id", *columns)
+            filled = rollups.standardize(older, case)
+            measures = [f"CAST({m}_{c} AS DECIMAL(18,2)) AS {m}_{c}" for m in rollups.REVENUE_PARTS.values() for c in rollups.CURRENCIES]
+            more = ["CAST(ship_date_kst AS DATE) AS ship_date_kst", "CAST(marked_up_cost_krw AS DECIMAL(18,0)) AS marked_up_cost_krw"]
+            rate = "CAST(origin_usd_krw_package AS DECIMAL(10,2)) AS origin_usd_krw_package"
+            parts.append(filled.selectExpr(f"'{layout}' AS layout", f"{case} AS case_number", "package_id", *measures, *more, rate))
+    return comparable(reduce(DataFrame.unionByName, parts))
+
+
+def _exported_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV of a case, written and read back as text: the order of its columns, and its figures."""
+    path = scratch_folder(spark, "csv")
+    export_cases_csv({4: case_rows(spark, sf_dir).filter("profit_case IN ('4', '4_1')")}, path)
+    read = spark.read.csv(f"{path}/case_4_raw", header=True)
+    at = read.columns.index("reference_type")
+    return read.selectExpr(
+        "CAST(package_id AS BIGINT) AS package_id",
+        "profit_case",
+        "CAST(inner_package_id AS BIGINT) AS inner_package_id",
+        f"'{','.join(read.columns[at : at + 3])}' AS beside_reference",
+        "CAST(revenue_krw AS DOUBLE) AS revenue_krw",
+        "CAST(profit_usd AS DOUBLE) AS profit_usd",
+        "CAST(ship_date_kst AS STRING) AS ship_date",
+    )
+
+
+def _dashboard_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sections of the dashboard document, written as JSON and read back."""
+    path = scratch_folder(spark, "dashboard")
+    combined = rollups.combine_table(case_rows(spark, sf_dir))
+    write_sections({"revenue_split": rollups.revenue_split(combined), "case_revenue_splits": rollups.revenue_split(combined, by_case=True)}, path)
+    schema = "source_case string, buy long, storage long, ship long, buy_usd double, storage_usd double, ship_usd double"
+    parts = [spark.read.schema(schema).json(f"{path}/{name}").withColumn("section", F.lit(name)) for name in ("revenue_split", "case_revenue_splits")]
+    return parts[0].unionByName(parts[1])
+
+
+def _tariff_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tariff written as the CSV that a platform hands out, read with its header and cleaned."""
+    path = scratch_folder(spark, "tariff")
+    source = ["platform_text", "country_text", "carrier_text", "weight_text", "fee_text"]
+    text = SampleViews(spark, sf_dir)["tariff_text"]
+    # One file in the order of its rows: the last row of a key counts.
+    text.orderBy("row_order").selectExpr(*[f"{a} AS `{b}`" for a, b in zip(source, TARIFF_COLUMNS)]).coalesce(1).write.csv(
+        path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    return competitors.parse_tariff(read_tariff_csv(spark, path), label="Rival C", platform="rival_c")
+
+
+def _rate_card_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested card written as its document, read back and laid out a fee a row."""
+    path = scratch_folder(spark, "card")
+    ratecard.write_card(ratecard.from_long(SampleViews(spark, sf_dir)["rate_card"], _CARD_FIELDS), path)
+    return long_card(read_rate_card(spark, path))
+
+
 # Stamp shown by the KPI block; a fixed argument keeps the result repeatable.
 UPDATED_AT_UTC = "2026-03-20 01:30:00"
 
@@ -216,6 +336,11 @@ QUERIES: dict[str, Query] = {
     "mixed_package_parents": _case("case_5_parents"),
     "mixed_package_children": _case("case_5_children"),
     "combined_cases": _combined,
+    "older_results": _older_results,
+    "exported_cases": _exported_cases,
+    "dashboard_file": _dashboard_file,
+    "tariff_file": _tariff_file,
+    "rate_card_file": _rate_card_file,
     "kpi_block": _rollup(lambda df: rollups.kpis(df, UPDATED_AT_UTC)),
     "package_statistics": _rollup(lambda df: _rounded_std(rollups.package_statistics(df))),
     "package_statistics_no_admin": _rollup(
@@ -223,29 +348,28 @@ QUERIES: dict[str, Query] = {
     ),
     "case_summary": _rollup(rollups.case_summary),
     "case_summary_no_admin": _rollup(lambda df: rollups.case_summary(rollups.without_admins(df))),
-    "suite_totals": _rollup(lambda df: _maps_as_json(rollups.suite_totals(df))),
+    "suite_totals": _suites(_totals),
     "suite_case_detail": _rollup(rollups.suite_case_detail),
     "suite_countries": _rollup(rollups.suite_countries),
     "weight_histogram": _rollup(rollups.suite_weight_histogram),
-    "suite_percentiles": _rollup(_ranks),
-    "suite_profiles": _rollup(lambda df: _maps_as_json(rollups.suite_profiles(df))),
-    "suite_profiles_by_year": _rollup(lambda df: _maps_as_json(rollups.suite_profiles_by_year(df))),
+    "suite_percentiles": _suites(_ranks),
+    "suite_profiles": _suites(_profiles),
+    "suite_profiles_by_year": _suites(lambda df: rollups.with_percentiles(df, ["ship_year"]), by_year=True),
     "available_years": _rollup(rollups.available_years),
-    "suite_statistics": _rollup(lambda df: _rounded_std(rollups.suite_statistics(rollups.suite_totals(df)))),
-    "suite_distribution": _rollup(lambda df: rollups.suite_distribution(rollups.suite_totals(df))),
-    "page_kpis": _rollup(lambda df: rollups.page_kpis(rollups.suite_totals(df))),
-    "page_kpis_no_admin": _rollup(lambda df: rollups.page_kpis(rollups.suite_totals(df), exclude_admins=True)),
+    "suite_statistics": _suites(lambda df: _rounded_std(rollups.suite_statistics(df))),
+    "suite_distribution": _suites(rollups.suite_distribution),
+    "page_kpis": _suites(rollups.page_kpis),
+    "page_kpis_no_admin": _suites(lambda df: rollups.page_kpis(df, exclude_admins=True)),
+    "page_amounts": _suites(_amounts),
     "revenue_split": _rollup(rollups.revenue_split),
     "case_revenue_split": _rollup(lambda df: rollups.revenue_split(df, by_case=True)),
     "case_revenue_split_no_admin": _rollup(
         lambda df: rollups.revenue_split(rollups.without_admins(df), by_case=True)
     ),
     "revenue_shares": _rollup(lambda df: rollups.split_shares(rollups.revenue_split(df, by_case=True), "source_case")),
-    "top_suites": _rollup(_top),
-    "revenue_concentration": _rollup(
-        lambda df: rollups.concentration(rollups.suite_totals(df))
-    ),
-    "suite_search": _rollup(lambda df: rollups.search_suites(rollups.suite_totals(df), "s11", exclude_admins=True)),
+    "top_suites": _suites(lambda df: rollups.top_suites(_profiles(df))),
+    "revenue_concentration": _suites(rollups.concentration),
+    "suite_search": _suites(lambda df: rollups.search_suites(df, "s11", exclude_admins=True)),
     "daily_exchange_rate": _tables(lambda q: daily_fx(q.t["currency"])),
     "highest_shipping_cost": _tables(lambda q: q.shipping_costs()),
     "child_mix": _tables(lambda q: child_mix(children_of(q.t["package"]))),
@@ -263,7 +387,9 @@ QUERIES: dict[str, Query] = {
     "carrier_diagnostics": _carriers,
     "weekly_trend": _views(lambda v: weekly.weekly_trend(_series(v), ["category", "service"])),
     "weekly_total_trend": _views(lambda v: weekly.weekly_trend(weekly.total_series(_series(v)), ["scope"])),
-    "weekly_report_rows": _views(lambda v: weekly.report_week(_series(v).drop("category"), "1998-06-18")),
+    "weekly_category_trend": _views(lambda v: weekly.weekly_trend(weekly.total_series(_series(v), ["category"]), ["category"])),
+    "weekly_report_rows": _views(lambda v: weekly.report_week(v["weekly_orders"], "1998-06-18", ["service"])),
+    "weekly_report_categories": _views(lambda v: weekly.week_against_before(v["weekly_orders"], "1998-06-18", ["category"])),
     "weekly_contribution": _views(lambda v: weekly.contributions(_series(v), ["service"])),
     "weekly_package_mix": _views(lambda v: weekly.package_mix(v["weekly_orders"])),
     "weekday_distribution": _views(lambda v: weekly.weekday_distribution(v["weekly_orders"], ["service"])),
@@ -272,5 +398,6 @@ QUERIES: dict[str, Query] = {
     "tier_transition": _views(lambda v: tiers.full_grid(_moves(v))),
     "tier_transition_no_admin": _views(lambda v: tiers.full_grid(_moves(v, admins=False))),
     "tier_matrix": _views(lambda v: tiers.matrix(tiers.full_grid(_moves(v)))),
+    "tier_matrix_percent": _views(lambda v: tiers.matrix(tiers.full_grid(_moves(v)), value="row_pct")),
     "tier_summary": _views(lambda v: tiers.summary(_moves(v))),
 }

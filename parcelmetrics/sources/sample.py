@@ -198,7 +198,7 @@ VIEWS: dict[str, str] = {
     "weekly_orders": """
         SELECT CASE WHEN o_orderpriority = '5-LOW' AND EXTRACT(MONTH FROM o_orderdate) = 3 THEN '6-SPRING' ELSE o_orderpriority END AS service,
                CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'forwarding' ELSE 'purchase' END AS category,
-               o_orderstatus AS package_type, CAST(o_orderdate AS DATE) AS day,
+               o_orderstatus AS package_type, CAST(o_orderdate AS DATE) AS day, o_orderdate AS paid_at,
                CAST(o_totalprice AS DECIMAL(18,2)) AS revenue
         FROM {orders}""",
     "customer_year": """
@@ -242,5 +242,5 @@ def sample_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The warehouse tables as files: the views are written once, then scanned."""
     views = SampleViews(spark, sf_dir)
     for shared in ["child", "buy_base"]:
-        views.replace(shared, staged(spark, f"{sf_dir}:{shared}", lambda n=shared: views[n]))
-    return {name: staged(spark, f"{sf_dir}:{name}", lambda n=name: views[n]) for name in SCHEMAS}
+        views.replace(shared, staged(spark, f"{sf_dir}:{shared}", lambda n=shared: views[n], of=sf_dir))
+    return {name: staged(spark, f"{sf_dir}:{name}", lambda n=name: views[n], of=sf_dir) for name in SCHEMAS}

@@ -7,6 +7,7 @@ A Parquet table in the shared folder survives them and keeps column and partitio
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -22,19 +23,36 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch").rstrip("/")
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the driver's JVM ends."""
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return path
+
+
+def fingerprint(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of the files in a data folder and its tables, so that changed data is told apart."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    seen = []
+    for status in system.listStatus(root) if system.exists(root) else []:
+        inside = system.listStatus(status.getPath()) if status.isDirectory() else [status]
+        seen += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in inside]
+    return hashlib.sha256(repr(sorted(seen)).encode()).hexdigest()[:16]
+
+
 def staged(
-    spark: SparkSession, name: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = ()
+    spark: SparkSession, name: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = (), of: str | None = None
 ) -> DataFrame:
     """Read back the table of this name, writing it on first use in this application.
 
-    The table goes when the driver's JVM ends.
+    ``of`` is the data folder that the table is made from: once its files change, the table is written anew. It goes when
+    the driver's JVM ends.
     """
-    key = (spark.sparkContext.applicationId, name)
-    folder = shared_folder(spark)
+    key = (spark.sparkContext.applicationId, name if of is None else f"{name}:{fingerprint(spark, of)}")
     if key not in _paths:
-        path = f"{folder}/{key[0]}-{uuid.uuid4().hex}"
-        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+        path = scratch_folder(spark, "table")
         df = build()
         df.write.partitionBy(*partition_by).parquet(path)
         _paths[key] = (path, df.schema)

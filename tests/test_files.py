@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
-from parcelmetrics.plans import competitors, dashboard
+from parcelmetrics.plans import competitors, dashboard, ratecard
 from parcelmetrics.sources.files import card_columns, csv_layout, long_card, nest_card, read_rate_card, read_tariff_csv, write_json
 from parcelmetrics.sources.sample import SAMPLE_OPTIONS, SampleViews, sample_tables
 from parcelmetrics.sources.schemas import SCHEMAS
@@ -95,8 +95,8 @@ def test_tables_round_trip_with_declared_schemas(spark, tmp_path):
 
 def test_refresh_writes_every_section(spark, tmp_path):
     tables = sample_tables(spark, "/root/testdata/sf0.001")
-    grid = SampleViews(spark, "/root/testdata/sf0.001")["rate_card"]
-    dashboard.refresh(spark, tables, str(tmp_path), SAMPLE_OPTIONS, grid, [("1998", "1998-01-01", "1998-12-31")], "2026-03-20 01:30:00")
+    card = ratecard.from_long(SampleViews(spark, "/root/testdata/sf0.001")["rate_card"], {"note": "CAST('kept' AS VARIANT)"})
+    dashboard.refresh(spark, tables, str(tmp_path), SAMPLE_OPTIONS, card, [("1998", "1998-01-01", "1998-12-31")], "2026-03-20 01:30:00")
     sections = {p.name for p in (tmp_path / "dashboard").iterdir()}
     assert len(sections) == 14
     kpis = lines(tmp_path / "dashboard" / "kpis")[0]
@@ -108,7 +108,9 @@ def test_refresh_writes_every_section(spark, tmp_path):
     assert {p.name for p in (tmp_path / "csv").iterdir()} == {f"case_{i}_raw" for i in range(1, 6)}
     header = next((tmp_path / "csv" / "case_4_raw").glob("part-00000*")).read_text().splitlines()[0].split(",")
     assert header[header.index("reference_type") + 1 :][:2] == ["revenue_krw", "revenue_usd"]
-    assert lines(tmp_path / "rate_card_volumes")
+    (document,) = lines(tmp_path / "rate_card")
+    row = next(iter(document["data"].values()))["rows"][0]
+    assert {"weight", "fees", "note", "dk_volume_1998"} <= set(row) and set(row["dk_volume_1998"]) == set(ratecard.FIGURES)
 
 
 def test_decimals_become_doubles(spark):

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import pytest
 
 from __spark_entry__ import queries
 from parcelmetrics.operators.joins import splittable_join
-from parcelmetrics.operators.purchases import daily_fx
-from parcelmetrics.plans.cases import CaseQueries
+from parcelmetrics.operators.purchases import daily_fx, with_payments
+from parcelmetrics.plans import rollups
+from parcelmetrics.plans.cases import CaseQueries, case_table
 from parcelmetrics.plans.rollups import combine, revenue_split
 from parcelmetrics.queries import case_rows
-from parcelmetrics.sources.sample import SAMPLE_OPTIONS, sample_tables
+from parcelmetrics.sources.sample import SAMPLE_OPTIONS, SampleViews, sample_tables
+from parcelmetrics.sources.schemas import SCHEMAS
+from parcelmetrics.sources.warehouse import read_tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,6 +32,90 @@ def test_date_and_type_filters_reach_the_scan(spark):
     assert "EqualTo(package_type,SINGLE)" in pushed and "GreaterThanOrEqual(trans_at_utc" in pushed
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.fixture(scope="module")
+def warehouse(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("warehouse")
+    views = SampleViews(spark, SF)
+    for name in SCHEMAS:
+        views[name].write.parquet(str(folder / f"{name}.parquet"))
+    return read_tables(spark, str(folder))
+
+
+def final_plan(df) -> str:
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def reads(text: str) -> Counter:
+    return Counter(re.findall(r"Location: InMemoryFileIndex\(1 paths\)\[file:[^\]]*/(\w+)\.parquet\]", text))
+
+
+def test_all_cases_are_one_pass(spark, warehouse, no_broadcast):
+    found = reads(final_plan(case_table(CaseQueries(warehouse, SAMPLE_OPTIONS))))
+    # Families, singles, children, and children again for the sums of their parents: other rows or columns each time.
+    assert found.pop("package") <= 4
+    # Purchases serve the rows and the sums.
+    assert max(found[t] for t in ("payment", "market_request", "currency")) <= 2
+    assert {found[t] for t in ("package_fee", "package_fee_item", "shipping_cost", "request_domain", "customer", "country")} == {1}
+    assert set(found) | {"package"} == set(SCHEMAS)
+
+
+def test_a_single_case_leaves_out_what_others_need(spark, warehouse):
+    q = CaseQueries(warehouse, SAMPLE_OPTIONS)
+    assert set(reads(plan(q.case_1()))) == {"package", "package_fee", "shipping_cost", "currency", "customer", "country"}
+    assert "shipping_cost" not in reads(plan(q.rows("3_1"))) and "market_request" not in reads(plan(q.case_3()))
+
+
+def test_distinct_counts_copy_no_rows(spark):
+    for name in ("case_summary", "case_summary_no_admin", "kpi_block"):
+        assert "Expand" not in plan(queries()[name](spark, SF))
+
+
+def test_suite_rows_read_the_case_table_once(spark):
+    text = plan(rollups.suite_rows(rollups.combine_table(case_rows(spark, SF))))
+    assert text.count("FileScan") == 1 and "Expand" not in text
+
+
+def test_statistics_neither_stack_nor_count_all_values(spark):
+    text = plan(queries()["package_statistics"](spark, SF))
+    assert "stack(" not in text and "Expand" not in text
+
+
+def test_a_report_reads_its_weeks_only(spark):
+    for name in ("weekly_report_rows", "weekly_report_categories"):
+        pushed = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan(queries()[name](spark, SF)))
+        assert all("GreaterThanOrEqual(o_orderdate,1998-0" in p and "LessThan(o_orderdate,1998-06-15" in p for p in pushed) and pushed
+
+
+def test_a_request_with_a_third_of_all_payments_is_split(spark, no_broadcast):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        requests = spark.range(0, 40000, 1, 8).selectExpr("id AS request_id", "uuid() AS product_name")
+        paid = spark.range(0, 30000, 1, 8).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS paid_request_id", "DATE '2025-01-01' AS purchase_date", "uuid() AS pad")
+        joined = with_payments(requests, paid)
+        expected = 30000 + 40000 - paid.select("paid_request_id").distinct().count()
+        assert joined.count() == expected
+        assert "skew=true" in final_plan(joined)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_roll_up_reads_only_its_columns_and_parent_rows(spark):
     q = CaseQueries(sample_tables(spark, SF), SAMPLE_OPTIONS)
     text = plan(revenue_split(combine(q.all())))
@@ -48,14 +136,6 @@ def test_dedupe_limits_groups_before_the_shuffle(spark):
     assert "WindowGroupLimit" in below_exchange and "Partial" in below_exchange
 
 
-@pytest.fixture
-def no_broadcast(spark):
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
 def test_splittable_join_gives_both_sides_an_exchange(spark, no_broadcast):
     a = spark.range(1000).selectExpr("id % 7 AS k", "id AS row")
     b = spark.range(7).selectExpr("id AS k", "id * 2 AS v").groupBy("k").agg({"v": "max"}).withColumnRenamed("max(v)", "v")
