@@ -105,14 +105,19 @@ def _stripes(codes: np.ndarray, grams: np.ndarray, length: int, size: int) -> tu
     return at, entry, keys // max(size, 1), keys % max(size, 1)
 
 
-def _state(bucket: int, codes: np.ndarray, grams: np.ndarray, word_ids: np.ndarray, gram_ids: np.ndarray) -> pa.Table | None:
-    """A row of STATE, without repeated gaps; None where no phrase is left."""
-    if not len(gram_ids):
+def _state(bucket: int, codes: np.ndarray, grams: np.ndarray | None, word_ids: np.ndarray, gram_ids: np.ndarray | None) -> pa.Table | None:
+    """A row of STATE, without repeated gaps; None where no phrase is left. Phrases of one word are the words themselves."""
+    if not len(word_ids if gram_ids is None else gram_ids):
         return None
     kept = np.flatnonzero((codes >= 0) | np.append(True, codes[:-1] >= 0))
-    codes, grams = codes[kept], grams[kept]
-    values = [bucket, len(codes), len(word_ids), packed(codes), packed(grams), packed(word_ids), packed(gram_ids)]
-    return pa.table({name.split()[0]: [v] for name, v in zip(STATE.split(", "), values)})
+    values = [bucket, len(kept), len(word_ids), packed(codes[kept]), None if grams is None else packed(grams[kept]), packed(word_ids), None if gram_ids is None else packed(gram_ids)]
+    return pa.table({name.split()[0]: pa.array([v], pa.int64() if isinstance(v, int) else pa.binary()) for name, v in zip(STATE.split(", "), values)})
+
+
+def _opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words and phrases in place, and their numbers."""
+    codes, word_ids = unpacked(row["codes"]), unpacked(row["word_ids"])
+    return (codes, codes, word_ids, word_ids) if row["grams"] is None else (codes, unpacked(row["grams"]), word_ids, unpacked(row["gram_ids"]))
 
 
 def _from_words(row: dict, answers: pa.Table) -> pa.Table | None:
@@ -120,12 +125,12 @@ def _from_words(row: dict, answers: pa.Table) -> pa.Table | None:
     new = np.append(np.where(ids >= 0, np.cumsum(ids >= 0) - 1, -1), -1)
     codes = new[unpacked(row["codes"])]
     ids = ids[ids >= 0]
-    return _state(row["bucket"], codes, codes, ids, ids)
+    return _state(row["bucket"], codes, None, ids, None)
 
 
 def _longer(length: int, shards: int):
     def take(row: dict, answers: pa.Table) -> pa.Table | None:
-        codes, grams, word_ids, gram_ids = (unpacked(row[c]) for c in ("codes", "grams", "word_ids", "gram_ids"))
+        codes, grams, word_ids, gram_ids = _opened(row)
         at, entry, prefix, word = _stripes(codes, grams, length, row["size"])
         ids, _ = told_pairs(gram_ids[prefix], word_ids[word], answers, shards)
         new = np.where(ids >= 0, np.cumsum(ids >= 0) - 1, -1)[entry]
@@ -142,7 +147,7 @@ def _longer(length: int, shards: int):
 
 def _ask(length: int):
     def stripes(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        codes, grams, word_ids, gram_ids = (unpacked(row[c]) for c in ("codes", "grams", "word_ids", "gram_ids"))
+        codes, grams, word_ids, gram_ids = _opened(row)
         at, entry, prefix, word = _stripes(codes, grams, length, row["size"])
         return gram_ids[prefix], word_ids[word], np.bincount(entry, minlength=len(prefix))
 
