@@ -402,6 +402,11 @@ def _details(wanted: set[str], legacy_pg_usd: bool) -> dict[str, str]:
     return {n: choose(wanted, {("2",): single[n], BUNDLED: child[n], BUNDLES: bundle.get(n, "NULL")}) for n in names}
 
 
+def _term(sql: str, name: str) -> str:
+    """A term in the one type of all kinds: left to itself, a common type of theirs would lose decimals."""
+    return f"CAST({sql} AS {'DECIMAL(36,9)' if 'usd' in name else 'DECIMAL(36,6)'})"
+
+
 def ledger(df: DataFrame, wanted: set[str], legacy_pg_usd: bool = False) -> DataFrame:
     """Measures from warehouse fees, shipping costs and goods terms.
 
@@ -410,7 +415,10 @@ def ledger(df: DataFrame, wanted: set[str], legacy_pg_usd: bool = False) -> Data
     fees as zero, single purchases do so for the itemised shipping costs.
     """
     exact, child, bundle = exact_goods_terms(), child_goods_terms(), bundle_goods_terms()
-    terms = {n: choose(wanted, {("2",): exact[n], BUNDLED: child[n], BUNDLES: bundle[n]}, f"CAST(0 AS {KRW})") for n in GOODS_TERMS}
+    terms = {}
+    for n in GOODS_TERMS:
+        of_kind = {("2",): exact[n], BUNDLED: child[n], BUNDLES: bundle[n]}
+        terms[n] = choose(wanted, {kinds: _term(sql, n) for kinds, sql in of_kind.items()}, _term("0", n))
     df = add_columns(
         df,
         {
@@ -423,8 +431,8 @@ def ledger(df: DataFrame, wanted: set[str], legacy_pg_usd: bool = False) -> Data
     profit, profit_usd = "goods_profit + _warehouse * _fx", "goods_profit_usd_raw + _warehouse"
     shipped, shipped_usd = f"{profit} + marked_up_cost", f"{profit_usd} + {to_usd('marked_up_cost', '_fx')}"
     profit, profit_usd = (
-        choose(wanted, {SHIPPED: ships, BUNDLED: f"(CASE WHEN is_canceled THEN 0 ELSE {own} END)"}, own)
-        for ships, own in ((shipped, profit), (shipped_usd, profit_usd))
+        choose(wanted, {SHIPPED: _term(ships, n), BUNDLED: f"(CASE WHEN is_canceled THEN {_term('0', n)} ELSE {_term(own, n)} END)"}, _term(own, n))
+        for n, ships, own in (("goods_profit", shipped, profit), ("goods_profit_usd_raw", shipped_usd, profit_usd))
     )
 
     out = {
