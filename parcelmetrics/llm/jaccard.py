@@ -50,9 +50,11 @@ class WordHashes(dict):
     """64-bit hashes by word, remembered."""
 
     def __missing__(self, word: bytes) -> int:
+        value = xxhash.xxh3_64_intdigest(word)
         if len(self) > CACHED_CHUNKS:
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = value
         return value
 
 

@@ -54,6 +54,7 @@ def cut_documents(docs: DataFrame, vocabulary_path: str, ranks_path: str, end_id
             ids = pa.Array.from_buffers(pa.binary(), len(own), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
             columns = [batch.column("doc_id").take(pa.array(own)), pa.array(start), pa.array(length), pa.array(counts[own]), ids, pa.array(np.full(len(own), part, np.int32)), pa.array(nth)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "doc_tokens", "ids", "part", "nth"])
+        encoder.release()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
     return rows.mapInArrow(cut, "doc_id long, start long, length long, doc_tokens long, ids binary, part int, nth long")

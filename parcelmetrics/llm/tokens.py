@@ -14,8 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: A worker forgets its distinct chunks beyond so many; only speed depends on it.
-CACHED_CHUNKS = 700_000
+#: A worker forgets its distinct chunks beyond so many, or so many characters of them; only speed depends on it.
+CACHED_CHUNKS, CACHED_CHARACTERS = 300_000, 16_000_000
 
 Ragged = tuple[np.ndarray, np.ndarray]  # lengths, values
 
@@ -39,9 +39,9 @@ class SliceCache:
 
     def __init__(self, encode_new: Callable[[list], Ragged], most: int = CACHED_CHUNKS):
         self._encode_new, self._most = encode_new, most
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         cache = self
 
         class Index(dict):
@@ -50,7 +50,7 @@ class SliceCache:
                 k = self[key] = len(self)
                 return k
 
-        self.index, self.new = Index(), []
+        self.index, self.new, self._characters = Index(), [], 0
         self.starts, self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def indices(self, keys: Sequence) -> np.ndarray:
@@ -58,6 +58,7 @@ class SliceCache:
 
     def fill(self) -> None:
         if self.new:
+            self._characters += sum(len(k[0]) if type(k) is tuple else 1 if type(k) is int else len(k) for k in self.new)
             lengths, flat = self._encode_new(self.new)
             lengths = lengths.astype(np.int64)
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
@@ -72,8 +73,8 @@ class SliceCache:
         return lengths, gather(self.starts[indices], lengths, self.flat)
 
     def trim(self) -> None:
-        if len(self.index) > self._most:
-            self._clear()
+        if len(self.index) > self._most or self._characters > CACHED_CHARACTERS:
+            self.clear()
 
 
 def summed(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -162,6 +163,11 @@ class ByteEncoder:
         return totals, flat
 
 
+    def release(self) -> None:
+        """Forget the chunks: a worker is used again, also by stages that encode nothing."""
+        self._cache.clear()
+
+
 @lru_cache(maxsize=4)
 def byte_encoder(json_path: str, ranks_path: str) -> ByteEncoder:
     """One encoder for each worker process, which Spark uses again for later tasks."""
