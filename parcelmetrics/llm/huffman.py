@@ -124,36 +124,42 @@ def _packed(counts: np.ndarray, flat: np.ndarray, width: str = "<u4") -> pa.Arra
 def write_ids(docs: DataFrame, path: str, vocabulary_path: str, ranks_path: str, end_id: int, text: str = "text", doc_id: str = "doc_id") -> None:
     """Encode ``docs`` (``doc_id`` long, ``text``) with ``end_id`` after each document and write the files at ``path``.
 
-    The ids are staged once in input order; their counts give the code, and what is shuffled into document order is
-    already coded.
+    The ids are staged once in input order, with a row of each task's counts beside them; the counts give the code, and what is
+    shuffled into document order is already coded.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = byte_encoder(vocabulary_path, ranks_path)
+        total = np.zeros(0, np.int64)
+        names = ["doc_id", "tie", "ids", "used", "n"]
         for batch in small_batches(batches, "text"):
             counts, flat = encoder.encode(batch.column("text").to_pylist())
             flat = np.insert(flat, np.cumsum(counts), end_id)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), _packed(counts + 1, flat)], ["doc_id", "tie", "ids"])
+            own = np.bincount(flat)
+            total = np.pad(total, (0, max(0, len(own) - len(total))))
+            total[: len(own)] += own
+            none = pa.nulls(batch.num_rows, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), _packed(counts + 1, flat), none, none], names)
+        encoder.release()
+        used = np.flatnonzero(total)
+        if len(used):
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            row = [None, None, None, used.tolist(), total[used].tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
     staging = scratch_path(spark, "token-ids")
     # Rows with the same id are told apart by a hash of their text.
-    tokenized = rows.withColumn("tie", F.xxhash64("text")).mapInArrow(tokenize, "doc_id long, tie long, ids binary")
+    layout = "doc_id long, tie long, ids binary, used array<long>, n array<long>"
+    tokenized = rows.withColumn("tie", F.xxhash64("text")).mapInArrow(tokenize, layout)
     tokenized.write.option("compression", "zstd").parquet(staging)
-    ids = spark.read.schema("doc_id long, tie long, ids binary").parquet(staging)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in small_batches(batches, "ids"):
-            own = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<u4"))
-            total = np.pad(total, (0, max(0, len(own) - len(total))))
-            total[: len(own)] += own
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["id", "n"])
+    staged_ids = spark.read.schema(layout).parquet(staging)
+    ids = staged_ids.where("used IS NULL").select("doc_id", "tie", "ids")
 
     # At most one row for each id of the vocabulary.
-    counted = ids.select("ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    each = staged_ids.where("used IS NOT NULL").select(F.explode(F.arrays_zip("used", "n")).alias("x")).select("x.used", "x.n")
+    counted = each.groupBy(F.col("used").alias("id")).agg(F.sum("n").alias("n")).toPandas()
     used, lengths = counted["id"].to_numpy(np.int64), code_lengths(counted["n"].to_numpy(np.int64))
     codes = spark.createDataFrame(list(zip(used.tolist(), lengths.tolist())), "id int, length int")
     codes.coalesce(1).write.parquet(f"{path}/codes")
@@ -201,7 +207,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary_path: str, ranks_path: str,
 
     layout = "part int, block int, start_in_part long, doc_ids array<long>, counts array<long>, sizes array<long>, bits binary, checkpoints binary"
     in_order.mapInArrow(blocks, layout).write.parquet(f"{path}/blocks")
-    drop_staged(ids)
+    drop_staged(staged_ids)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
