@@ -86,14 +86,24 @@ class PairMerger:
                     occurrences[rank] = [part]
                     heapq.heappush(active, rank)
 
+        # Who wrote a place last: leaves one of repeated places without sorting them.
+        last = np.empty(n, np.int32)
+
+        def distinct(at: np.ndarray) -> np.ndarray:
+            k = np.arange(len(at), dtype=np.int32)
+            last[at] = k
+            return at[last[at] == k]
+
         enter(np.flatnonzero(same))
         while active:
             rank = heapq.heappop(active)
-            at = np.unique(np.concatenate(occurrences.pop(rank)))
+            parts = occurrences.pop(rank)
+            at = parts[0] if len(parts) == 1 else distinct(np.concatenate(parts))
             a, b, made = self.left[rank], self.right[rank], self.made[rank]
             at = at[(sym[at] == a) & (after[at] >= 0)]
             at = at[sym[after[at]] == b]
             if a == b and len(at) > 1:  # of overlapping pairs the first, third and so on
+                at = np.sort(at)
                 k = np.arange(len(at))
                 first = np.maximum.accumulate(np.where(np.append(True, at[1:] != after[at[:-1]]), k, 0))
                 at = at[(k - first) % 2 == 0]
@@ -104,7 +114,7 @@ class PairMerger:
             sym[at], sym[gone], after[at] = made, -1, later
             before[later[later >= 0]] = at[later >= 0]
             earlier = before[at]
-            enter(np.unique(np.concatenate([earlier[earlier >= 0], at[later >= 0]])))
+            enter(distinct(np.concatenate([earlier[earlier >= 0], at[later >= 0]])))
         alive = sym >= 0
         return np.bincount(word[alive], minlength=len(lengths)), sym[alive]
 
