@@ -51,7 +51,9 @@ def _bucket(ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, keys: np.n
 
     ``side`` is 0 for all rows of one block, or parts two blocks of which only pairs across count.
     """
-    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    # The largest component is taken out first, so that no norm overflows or vanishes.
+    unit = vectors / abs(vectors).max(1)[:, None]
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
     linked = unit @ unit.T >= threshold
     np.fill_diagonal(linked, False)
     if side.any():
@@ -84,7 +86,8 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECA
                 if size not in planes:
                     planes[size] = np.random.default_rng([tables, signs, int(size)]).standard_normal((int(size), tables * signs))
                 rows = np.flatnonzero(lengths == size)
-                positive = np.array([vectors[k] for k in rows]) @ planes[size] > 0
+                own = np.array([vectors[k] for k in rows])
+                positive = own / abs(own).max(1)[:, None] @ planes[size] > 0
                 keys[rows] = positive.reshape(len(rows), tables, signs) @ (1 << np.arange(signs))
             flat = pa.array(keys.ravel())
             offsets = pa.array(np.arange(len(vectors) + 1, dtype=np.int32) * tables)
