@@ -2,7 +2,7 @@
 
 Pages become trees of block elements. Pages of a host with alike paths of tags are of one layout; those of each layout are
 aligned with the one most like the others by simple tree matching (Yang 1991). A text that at least half of the aligned pages have in one place is template, all else is a slot; pages
-that are near copies of each other count once. Slots are looked for in the article's node where the page has one or the wrapper
+that are near copies of each other count once; inside an article it takes four pages and four fifths of them, and headings stay. Slots are looked for in the article's node where the page has one or the wrapper
 knows its place, else in the whole page; template inside the article goes too. Menus, headers, footers, forms, scripts and the
 like never count.
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -33,10 +34,14 @@ ALIGNED, HOST_PART = 64, 256
 CELLS = 250_000
 #: Share of common words from which pages are near copies, and of common paths of tags from which they are of one layout.
 COPY, LAYOUT = 0.8, 0.5
+#: Pages that are no copies of each other, and their share, from which a text inside an article is template.
+SURE_PAGES, SURE_SHARE = 4, 0.8
+HEADING = re.compile("h[1-6]")
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s>/]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
+    # Only after an equals sign does a quote begin a quoted value.
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s>/]*+)(?P<rest>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>",
     re.S,
 )
 RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "xmp", "noembed", "noframes")
@@ -50,8 +55,10 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 LIMITS = frozenset("ul ol dl table select".split())
 SKIPPED = frozenset("head nav footer aside form button select dialog menu object canvas audio video".split() + list(RAW))
 ROOTS = frozenset(("article", "main"))
+#: Roles as whole names or as parts of compound ones; what only says that a page has or shows a part is no role.
+MODIFIERS = re.compile(r"^(?:has|with|no|without|is|show|hide|open|page)[_-]|[_-](?:open|opened|closed|enabled|disabled|on|off|visible|hidden|active|layout|page)$", re.I)
 ROLES = re.compile(
-    r"(?:^|[\s\"'=_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|popup|modal|overlay|newsletter|subscribe|sidebar|menu|nav|navbar|navigation|breadcrumbs?|comments?|replies|disqus|share|sharing|social|related|recommended|footer|masthead|search|contentinfo|complementary)(?:$|[\s\"'_-])",
+    r"(?:^|[_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|popup|modal|overlay|newsletter|subscribe|sidebar|menu|nav|navbar|navigation|breadcrumbs?|comments?|replies|disqus|share|sharing|social|related|recommended|footer|masthead|search|contentinfo|complementary)(?:$|[_-])",
     re.I,
 )
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
@@ -60,10 +67,10 @@ NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]+)",
 class Node:
     """An element with the blocks of text directly in it (by place among its children) and its element children."""
 
-    __slots__ = ("tag", "skipped", "items", "children")
+    __slots__ = ("tag", "skipped", "by_role", "items", "children")
 
-    def __init__(self, tag: str, skipped: bool):
-        self.tag, self.skipped = tag, skipped
+    def __init__(self, tag: str, skipped: bool, by_role: bool = False):
+        self.tag, self.skipped, self.by_role = tag, skipped or by_role, by_role
         self.items: list[str | Node] = []
         self.children: list[Node] = []
 
@@ -84,20 +91,31 @@ class Node:
         return out
 
 
-def skipped(tag: str, rest: str, inside: list[Node]) -> bool:
-    if tag in SKIPPED:
-        return True
-    if tag == "header":
-        return not any(n.tag in ROOTS for n in inside)
-    return tag not in ("body", "html") and "=" in rest and any(ROLES.search(m[0].split("=", 1)[1].strip()) for m in NAMED.finditer(rest))
+def skipped(tag: str, opened: Counter[str]) -> bool:
+    """Whether an element of this tag never counts; a header does inside an article."""
+    return tag in SKIPPED or tag == "header" and not any(opened[r] for r in ROOTS)
+
+
+def has_role(tag: str, rest: str) -> bool:
+    """Whether a class, id or role names a part beside the text. An article, and what holds one (see ``tree``), is none."""
+    if "=" not in rest or tag in ("body", "html") or tag in ROOTS:
+        return False
+    values = (m[0].split("=", 1)[1].strip().strip("\"'") for m in NAMED.finditer(rest))
+    return any(ROLES.search(name) and not MODIFIERS.search(name) for value in values for name in value.split())
 
 
 def tree(page: str) -> Node:
     """The block elements of ``page``; inline elements leave their text only, and white space in a block is one space."""
     root = Node("", False)
     stack, text = [root], []
+    opened: Counter[str] = Counter()
     at = 0
 
+    def close() -> Node:
+        node = stack.pop()
+        opened[node.tag] -= 1
+        return node
+
     def flush() -> None:
         if text:
             block = " ".join(entities.unescape("".join(text)).split())
@@ -119,8 +137,8 @@ def tree(page: str) -> Node:
             continue
         flush()
         if match["end"]:
-            if any(n.tag == tag for n in stack[1:]):
-                while stack.pop().tag != tag:
+            if opened[tag] > 0:
+                while close().tag != tag:
                     pass
             continue
         if tag in RAW:
@@ -130,19 +148,26 @@ def tree(page: str) -> Node:
         if tag in VOID:
             continue
         if stack[-1].tag == "p":  # no block lies in a paragraph
-            stack.pop()
+            close()
         if tag in CLOSES:
             k = len(stack) - 1
             while k > 0 and stack[k].tag not in LIMITS and stack[k].tag not in CLOSES[tag]:
                 k -= 1
             while k > 0 and stack[k].tag in CLOSES[tag]:
-                del stack[k:]
+                while len(stack) > k:
+                    close()
                 k -= 1
-        node = Node(tag, skipped(tag, match["rest"], stack))
+        node = Node(tag, skipped(tag, opened), has_role(tag, match["rest"]))
+        if tag in ROOTS:
+            for holder in reversed(stack):
+                if not holder.by_role or holder.tag in SKIPPED:
+                    continue
+                holder.by_role = holder.skipped = False
         stack[-1].items.append(node)
         stack[-1].children.append(node)
         if not match["rest"].endswith("/"):
             stack.append(node)
+            opened[tag] += 1
     text.append(page[at:])
     flush()
     return root
@@ -246,22 +271,32 @@ def copies(trees: list[Node]) -> list[int | None]:
     return out
 
 
-def paths(node: Node) -> Counter[str]:
-    """How often each path of tags is in a tree."""
-    out: Counter[str] = Counter()
-    todo = [(node, "")]
+def paths(node: Node, numbers: dict[tuple[int, str], int]) -> Counter[int]:
+    """How often each path of tags is in a tree; ``numbers`` has the number of a path by that of its parent and its tag."""
+    out: Counter[int] = Counter()
+    todo = [(node, 0)]
     while todo:
         n, path = todo.pop()
         out[path] += 1
-        todo.extend((c, f"{path}/{c.tag}") for c in n.children)
+        todo.extend((c, numbers.setdefault((path, c.tag), len(numbers) + 1)) for c in n.children)
     return out
 
 
+def depth(node: Node) -> int:
+    deepest, todo = 0, [(node, 1)]
+    while todo:
+        n, own = todo.pop()
+        deepest = max(deepest, own)
+        todo.extend((c, own + 1) for c in n.children)
+    return deepest
+
+
 def layouts(trees: list[Node]) -> list[list[int]]:
     """The places of the pages of each layout, its reference first. A page without elements is a layout of its own."""
-    each = [paths(t) for t in trees]
+    numbers: dict[tuple[int, str], int] = {}
+    each = [paths(t, numbers) for t in trees]
     # Distinct paths count, so that long pages are like short ones of the same layout.
-    kinds: dict[frozenset[str], int] = {}
+    kinds: dict[frozenset[int], int] = {}
     kind = [kinds.setdefault(frozenset(a), len(kinds)) for a in each]
     shares = [[len(a & b) / len(a | b) for b in kinds] for a in kinds]
     alike = [[shares[x][y] if shares[x][y] >= LAYOUT else 0 for y in kind] for x in kind]
@@ -277,6 +312,8 @@ def layouts(trees: list[Node]) -> list[list[int]]:
 def main_texts(pages: list[str]) -> list[str]:
     """The main text of each of some pages of one host."""
     trees = [tree(p) for p in pages]
+    # Matching descends by recursion, one Python frame for each level of the deepest page.
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 1000 + 2 * max(map(depth, trees), default=0)))
     out = [""] * len(trees)
     for members in layouts(trees):
         for k, text in zip(members, texts_of_layout([trees[k] for k in members])):
@@ -302,12 +339,15 @@ def texts_of_layout(trees: list[Node]) -> list[str]:
                 article[id(a)] += 1
     place = max(article, key=article.get) if article else None
     template = {key for key, some in having.items() if len(some) > 1 and 2 * len(some) >= distinct}
+    # Inside an article two pages may say the same; template there needs many pages, and nearly all of them.
+    sure = {key for key, some in having.items() if len(some) >= SURE_PAGES and len(some) >= SURE_SHARE * distinct}
     out = []
     for t, own, found in zip(trees, pairs, explicit):
         if not found and place is not None:
             found = [b for a, b in own if id(a) == place and not b.skipped]
-        # What matches nothing varies.
-        constant = {id(b) for a, b in own if (id(a), b.own()) in template}
+        # What matches nothing varies; a heading in an article is its own.
+        known = sure if found else template
+        constant = {id(b) for a, b in own if (id(a), b.own()) in known and not (found and HEADING.fullmatch(b.tag))}
         out.append("\n".join(x for n in found or [t] for x in slots(n, constant)))
     return out
 
