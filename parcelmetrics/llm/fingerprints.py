@@ -84,31 +84,29 @@ def likeness(a: str, b: str) -> Column:
 def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
     """``docs`` (doc_id long, tie, ...) with ``next_<c>`` of the next document in ascending (doc_id, tie), the first after the last.
 
-    Ids are counted in equal cells of their range, and neighbouring cells joined to buckets of like size, so each window
-    holds one bucket. A bucket also gets the first document of the next one as a guest, which is dropped afterwards.
+    Ids are dealt into buckets of like size between their quantiles, so each window holds one bucket, wherever ids lie. A
+    bucket also gets the first document of the next one as a guest, which is dropped afterwards. Rows with one id stay together.
     """
     spark = docs.sparkSession
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cells = 16 * buckets
-    low, high, rows = docs.select(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    if not rows:
+    shares = [k / buckets for k in range(1, buckets)]
+    borders = docs.select(F.percentile_approx("doc_id", shares, 10 * buckets)).first()[0]
+    borders = sorted(set(borders or []))
+    # The number of borders below an id, by a binary search; ids up to a border are in the bucket before it.
+    array = F.array(*[F.lit(b).cast("long") for b in borders]) if borders else F.array().cast("array<bigint>")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(borders).bit_length()))]) if borders else F.array().cast("array<int>")
+
+    def passed(done: Column, step: Column) -> Column:
+        return F.when((done + step <= len(borders)) & (F.get(array, done + step - 1) < F.col("doc_id")), done + step).otherwise(done)
+
+    bucketed = F.aggregate(steps, F.lit(0), passed)
+    # At most one row for each bucket: its first document.
+    tops = docs.groupBy(bucketed.alias("bucket")).agg(F.min(F.struct("doc_id", "tie")).alias("first")).orderBy("bucket").collect()
+    if not tops:
         return docs.select("*", *[F.col(c).alias(f"next_{c}") for c in carried])
-    low, high = (0, 0) if low is None else (low, high)
-    width = max(1, -(-(high - low + 1) // cells))
-    cell = F.coalesce(F.floor((F.col("doc_id").cast("decimal(20,0)") - F.lit(low)) / F.lit(width)).cast("int"), F.lit(-1))
-    # At most one row for each cell: its count, and its first document.
-    tops = docs.groupBy(cell.alias("cell")).agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tie")).alias("first")).orderBy("cell").collect()
-    bucket_of, firsts, held, bucket = [0] * cells, [], 0, -1
-    for top in tops:
-        if bucket < 0 or top.cell < 1 or held + top.n > rows / buckets:
-            bucket, held = bucket + 1, 0
-            firsts.append(top.first)
-        held += top.n
-        if top.cell >= 0:
-            bucket_of[top.cell] = bucket
-    null_first = tops[0].cell < 0
-    bucketed = F.when(cell < 0, F.lit(0)).otherwise(F.get(F.expr("array(" + ",".join(map(str, bucket_of)) + ")"), cell)) if not null_first or len(tops) > 1 else F.lit(0)
-    guests = spark.createDataFrame([(f.doc_id, f.tie, (k - 1) % len(firsts)) for k, f in enumerate(firsts)], "guest_id long, guest_tie long, bucket int")
+    held = [t.bucket for t in tops]
+    firsts = [t.first for t in tops]
+    guests = spark.createDataFrame([(f.doc_id, f.tie, held[k - 1]) for k, f in enumerate(firsts)], "guest_id long, guest_tie long, bucket int")
     # At most one guest for each bucket.
     guest = docs.join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("guest_id")) & (F.col("tie") == F.col("guest_tie"))).drop("guest_id", "guest_tie")
     both = docs.withColumn("bucket", bucketed).withColumn("guest", F.lit(False)).unionByName(guest.withColumn("guest", F.lit(True)))
