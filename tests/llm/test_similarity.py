@@ -196,3 +196,29 @@ def test_one_id_with_different_texts(spark):
     assert got == {(1, line("a")), (2, line("b")), (2, line("c")), (5, line("z")), (6, ""), (6, line("y")), (None, line("a"))}
     found = sorted((r.doc_id, r.component_id) for r in jaccard.jaccard_components(docs).collect() if r.doc_id in (3, 4, 5))
     assert found == [(3, 2), (4, 2), (5, 1), (5, 5)]
+
+
+def test_vectors_of_extreme_magnitudes(spark):
+    from parcelmetrics.llm import neardup
+
+    rows = [(1, [1e200, 1e200]), (2, [2e200, 2e200]), (3, [1e-200, 1e-201]), (4, [1e-201, 1e-200]), (5, [5e-324, 5e-325 * 0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    # 3 and 5 point almost the same way, 3 and 4 do not.
+    assert got[1] == (1, 1) and got[2] == (1, 1) and got[4] == (0, 4) and got[3] == (1, 3) and got[5] == (1, 3)
+
+
+def test_next_documents_with_one_far_id(spark):
+    from pyspark.sql import functions as F
+
+    from parcelmetrics.llm import fingerprints
+
+    ids = [*range(5000), 2**62, None]
+    docs = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string").withColumn("tie", F.xxhash64("text"))
+    chained = fingerprints.with_next(docs, ["text"])
+    got = {r.doc_id: r.next_text for r in chained.collect()}
+    order = [None, *range(5000), 2**62]
+    assert got == {i: f"text {order[(k + 1) % len(order)]}" for k, i in enumerate(order)}
+    # The far id does not put all others into one window.
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    borders = docs.select(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 10 * parts)).first()[0]
+    assert max(sum(a < i <= b for i in range(5000)) for a, b in zip([-1, *borders], borders)) < 2 * 5000 / parts

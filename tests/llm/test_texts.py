@@ -104,7 +104,7 @@ def test_pipeline(spark):
     assert kept.where("text rlike '[a-z0-9]@[a-z0-9-]+[.][a-z]'").count() == 0
     packed = corpus_pipeline.STAGES[-1][1](spark, kept, folder)
     assert packed.select("doc_id").distinct().count() == kept.select("doc_id").distinct().count()
-    assert set(queries.QUERIES) >= {"pipeline", *[q for q in queries.QUERIES if q.startswith("op")]} and len(queries.QUERIES) == 11
+    assert set(queries.QUERIES) >= {"pipeline", *[q for q in queries.QUERIES if q.startswith("op")]} and len(queries.QUERIES) == 14
 
 
 def test_template_inside_the_article(spark):
@@ -131,3 +131,22 @@ def test_reference_page_of_each_layout():
     pages = [f"<div><p>Menu</p><p>{'Again' if k < 2 else f'own {k}'} </p><p>x{k} y{k} z{k} u{k} v{k}</p></div>" for k in range(65)]
     got = wrappers.main_texts(pages)
     assert got[0] == "Again\nx0 y0 z0 u0 v0" and got[64] == "own 64\nx64 y64 z64 u64 v64"
+
+
+def test_pages_of_any_depth_and_markup():
+    deep = "<div>" * 3000 + "<p>deep text</p>" + "</div>" * 3000
+    assert wrappers.main_texts([deep, deep.replace("deep", "other")]) == ["deep text", "other text"]
+    for open_tag in ('<main class="has-sidebar">', '<article class="post comments-open">', '<div class="content with-sidebar">', '<div class="sidebar-layout"><article>'):
+        assert wrappers.main_texts([f"<body>{open_tag}<p>kept</p><div class='sidebar'>gone</div><div class='site-footer'>gone</div></body>"]) == ["kept"]
+    assert wrappers.main_texts(["<article><div class=x data-a=it's>a &lt; b</div><p title='1 > 0' b=\"it's\">c</p></article>"]) == ["a < b\nc"]
+
+
+def test_articles_that_share_a_heading_keep_it():
+    page = "<article><h1>One title</h1><p><b>A lead that two pages have.</b></p><p>{}</p></article><footer>f</footer>"
+    texts = ["first text of its own", "second words, quite others", "third one"]
+    pages = [page.format(t) for t in texts[:2]] + [page.format(texts[2]).replace("One title", "Another").replace("two pages have", "only this one has")]
+    got = wrappers.main_texts(pages)
+    assert got[0] == "One title\nA lead that two pages have.\nfirst text of its own"
+    # A notice in all of five different articles is template, the heading that they share is not.
+    many = [f"<article><h1>Same</h1><p>{w * 9}</p><div>Subscribe now</div></article>" for w in ("alpha ", "beta ", "gamma ", "delta ", "eps ")]
+    assert wrappers.main_texts(many)[0] == "Same\n" + ("alpha " * 9).strip()
