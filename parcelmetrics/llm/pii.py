@@ -1,10 +1,11 @@
 """Personal data: base patterns, and contextual extraction bootstrapped from what they find.
 
-The base patterns find e-mail and IP addresses, card and phone numbers. They are the seeds. Every other word with a digit or
-``@`` is a candidate. Words before and after a span are its lexical patterns. Patterns and spans form a graph: a pattern's
+The base patterns find e-mail and IP addresses, card and phone numbers. They are the seeds, and so are secrets: words of 32
+letters and digits or more, with several of both. Every other word with a digit or ``@`` is a candidate. Words before and
+after a span, within 80 characters, are its lexical patterns. Patterns and spans form a graph: a pattern's
 confidence is the (smoothed) mean score of its spans, a candidate's score the noisy-or of its confident patterns; both are
-computed anew for a fixed number of rounds. Candidates with a high score are added as spans of the kind of their patterns.
-Built-in functions only.
+computed anew until no confidence moves. Candidates with a high score are added as spans of the kind of their patterns, secrets in
+any case. Built-in functions only.
 
 Rows: null text counts as empty; repeated rows each get their spans; rows are told apart by id and text, so other rows with
 the same id (or none) do not mix; an empty table gives no rows; only the named columns are used. Texts are searched whole.
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 from parcelmetrics.llm.common import staged, whole_text
 
 KINDS = ("email", "ip", "card", "phone")
+#: A fifth kind, of no base pattern.
+SECRET = "secret"
 #: The contract's patterns in forms that never try a place twice: possessive, and only from the start of a run of fitting
 #: characters or from where the last match ended.
 PATTERNS = {
@@ -31,7 +34,9 @@ HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[ -]?[0-9]){15}"
 CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 CONTEXT = 80
 #: A pattern needs so many different seeds and such a confidence, a candidate such a score.
-SUPPORT, CONFIDENCE, SCORE, ROUNDS = 3, 0.5, 0.8, 2
+SUPPORT, CONFIDENCE, SCORE = 3, 0.5, 0.8
+#: Rounds in which confidences must settle, to so many digits; they hardly ever take more than four.
+ROUNDS, DIGITS = 20, 6
 
 #: Offsets are summed in runs of so many matches, so that a text with very many does not cost their square.
 RUN = 128
@@ -99,10 +104,14 @@ def _as_span(s: Column, kind: Column, start: Column | None = None, value: Column
     return F.struct(kind.alias("kind"), start.alias("start"), (start + F.char_length(value)).alias("end"), value.alias("value"), F.array_compact(patterns).alias("patterns"))
 
 
+def _is_secret(word: Column) -> Column:
+    return word.rlike(r"^[A-Za-z0-9_+/=-]{32,}$") & word.rlike(r"(?:[A-Za-z][^A-Za-z]*){6}") & word.rlike(r"(?:[0-9][^0-9]*){6}")
+
+
 def found_in(rows: DataFrame) -> DataFrame:
     """``rows`` (with a ``text`` that isn't null) with ``base``, spans by kind and start, and ``others``, the candidates.
 
-    Both are arrays of (kind, start, end, value, patterns); candidates have no kind and overlap no base span.
+    Both are arrays of (kind, start, end, value, patterns); candidates have no kind, but for secrets, and overlap no base span.
     """
     for kind in KINDS:
         hint = F.col("text").contains("@") if kind == "email" else F.col("text").rlike(HINTS[kind])
@@ -117,7 +126,7 @@ def found_in(rows: DataFrame) -> DataFrame:
     def trimmed(s: Column) -> Column:
         front = F.length(F.regexp_extract(s["value"], r"""^["'(\[<{]+""", 0))
         core = F.regexp_replace(s["value"], r"""^["'(\[<{]+|["')\]>}.,;:!?]++$""", "")
-        return _as_span(s, F.lit(None).cast("string"), s["start"] + front, core)
+        return _as_span(s, F.when(_is_secret(core), F.lit(SECRET)), s["start"] + front, core)
 
     free = F.filter(F.transform("words", trimmed), lambda s: s["value"].rlike("[0-9@]") & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     return rows.withColumn("others", free).drop("words")
@@ -139,13 +148,18 @@ def discovered(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     supported = kinds.withColumnRenamed("kind", "of")
     graph = staged(edges.join(supported.select("pattern", "of"), "pattern").select("pattern", "of", "value", "kind"), "graph")
     scores = graph.select("of", "value", "kind").distinct().withColumn("score", (F.col("kind").eqNullSafe(F.col("of"))).cast("double"))
-    confident = None
+    confident, before = None, None
     for _ in range(rounds):
         scored = graph.alias("g").join(scores.alias("s"), F.expr("g.of = s.of and g.value = s.value and g.kind <=> s.kind")).select("g.pattern", "g.of", "s.score")
         confident = staged(
             scored.groupBy("pattern", "of").agg((F.sum("score") / (F.count("*") + 1)).alias("confidence")).where(F.col("confidence") >= CONFIDENCE),
             "patterns",
         )
+        # A pattern's confidence moves one way only, so equal sums mean that none has moved.
+        now = confident.agg(F.count("*"), F.sum(F.round("confidence", DIGITS).cast("decimal(38,6)"))).first()
+        if now == before:
+            break
+        before = now
         joined = graph.where("kind is null").join(confident, ["pattern", "of"])
         unseen = joined.groupBy("of", "value").agg((1 - F.exp(F.sum(F.log(1 - F.least(F.col("confidence"), F.lit(0.999)))))).alias("score"))
         seeds = graph.where("kind is not null").select("of", "value", "kind", (F.col("kind") == F.col("of")).cast("double").alias("score")).distinct()
@@ -163,13 +177,16 @@ def personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
     found = staged(found_in(rows).select("doc_id", F.xxhash64("text").alias("tie"), "base", "others"), "spans")
     added = discovered(found).withColumnRenamed("doc_id", "d").withColumnRenamed("tie", "t")
-    slim = found.select("doc_id", "tie", F.transform("base", lambda s: F.struct(*[s[k].alias(k) for k in ("kind", "start", "end", "value")])).alias("spans"))
+    plain = lambda s: F.struct(*[s[k].alias(k) for k in ("kind", "start", "end", "value")])
+    secrets = F.transform(F.filter("others", lambda s: s["kind"] == SECRET), plain)
+    slim = found.select("doc_id", "tie", F.transform("base", plain).alias("spans"), secrets.alias("secrets"))
     joined = slim.join(added, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t")), "left").drop("d", "t")
-    place = F.array(*map(F.lit, KINDS))
-    both = F.concat("spans", "added")
+    place = F.array(*map(F.lit, (*KINDS, SECRET)))
+    both = F.concat("spans", "secrets", F.coalesce("added", F.array().cast(joined.schema["spans"].dataType)))
     keyed = F.array_sort(F.transform(both, lambda s: F.struct(F.array_position(place, s["kind"]).alias("place"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["value"].alias("value"))))
     ordered = F.transform(keyed, lambda s: F.struct(*[s[k].alias(k) for k in ("kind", "start", "end", "value")]))
-    return joined.select("doc_id", "tie", "spans", F.when(F.col("added").isNull(), F.col("spans")).otherwise(ordered).alias("all_spans"))
+    more = F.col("added").isNotNull() | (F.size("secrets") > 0)
+    return joined.select("doc_id", "tie", "spans", F.when(more, ordered).otherwise(F.col("spans")).alias("all_spans"))
 
 
 def as_list(spans: str) -> Column:

@@ -67,7 +67,13 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     def number(kind: str):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select("doc_id", *map(number, pii.KINDS), F.sha2(pii.as_list("spans"), 256).alias("base_sha256"), pii.as_list("all_spans").alias("spans"))
+    return found.select(
+        "doc_id",
+        *map(number, pii.KINDS),
+        F.sha2(pii.as_list("spans"), 256).alias("base_sha256"),
+        pii.as_list("all_spans").alias("spans"),
+        F.size("all_spans").cast("long").alias("n_spans"),
+    )
 
 
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

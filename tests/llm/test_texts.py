@@ -51,6 +51,19 @@ def test_contexts_discover(spark):
     assert pii.personal_data(docs.limit(0)).count() == 0
 
 
+def test_secrets_are_seeds_of_their_own(spark):
+    import hashlib
+
+    rows = [(i, f'text{i} of it api_key = "{hashlib.sha1(str(i).encode()).hexdigest()}" and more') for i in range(6)]
+    rows += [(50, 'other words api_key = "k3y-of-a-few" and more'), (51, "a" * 60 + " " + "1" * 60 + " year 2024"), (52, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.personal_data(docs).withColumn("all", pii.as_list("all_spans")).withColumn("base", pii.as_list("spans")).collect()}
+    at = rows[0][1].index('"') + 1
+    assert got[0]["all"] == f"secret:{at}:{at + 40}" and got[0]["base"] == ""
+    # A short one is known by its context, long words of one kind are not.
+    assert got[50]["all"] == "secret:23:35" and got[51]["all"] == "" and got[52]["all"] == ""
+
+
 def test_pages(spark):
     page = "<html><head><title>t</title></head><body><nav>m</nav><div class='ad'>buy</div><article><h1>H &amp; h</h1><p><b>one<br><p>two  <i>x</i>\n y<script>if(a<b)</script></article><div class=comments><p>nice</div><footer>f</footer>"
     rows = [(1, "http://a.example/1", page), (2, None, None), (3, "http://b.example/1", "<div><p>Same<p>One</div>"), (4, "http://b.example/2", "<div><p>Same<p>Two <b>b</b></div>"), (5, "http://b.example/2", ""), (None, "x", "a<!-- c --> b" + "<p>z" * 3000)]
