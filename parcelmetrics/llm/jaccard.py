@@ -6,8 +6,8 @@ fifth of its shingles, so the window of pivots that a document must be sent to i
 more. Documents of one pivot are its region. Regions with equal members are one.
 
 Small regions give pairs within the window of set sizes. Other pivots prune these: for any part P of all shingles,
-| |x & P| - |y & P| | bounds the difference of x and y by the triangle inequality, and 64 parts bound its sum; then so do
-the parities of as many small parts as twice the shingles. What is left is compared exactly: each document first with the
+| |x & P| - |y & P| | bounds the difference of x and y by the triangle inequality, and its parity does. The parities of 512
+parts, eight longs, travel with a pair first; then those of as many small parts as twice the shingles. What is left is compared exactly: each document first with the
 partner that has most partners, and after that only what these links don't connect. Large regions are joined recursively: document pivots make Voronoi cells, a document also goes to all
 cells q with d(x, q) <= d(x, p) + 2 * 0.2, and whatever one pivot already connects is not compared again. A region too large
 for a task first loses, round by round, what a pivot connects; regions that don't shrink are compared in blocks.
@@ -20,6 +20,7 @@ gives no rows; only the named columns are used. Shingles are compared by 64-bit
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +28,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelmetrics.llm.common import components, staged, whole_text
+from parcelmetrics.llm.common import components, drop_staged, staged, whole_text
 from parcelmetrics.llm.tokens import CACHED_CHUNKS, runs, small_batches
 
 WORDS = 5
-#: Slots of the count of frequent shingles, parts of all shingles that bound differences.
-SLOT_BITS, PARTS = 20, 64
+#: Slots of the count of frequent shingles, parts of all shingles whose parities bound differences.
+SLOT_BITS, PARTS = 20, 512
 #: Members of a small region, of one that a task joins, pivots of a recursion, and its smallest share that still helps.
 SMALL, LARGE, PIVOTS, SHRINK = 64, 4096, 8, 0.8
 LINK, EPSILON = 0.8, 0.2
+SKETCH = [f"s{k}" for k in range(PARTS // 64)]
 #: Odd factor between the words of a shingle.
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -113,7 +115,7 @@ def least_difference(x: bytes, y: bytes) -> int:
 
 
 def _profiles(rows: DataFrame, level: np.ndarray) -> DataFrame:
-    """(doc_id, tie, n, set_key, first: shingles of its window, parts: how many of its shingles fall in each part, bits)."""
+    """(doc_id, tie, n, set_key, first: shingles of its window, s0..s7: parities of its parts, bits: of more parts)."""
     sent = rows.sparkSession.sparkContext.broadcast(level)  # a byte for each slot
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,12 +129,13 @@ def _profiles(rows: DataFrame, level: np.ndarray) -> DataFrame:
                 sizes.append(n)
                 order = np.argsort(sent.value[(own >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], kind="stable")
                 first.append(own[order[: n - -(-4 * n // 5) + 1]].astype(np.int64) if n else np.zeros(0, np.int64))
-                parts.append(np.bincount((own % np.uint64(PARTS)).astype(np.int64), minlength=PARTS).astype(np.int32))
+                parts.append(np.packbits(np.bincount((own % np.uint64(PARTS)).astype(np.int64), minlength=PARTS) & 1).tobytes())
                 bits.append(parities(own))
-            columns = [batch.column("doc_id"), batch.column("tie"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(first, pa.list_(pa.int64())), pa.array(parts, pa.list_(pa.int32())), pa.array(bits, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "n", "set_key", "first", "parts", "bits"])
+            sketches = np.frombuffer(b"".join(parts), "<i8").reshape(len(parts), -1)
+            columns = [batch.column("doc_id"), batch.column("tie"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(first, pa.list_(pa.int64())), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, sketches.T)], ["doc_id", "tie", "n", "set_key", "first", "bits", *SKETCH])
 
-    return rows.mapInArrow(profile, "doc_id long, tie long, n long, set_key binary, first array<long>, parts array<int>, bits binary")
+    return rows.mapInArrow(profile, f"doc_id long, tie long, n long, set_key binary, first array<long>, bits binary, {', '.join(f'{s} long' for s in SKETCH)}")
 
 
 def _near_enough(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -383,16 +386,18 @@ def text_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).withColumn("tie", F.xxhash64("text"))
     profiles = staged(_profiles(rows, frequent_slots(rows)), "profiles")
     usable = profiles.where("n > 0 and doc_id is not null")
-    classes = staged(usable.groupBy("set_key").agg(F.min(F.struct("doc_id", "tie")).alias("least"), F.first(F.struct("n", "first", "parts", "bits")).alias("x")).select("set_key", F.xxhash64("set_key").alias("rep"), "least", "x.*"), "classes")
+    classes = staged(usable.groupBy("set_key").agg(F.min(F.struct("doc_id", "tie")).alias("least"), F.first(F.struct("n", "first", "bits", *SKETCH)).alias("x")).select("set_key", F.xxhash64("set_key").alias("rep"), "least", "x.*"), "classes")
 
     members = classes.select("rep", "n", F.explode("first").alias("shingle"))
     met = staged(members.repartition("shingle").sortWithinPartitions("shingle", "n").mapInArrow(_pairs_and_regions, "region long, a long, b long"), "met")
     pairs = met.where("region is null").select("a", "b").distinct()
-    x, y = classes.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("parts").alias("p_a")), classes.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("parts").alias("p_b"))
-    differ = F.aggregate(F.zip_with("p_a", "p_b", lambda p, q: F.abs(p - q)), F.lit(0), lambda s, v: s + v)
-    pairs = staged(pairs.join(x, "a").join(y, "b").where(9 * differ <= F.col("n_a") + F.col("n_b")).select("a", "b"), "pairs")
-    pairs = staged(_near_enough(pairs, classes), "near-pairs")
+    x, y = (classes.select(F.col("rep").alias(end), F.col("n").alias(f"n_{end}"), *[F.col(s).alias(f"{s}_{end}") for s in SKETCH]) for end in ("a", "b"))
+    differ = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in SKETCH])
+    sketched = staged(pairs.join(x, "a").join(y, "b").where(9 * differ <= F.col("n_a") + F.col("n_b")).select("a", "b"), "pairs")
+    pairs = staged(_near_enough(sketched, classes), "near-pairs")
+    drop_staged(sketched)
     regions = staged(met.where("region is not null").select("region", F.col("a").alias("rep")).distinct().withColumn("label", F.col("rep")), "regions")
+    drop_staged(met)
 
     # Sets of those documents only that take part, from their texts.
     needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(regions.select("rep")).distinct()
