@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: A worker forgets its distinct chunks beyond so many, or so many characters of them; only speed depends on it.
-CACHED_CHUNKS, CACHED_CHARACTERS = 300_000, 16_000_000
+CACHED_CHUNKS, CACHED_CHARACTERS = 500_000, 16_000_000
 
 Ragged = tuple[np.ndarray, np.ndarray]  # lengths, values
 
