@@ -332,6 +332,20 @@ def _stars(pairs: DataFrame) -> DataFrame:
     return hub.join(other, ["a", "b"], "left").where("mutual is null or a < b").select("a", "b")
 
 
+def _to_pivots(regions: DataFrame) -> DataFrame:
+    """A pair (a, b) for each member of ``regions`` (region, rep) and the pivot of its largest region, and of its smallest.
+
+    Near copies share many regions with nearly equal members. Once their pivots connect them, these regions have nothing left
+    to compare, and no set travels to each of them.
+    """
+    own = regions.groupBy("region").agg(F.count("*").alias("m"), F.min(F.struct(F.xxhash64("rep"), "rep")).alias("p"))
+    placed = regions.select("region", "rep").join(own.select("region", "m", F.col("p.rep").alias("pivot")), "region")
+    order = F.struct("m", "region", "pivot")
+    ends = placed.groupBy("rep").agg(F.array(F.max(order), F.min(order)).alias("some"))
+    pairs = ends.select("rep", F.explode("some.pivot").alias("pivot")).where("rep <> pivot")
+    return pairs.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
+
+
 def verified_edges(pairs: DataFrame, regions: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b) edges that connect all linked of ``pairs`` (a, b) and of the members (region, rep, label) of ``regions``.
 
@@ -390,13 +404,13 @@ def text_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
     members = classes.select("rep", "n", F.explode("first").alias("shingle"))
     met = staged(members.repartition("shingle").sortWithinPartitions("shingle", "n").mapInArrow(_pairs_and_regions, "region long, a long, b long"), "met")
-    pairs = met.where("region is null").select("a", "b").distinct()
+    regions = staged(met.where("region is not null").select("region", F.col("a").alias("rep")).distinct().withColumn("label", F.col("rep")), "regions")
+    pairs = met.where("region is null").select("a", "b").union(_to_pivots(regions)).distinct()
     x, y = (classes.select(F.col("rep").alias(end), F.col("n").alias(f"n_{end}"), *[F.col(s).alias(f"{s}_{end}") for s in SKETCH]) for end in ("a", "b"))
     differ = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in SKETCH])
     sketched = staged(pairs.join(x, "a").join(y, "b").where(9 * differ <= F.col("n_a") + F.col("n_b")).select("a", "b"), "pairs")
     pairs = staged(_near_enough(sketched, classes), "near-pairs")
     drop_staged(sketched)
-    regions = staged(met.where("region is not null").select("region", F.col("a").alias("rep")).distinct().withColumn("label", F.col("rep")), "regions")
     drop_staged(met)
 
     # Sets of those documents only that take part, from their texts.
