@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from parcelmetrics.functions.money import FeeSchedule
 from parcelmetrics.plans.cases import CaseOptions
 from parcelmetrics.sources.schemas import FEES, SCHEMAS
-from parcelmetrics.sources.staging import staged
+from parcelmetrics.sources.staging import staged, staged_folder
+from parcelmetrics.sources.warehouse import read_tables
 
 # The generated orders run from 1995 to 2001, so the dated rules are moved there.
 SAMPLE_OPTIONS = CaseOptions(
@@ -239,8 +240,13 @@ class SampleViews(Mapping):
 
 
 def sample_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The warehouse tables as files: the views are written once, then scanned."""
-    views = SampleViews(spark, sf_dir)
-    for shared in ["child", "buy_base"]:
-        views.replace(shared, staged(spark, f"{sf_dir}:{shared}", lambda n=shared: views[n], of=sf_dir))
-    return {name: staged(spark, f"{sf_dir}:{name}", lambda n=name: views[n], of=sf_dir) for name in SCHEMAS}
+    """The warehouse tables as files: the views are written once, then scanned as a warehouse is."""
+
+    def write(folder: str) -> None:
+        views = SampleViews(spark, sf_dir)
+        for shared in ["child", "buy_base"]:
+            views.replace(shared, staged(spark, f"{sf_dir}:{shared}", lambda n=shared: views[n], of=sf_dir))
+        for name in SCHEMAS:
+            views[name].write.parquet(f"{folder}/{name}.parquet")
+
+    return read_tables(spark, staged_folder(spark, f"{sf_dir}:warehouse", write, of=sf_dir))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 _paths: dict[tuple[str, str], tuple[str, StructType]] = {}
+_folders: dict[tuple[str, str], str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -42,6 +43,16 @@ def fingerprint(spark: SparkSession, folder: str) -> str:
     return hashlib.sha256(repr(sorted(seen)).encode()).hexdigest()[:16]
 
 
+def staged_folder(spark: SparkSession, name: str, write: Callable[[str], None], of: str) -> str:
+    """A folder of this name that ``write`` fills on first use in this application, and anew once the files of ``of`` change."""
+    key = (spark.sparkContext.applicationId, f"{name}:{fingerprint(spark, of)}")
+    if key not in _folders:
+        path = scratch_folder(spark, "folder")
+        write(path)
+        _folders[key] = path
+    return _folders[key]
+
+
 def staged(
     spark: SparkSession, name: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = (), of: str | None = None
 ) -> DataFrame:
