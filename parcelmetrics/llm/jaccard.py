@@ -25,6 +25,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +33,8 @@ from parcelmetrics.llm.common import components, drop_staged, staged, whole_text
 from parcelmetrics.llm.tokens import CACHED_CHUNKS, runs, small_batches
 
 WORDS = 5
-#: Slots of the count of frequent shingles, parts of all shingles whose parities bound differences.
-SLOT_BITS, PARTS = 20, 512
+#: Bits of the slots of frequent shingles, at least and at most, and of the chunks they are added up in; parts of all shingles whose parities bound differences.
+SLOT_BITS, MOST_SLOT_BITS, CHUNK_BITS, PARTS = 20, 24, 6, 512
 #: Members of a small region, of one that a task joins, pivots of a recursion, and its smallest share that still helps.
 SMALL, LARGE, PIVOTS, SHRINK = 64, 4096, 8, 0.8
 LINK, EPSILON = 0.8, 0.2
@@ -79,25 +80,43 @@ def linked(common: int, n: int, m: int) -> bool:
     return 100 * common >= 80 * (n + m - common)
 
 
-def frequent_slots(rows: DataFrame) -> np.ndarray:
-    """For each slot of shingle hashes how frequent it is, as a power of two, or 0 if it isn't frequent anywhere.
+def slot_bits(rows: DataFrame) -> int:
+    """Bits of a slot number: some sixteen slots a document, within bounds that a task can count and a driver send."""
+    return min(MOST_SLOT_BITS, max(SLOT_BITS, (16 * max(rows.count(), 1) - 1).bit_length()))
 
-    Any order of shingles keeps the join exact, so tasks only report slots well above their mean.
+
+def frequent_slots(rows: DataFrame, bits: int) -> np.ndarray:
+    """For each slot of shingle hashes how far its count is above the mean, as a power of two, or 0 if it isn't well above.
+
+    Tasks count all slots; their counts are added up in chunks of slots, so that a shingle that is spread over all tasks
+    stands out too. Any order of shingles keeps the join exact.
     """
+    shift, chunk = np.uint64(64 - bits), 1 << (bits - CHUNK_BITS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = WordHashes(), np.zeros(1 << SLOT_BITS, np.int64)
+        hashes, total = WordHashes(), np.zeros(1 << bits, np.uint32)
         for batch in small_batches(batches, "text"):
             for text in batch.column("text").to_pylist():
-                np.add.at(total, (shingles(text, hashes) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), 1)
-        some = np.flatnonzero(total >= 2 * total.mean() + 16)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["slot", "n"])
-
-    # At most one row for each slot.
-    counted = rows.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    level = np.zeros(1 << SLOT_BITS, np.uint8)
-    level[counted["slot"].to_numpy(np.int64)] = np.log2(np.maximum(counted["n"].to_numpy(np.float64), 1)).astype(np.uint8)
-    return level
+                # A text has a shingle once, but two of its shingles may share a slot.
+                np.add.at(total, (shingles(text, hashes) >> shift).astype(np.int64), 1)
+        for k in range(1 << CHUNK_BITS):
+            packed = zstandard.ZstdCompressor(level=1).compress(total[k * chunk : (k + 1) * chunk].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([packed])], ["chunk", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches, ["chunk"]):
+            total = np.zeros(chunk, np.int64)
+            for counts in run.column("counts").to_pylist():
+                total += np.frombuffer(zstandard.ZstdDecompressor().decompress(counts), np.uint32)
+            mean = total.mean()
+            above = np.maximum(total - mean, 1)
+            level = np.where(total > mean + 5 * np.sqrt(mean) + 8, np.log2(above), 0).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([run.column("chunk").chunk(0)[:1], pa.array([level.tobytes()])], ["chunk", "levels"])
+
+    counted = rows.select("text").mapInArrow(count, "chunk int, counts binary").repartition("chunk").sortWithinPartitions("chunk")
+    # A byte for each slot.
+    found = counted.mapInArrow(add, "chunk int, levels binary").orderBy("chunk").collect()
+    return np.frombuffer(b"".join(bytes(r.levels) for r in found), np.uint8) if found else np.zeros(1 << bits, np.uint8)
 
 
 def parities(own: np.ndarray) -> bytes:
@@ -114,7 +133,7 @@ def least_difference(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(p ^ q).sum())
 
 
-def _profiles(rows: DataFrame, level: np.ndarray) -> DataFrame:
+def _profiles(rows: DataFrame, level: np.ndarray, slot: int) -> DataFrame:
     """(doc_id, tie, n, set_key, first: shingles of its window, s0..s7: parities of its parts, bits: of more parts)."""
     sent = rows.sparkSession.sparkContext.broadcast(level)  # a byte for each slot
 
@@ -127,7 +146,7 @@ def _profiles(rows: DataFrame, level: np.ndarray) -> DataFrame:
                 n = len(own)
                 keys.append(xxhash.xxh3_128_digest(own.tobytes()))
                 sizes.append(n)
-                order = np.argsort(sent.value[(own >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], kind="stable")
+                order = np.argsort(sent.value[(own >> np.uint64(64 - slot)).astype(np.int64)], kind="stable")
                 first.append(own[order[: n - -(-4 * n // 5) + 1]].astype(np.int64) if n else np.zeros(0, np.int64))
                 parts.append(np.packbits(np.bincount((own % np.uint64(PARTS)).astype(np.int64), minlength=PARTS) & 1).tobytes())
                 bits.append(parities(own))
@@ -398,7 +417,8 @@ def text_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     Rows with one id and different texts are told apart. ``first`` is null where a row has no shingles or no id.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).withColumn("tie", F.xxhash64("text"))
-    profiles = staged(_profiles(rows, frequent_slots(rows)), "profiles")
+    slot = slot_bits(rows)
+    profiles = staged(_profiles(rows, frequent_slots(rows, slot), slot), "profiles")
     usable = profiles.where("n > 0 and doc_id is not null")
     classes = staged(usable.groupBy("set_key").agg(F.min(F.struct("doc_id", "tie")).alias("least"), F.first(F.struct("n", "first", "bits", *SKETCH)).alias("x")).select("set_key", F.xxhash64("set_key").alias("rep"), "least", "x.*"), "classes")
 
@@ -415,7 +435,8 @@ def text_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
     # Sets of those documents only that take part, from their texts.
     needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(regions.select("rep")).distinct()
-    of = classes.join(needed, "rep").select("rep", "least.*")
+    # Written first, so that Spark knows its size, and moves no text where it is small.
+    of = staged(classes.join(needed, "rep").select("rep", "least.*"), "needed")
     some = rows.join(of, ["doc_id", "tie"]).select("rep", "text").dropDuplicates(["rep"])
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
