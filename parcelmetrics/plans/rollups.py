@@ -132,8 +132,7 @@ def combine(cases: Mapping[int, DataFrame]) -> DataFrame:
     """One frame of all cases with revenue parts, top-level rows only.
 
     Revenue is the sum of its rounded parts, not the case's own total. Parts of profit are
-    NULL wherever total profit is. The filter on ``profit_case`` sits on a literal in each
-    branch, so Catalyst drops the child branches and never computes them.
+    NULL wherever total profit is. Child rows are left out; frames of ``CaseQueries.parents`` do not compute them at all.
     """
     frames = []
     for case, df in cases.items():

@@ -11,7 +11,7 @@ from __spark_entry__ import queries
 from parcelmetrics.operators.joins import splittable_join
 from parcelmetrics.operators.purchases import daily_fx, with_payments
 from parcelmetrics.plans import rollups
-from parcelmetrics.plans.cases import CaseQueries, case_table
+from parcelmetrics.plans.cases import SHIPPED, CaseQueries, case_table
 from parcelmetrics.plans.rollups import combine, revenue_split
 from parcelmetrics.queries import case_rows
 from parcelmetrics.sources.sample import SAMPLE_OPTIONS, SampleViews, sample_tables
@@ -118,8 +118,11 @@ def test_a_request_with_a_third_of_all_payments_is_split(spark, no_broadcast):
 
 def test_roll_up_reads_only_its_columns_and_parent_rows(spark):
     q = CaseQueries(sample_tables(spark, SF), SAMPLE_OPTIONS)
-    text = plan(revenue_split(combine(q.all())))
-    assert "package_fee_item" not in text and "request_domain" not in text
+    for df in (combine(q.parents()), rollups.combine_table(q.rows(*SHIPPED))):
+        text = plan(revenue_split(df))
+        assert "/package_fee.parquet" in text and "package_fee_item" not in text
+        # Only a single purchase's own rows need a domain, whose duplicates repeat them.
+        assert text.count("/request_domain.parquet") == 1
 
 
 def test_one_scan_feeds_a_roll_up_of_the_written_table(spark):
