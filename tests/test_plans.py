@@ -10,10 +10,11 @@ import pytest
 from __spark_entry__ import queries
 from parcelmetrics.operators.joins import splittable_join
 from parcelmetrics.operators.purchases import daily_fx, with_payments
+from parcelmetrics.operators.ranking import with_percentile_ranks
 from parcelmetrics.plans import rollups
 from parcelmetrics.plans.cases import SHIPPED, CaseQueries, case_table
 from parcelmetrics.plans.rollups import combine, revenue_split
-from parcelmetrics.queries import case_rows
+from parcelmetrics.queries import case_rows, parent_rows, shipment_rows
 from parcelmetrics.sources.sample import SAMPLE_OPTIONS, SampleViews, sample_tables
 from parcelmetrics.sources.schemas import SCHEMAS
 from parcelmetrics.sources.warehouse import read_tables
@@ -185,3 +186,44 @@ def test_case_table_is_partitioned_by_case(spark):
     assert {r.profit_case for r in case_rows(spark, SF).select("profit_case").distinct().collect()} == {
         "1", "2", "3", "3_1", "4", "4_1", "5", "5_1"
     }
+
+
+def test_suites_are_added_up_without_sorting_rows(spark):
+    assert "SortAggregate" not in plan(rollups.suite_rows(rollups.combine_table(parent_rows(spark, SF))))
+
+
+def test_two_percentiles_move_the_wide_rows_once(spark, no_broadcast):
+    suites = spark.range(100).selectExpr("id AS k", "id % 7 AS a", "id % 3 AS b", "uuid() AS payload")
+    text = plan(with_percentile_ranks(suites, ["k"], [], {"pa": "a", "pb": "b"}))
+    assert len(re.findall(r"Sort \[k#\d+L ASC.*\n.*\n.*Project \[[^\]]*payload|SortMergeJoin.*LeftOuter", text)) == 1
+
+
+def test_a_row_without_one_value_keeps_the_rank_of_the_other(spark):
+    df = spark.createDataFrame([(1, None, 5), (2, 4, None), (None, 9, 9), (4, None, None)], "k long, a long, b long")
+    ranked = with_percentile_ranks(df, ["k"], [], {"pa": "a", "pb": "b"})
+    assert {(r.k, r.pa, r.pb) for r in ranked.collect()} == {(1, None, 50), (2, 50, None), (None, 100, 100), (4, None, None)}
+
+
+def test_written_rows_hold_what_is_read_of_them(spark):
+    """Roll-ups read parents and no itemised columns; volumes read all rows, and six columns."""
+    parents = parent_rows(spark, SF)
+    assert {r.profit_case for r in parents.select("profit_case").distinct().collect()} == set(SHIPPED)
+    assert "storage_fee_krw" not in parents.columns and len(parents.columns) == len(rollups.COMBINED_FROM)
+    assert len(shipment_rows(spark, SF).columns) == 6 and shipment_rows(spark, SF).count() == case_rows(spark, SF).count()
+
+
+def test_a_sample_table_is_written_when_it_is_asked_for(spark, tmp_path):
+    import parcelmetrics.sources.sample as sample
+
+    tables = sample_tables(spark, SF)
+    asked = []
+    tables._write = lambda name, folder: (asked.append(name), sample.SampleViews(spark, SF)[name].write.parquet(f"{folder}/{name}.parquet"))
+    tables._dir = SF + "/"
+    assert tables["country"].count() == 25 and asked == ["country"] and set(tables) == set(SCHEMAS)
+
+
+def test_purchase_amounts_do_not_pass_the_last_shuffle(spark, warehouse):
+    df = revenue_split(rollups.combine_table(CaseQueries(warehouse, SAMPLE_OPTIONS).rows(*SHIPPED)))
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    to_customers = next(line for line in text.splitlines() if "_customer#" in line and "Project" in line)
+    assert "handling_usd" not in to_customers and "_sums" not in to_customers and "storage_fee" not in to_customers
