@@ -12,7 +12,7 @@ from parcelmetrics.operators.joins import splittable_join
 from parcelmetrics.operators.purchases import daily_fx, with_payments
 from parcelmetrics.operators.ranking import with_percentile_ranks
 from parcelmetrics.plans import rollups
-from parcelmetrics.plans.cases import SHIPPED, CaseQueries, case_table
+from parcelmetrics.plans.cases import CANONICAL, ITEMISED, KINDS, SHIPPED, CaseQueries, case_table
 from parcelmetrics.plans.rollups import combine, revenue_split
 from parcelmetrics.queries import case_rows, parent_rows, shipment_rows
 from parcelmetrics.sources.sample import SAMPLE_OPTIONS, SampleViews, sample_tables
@@ -227,3 +227,38 @@ def test_purchase_amounts_do_not_pass_the_last_shuffle(spark, warehouse):
     text = df._jdf.queryExecution().optimizedPlan().toString()
     to_customers = next(line for line in text.splitlines() if "_customer#" in line and "Project" in line)
     assert "handling_usd" not in to_customers and "_sums" not in to_customers and "storage_fee" not in to_customers
+
+
+def test_rows_without_itemised_columns_are_the_same(spark, warehouse):
+    """Four sums of terms give what terms of eighteen sums do, in every kind."""
+    q = CaseQueries(warehouse, SAMPLE_OPTIONS)
+    short = case_rows_of(q, itemised=False)
+    whole = case_rows_of(q, itemised=True).select(short.columns)
+    assert not set(short.columns) & ITEMISED and set(short.columns) | ITEMISED == set(CANONICAL)
+    assert sorted(map(str, short.collect())) == sorted(map(str, whole.collect()))
+
+
+def case_rows_of(q: CaseQueries, itemised: bool):
+    return q.rows(*KINDS, itemised=itemised)
+
+
+def test_purchases_do_not_move_for_their_rates(spark, warehouse, no_broadcast):
+    text = plan(CaseQueries(warehouse, SAMPLE_OPTIONS).bought)
+    assert not [line for line in text.splitlines() if "hashpartitioning(market_id" in line and "_hash_left" in line]
+
+
+def test_single_purchases_ask_for_their_own_requests(spark, warehouse, no_broadcast):
+    text = plan(CaseQueries(warehouse, SAMPLE_OPTIONS).rows(*SHIPPED, itemised=False))
+    # Requests without a package of their own fall away first, and unpaid ones are not made for single packages.
+    assert "LeftSemi" in text and text.count("LeftAnti") == 1
+
+
+def test_parents_do_not_pass_the_shuffle_of_purchases(spark, warehouse, no_broadcast):
+    text = CaseQueries(warehouse, SAMPLE_OPTIONS).rows(*KINDS)._jdf.queryExecution().optimizedPlan().toString()
+    above = text[: text.index("_has_purchase")]
+    assert "Union" in above
+
+
+def test_line_items_move_once_for_children(spark, no_broadcast):
+    text = plan(SampleViews(spark, SF)["child"])
+    assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", text)) == 1
