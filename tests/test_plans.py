@@ -9,7 +9,7 @@ import pytest
 
 from __spark_entry__ import queries
 from parcelmetrics.operators.joins import splittable_join
-from parcelmetrics.operators.purchases import daily_fx, with_payments
+from parcelmetrics.operators.purchases import daily_fx, goods_per_package, with_payments
 from parcelmetrics.operators.ranking import with_percentile_ranks
 from parcelmetrics.plans import rollups
 from parcelmetrics.plans.cases import CANONICAL, ITEMISED, KINDS, SHIPPED, CaseQueries, case_table
@@ -262,3 +262,10 @@ def test_parents_do_not_pass_the_shuffle_of_purchases(spark, warehouse, no_broad
 def test_line_items_move_once_for_children(spark, no_broadcast):
     text = plan(SampleViews(spark, SF)["child"])
     assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", text)) == 1
+
+
+def test_goods_move_as_items(spark, warehouse, no_broadcast):
+    """What items are made from does not reach the join with the children."""
+    q = CaseQueries(warehouse, SAMPLE_OPTIONS)
+    text = goods_per_package(q.children, q.bought)._jdf.queryExecution().optimizedPlan().toString()
+    assert "handling_usd" not in text[: text.index("Join")] and "usd_krw_buy" not in text[: text.index("Join")]
