@@ -269,3 +269,14 @@ def test_goods_move_as_items(spark, warehouse, no_broadcast):
     q = CaseQueries(warehouse, SAMPLE_OPTIONS)
     text = goods_per_package(q.children, q.bought)._jdf.queryExecution().optimizedPlan().toString()
     assert "handling_usd" not in text[: text.index("Join")] and "usd_krw_buy" not in text[: text.index("Join")]
+
+
+def test_top_suites_are_ranked_without_their_other_columns(spark, no_broadcast):
+    """Only the fifty rows of the result meet an exchange with all their columns."""
+    columns = ["concat('S', id) AS suite_number", "CAST(id % 90 AS DECIMAL(18,0)) AS total_revenue", "CAST(id % 7 AS DECIMAL(18,0)) AS total_profit"]
+    suites = spark.range(300).selectExpr(*columns, "uuid() AS payload")
+    top = rollups.top_profiles(suites)
+    assert re.search(r"Exchange hashpartitioning[^\n]*\n[^\n]*TakeOrderedAndProject[^\n]*payload", plan(top))
+    every = rollups.top_suites(rollups.with_percentiles(suites.drop("payload"), []))
+    top = top.select(every.columns)
+    assert top.collect() == every.collect()
