@@ -44,9 +44,11 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+    x = x ^ (x >> np.uint64(33))  # a new array, changed in place from here on
+    for factor in (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)):
+        x *= factor
+        x ^= x >> np.uint64(33)
+    return x
 
 
 class WordHashes(dict):
@@ -66,7 +68,11 @@ def shingles(text: str | None, hashes: WordHashes, width: int = WORDS) -> np.nda
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    each = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    return shingles_of(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), width)
+
+
+def shingles_of(each: np.ndarray, width: int = WORDS) -> np.ndarray:
+    """The same from the hashes of one word at least."""
     width = min(width, len(each))
     n = len(each) - width + 1
     out = np.full(n, width, np.uint64)

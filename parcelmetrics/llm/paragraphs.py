@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelmetrics.llm.common import components, staged, whole_text
-from parcelmetrics.llm.jaccard import STEP, WordHashes, _pairs_and_regions, mixed, shingles, verified_edges
+from parcelmetrics.llm.jaccard import STEP, WordHashes, _pairs_and_regions, mixed, shingles, shingles_of, verified_edges
 from parcelmetrics.llm.tokens import small_batches
 
 MIN_WORDS, THRESHOLD, RECALL, SIGNATURE = 50, 0.8, 0.995, 128
@@ -58,15 +58,22 @@ class Signer:
         self.factor = dice.integers(1, 1 << 63, bands * rows, dtype=np.uint64) | np.uint64(1)
         self.add = dice.integers(0, 1 << 63, bands * rows, dtype=np.uint64)
 
-    def keys(self, own: np.ndarray) -> np.ndarray:
+    def least(self, own: np.ndarray) -> np.ndarray:
+        """The signature of a set."""
         least = np.full(self.shape[0] * self.shape[1], ~np.uint64(0))
-        for at in range(0, len(own), 4096):
-            part = own[at : at + 4096, None]
-            values = part * self.factor + self.add
-            least = np.minimum(least, (values ^ (values >> np.uint64(32))).min(0))
+        for at in range(0, len(own), 256):
+            values = own[at : at + 256, None] * self.factor
+            values += self.add
+            values ^= values >> np.uint64(32)
+            np.minimum(least, values.min(0), out=least)
+        return least
+
+    def keys(self, signatures: list[np.ndarray]) -> np.ndarray:
+        """The band keys of many signatures, a row each."""
+        columns = np.stack(signatures).reshape(-1, *self.shape)
         key = np.arange(self.shape[0], dtype=np.uint64)
-        for column in least.reshape(self.shape).T:
-            key = mixed(key * np.uint64(31) + column)
+        for k in range(self.shape[1]):
+            key = mixed(key * np.uint64(31) + columns[:, :, k])
         return key.astype(np.int64)
 
 
@@ -75,7 +82,7 @@ class Words:
 
     def __init__(self, texts: list[str], hashes: WordHashes):
         self.raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-        split = [r.lower().split() for r in self.raw]
+        self.split = split = [r.lower().split() for r in self.raw]
         self.ends = np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))
         self.starts = np.append(0, self.ends[:-1])
         n = int(self.ends[-1]) if len(split) else 0
@@ -128,23 +135,30 @@ def paragraphs_of(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, signer = WordHashes(), Signer(*bands)
-        for batch in small_batches(batches, "text"):
-            found = []
+        for batch in small_batches(batches, "text", 1_000_000):
+            found, signatures, places = [], [], {}
             texts = batch.column("text").to_pylist()
-            for doc_id, tie, text in zip(batch.column("doc_id").to_pylist(), batch.column("tie").to_pylist(), texts):
+            words = Words(texts, hashes)
+            for k, (doc_id, tie, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("tie").to_pylist(), texts)):
+                if len(words.split[k]) < min(min_words, RUN):
+                    continue
+                places[k] = words.places(k)
                 start = 0
                 for place, line in enumerate(text.split("\n")):
                     if len(line) >= 2 * min_words - 1:
-                        words = line.encode("utf-8", "surrogatepass").lower().split()
-                        if len(words) >= min_words:
-                            own = shingles(line, hashes)
-                            key = xxhash.xxh3_64_intdigest(b" ".join(words)) >> 1
-                            found.append((doc_id, tie, place, start, start + len(line), len(own), key, signer.keys(own), None))
+                        a, b = np.searchsorted(places[k][0], (start, start + len(line)))
+                        if b - a >= min_words:
+                            own = shingles_of(words.each[words.starts[k] + a : words.starts[k] + b])
+                            key = xxhash.xxh3_64_intdigest(b" ".join(words.split[k][a:b])) >> 1
+                            found.append((doc_id, tie, place, start, start + len(line), len(own), key))
+                            signatures.append(signer.least(own))
                     start += len(line) + 1
-            columns = list(zip(*found)) if found else [[] for _ in names]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+            if found:
+                columns = [pa.array(c, k) for c, k in zip(zip(*found), kinds)]
+                edges = np.arange(len(found) + 1, dtype=np.int32) * bands[0]
+                keys = pa.ListArray.from_arrays(pa.array(edges), pa.array(signer.keys(signatures).ravel()))
+                yield pa.RecordBatch.from_arrays([*columns, keys.cast(kinds[7]), pa.nulls(len(found), kinds[8])], names)
 
-            words = Words(texts, hashes)
             least, at, n = words.segments()
             if not len(at):
                 continue
@@ -152,7 +166,7 @@ def paragraphs_of(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             start, end = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
             cuts = np.flatnonzero(np.diff(of)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)]):
-                begin, finish = words.places(of[a])
+                begin, finish = places[of[a]]
                 own = at[a:b] - words.starts[of[a]]
                 start[a:b], end[a:b] = begin[own], finish[own + n[a:b] + RUN - 2]
             texts_of = pa.array(of)

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from parcelmetrics.llm import fingerprints, jaccard, neardup, paragraphs
@@ -222,3 +223,33 @@ def test_next_documents_with_one_far_id(spark):
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     borders = docs.select(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 10 * parts)).first()[0]
     assert max(sum(a < i <= b for i in range(5000)) for a, b in zip([-1, *borders], borders)) < 2 * 5000 / parts
+
+
+def test_words_of_a_text_are_looked_up_once(monkeypatch):
+    """Long lines and runs share the words of their text; lines keep the place, set and bands they have by themselves."""
+    looked_up = []
+
+    class Counted(jaccard.WordHashes):
+        def __getitem__(self, word):
+            looked_up.append(word)
+            return super().__getitem__(word)
+
+    class Rows:
+        def where(self, _):
+            return self
+
+        def mapInArrow(self, find, _):  # noqa: N802
+            return find
+
+    lines = [" ".join(f"W{i}é" for i in range(70)), "", "\tshort \x0b", " ".join(f"x{i % 9}" for i in range(55)) + " \r"]
+    texts = ["\n".join(lines), "", "few words"]
+    batch = pa.RecordBatch.from_arrays([pa.array([4, 5, 6]), pa.array([0, 0, 0]), pa.array(texts)], ["doc_id", "tie", "text"])
+    monkeypatch.setattr(paragraphs, "WordHashes", Counted)
+    got = pa.Table.from_batches(list(paragraphs.paragraphs_of(Rows())(iter([batch])))).to_pylist()
+    assert len(looked_up) == sum(len(t.split()) for t in texts)
+    signer = paragraphs.Signer(*paragraphs.tuned_bands())
+    own = [r for r in got if r["least"] is None]
+    assert [(r["doc_id"], r["place"], r["start"], r["end"]) for r in own] == [(4, 0, 0, len(lines[0])), (4, 3, len(texts[0]) - len(lines[3]), len(texts[0]))]
+    for r, line in zip(own, [lines[0], lines[3]]):
+        alone = jaccard.shingles(line, jaccard.WordHashes())
+        assert r["n"] == len(alone) and r["bands"] == signer.keys([signer.least(alone)])[0].tolist()
