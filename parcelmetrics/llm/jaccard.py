@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelmetrics.llm.common import components, drop_staged, staged, whole_text
+from parcelmetrics.llm.common import components, drop_staged, staged, whole_text, with_mark
 from parcelmetrics.llm.tokens import CACHED_CHUNKS, runs, small_batches
 
 WORDS = 5
@@ -73,13 +73,26 @@ def shingles(text: str | None, hashes: WordHashes, width: int = WORDS) -> np.nda
 
 def shingles_of(each: np.ndarray, width: int = WORDS) -> np.ndarray:
     """The same from the hashes of one word at least."""
-    width = min(width, len(each))
+    return distinct(hashed(each, min(width, len(each))))
+
+
+def hashed(each: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the shingles in the order of the words, of which there are ``width`` at least."""
     n = len(each) - width + 1
     out = np.full(n, width, np.uint64)
     for k in range(width):
-        out = out * STEP + each[k : k + n]
-    out = np.sort(mixed(out))
-    return out[np.append(True, out[1:] != out[:-1])]
+        out *= STEP
+        out += each[k : k + n]
+    return mixed(out)
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values, of which there is one at least."""
+    out = np.sort(values)
+    new = np.empty(len(out), bool)
+    new[0] = True
+    np.not_equal(out[1:], out[:-1], out=new[1:])
+    return out[new]
 
 
 def linked(common: int, n: int, m: int) -> bool:
@@ -172,7 +185,9 @@ def _near_enough(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             keep = np.array([9 * least_difference(x, y) <= n + m for n, m, x, y in sizes], bool)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    x, y = (classes.select(F.col("rep").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(bits)) for end, bits in (("a", "x"), ("b", "y")))
+    ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b"))
+    some = with_mark(classes.select("rep", "n", "bits"), ends, ["rep"], "met").where("met")
+    x, y = (some.select(F.col("rep").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(bits)) for end, bits in (("a", "x"), ("b", "y")))
     return pairs.join(x, "a").join(y, "b").select("a", "b", "n_a", "n_b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
@@ -300,7 +315,32 @@ def _as_sets(column: pa.ChunkedArray) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
 
 
-def _join_regions(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _reach(n: np.ndarray, label: np.ndarray, bits: list[bytes]) -> np.ndarray:
+    """Which of some sets may link with one of another label, by their sizes and :func:`parities`."""
+    of = np.fromiter(map(len, bits), np.int64, len(bits))
+    keep = np.zeros(len(n), bool)
+    for size in np.unique(of):
+        # Those of this number of parts with each other, and with larger ones folded into as many.
+        at = np.flatnonzero(of >= size)
+        parts = np.stack([np.bitwise_xor.reduce(np.frombuffer(bits[k], np.uint64).reshape(-1, size // 8), 0) for k in at])
+        for i in np.flatnonzero(of[at] == size):
+            k = at[i]
+            some = np.flatnonzero((label[at] != label[k]) & (5 * np.minimum(n[at], n[k]) >= 4 * np.maximum(n[at], n[k])) & ~(keep[at] & keep[k]))
+            if len(some):
+                near = 9 * np.bitwise_count(parts[some] ^ parts[i]).sum(1, dtype=np.int64) <= n[at[some]] + n[k]
+                keep[at[some[near]]] = True
+                keep[k] |= near.any()
+    return keep
+
+
+def _within_reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of members (region, rep, label, n, bits) sorted by region those that may link with one of another label in it."""
+    for run in runs(batches, ["region"]):
+        keep = _reach(run.column("n").to_numpy(), run.column("label").to_numpy(), run.column("bits").to_pylist())
+        yield from run.select(["region", "rep", "label"]).filter(pa.array(keep)).to_batches()
+
+
+def _join_regions(members: DataFrame, sets: DataFrame, sketches: DataFrame | None = None) -> DataFrame:
     """(a, b) edges that connect what is linked in each region; members: (region, rep, label)."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +349,12 @@ def _join_regions(members: DataFrame, sets: DataFrame) -> DataFrame:
             after = join_region(_as_sets(run.column("shingles")), before)
             yield pa.RecordBatch.from_arrays([pa.array(np.append(reps, before)), pa.array(np.append(after, after))], ["a", "b"])
 
-    rows = members.join(sets.select("rep", "shingles"), "rep").select("region", "rep", "label", "shingles")
+    if sketches is not None:  # before their sets travel
+        slim = members.join(sketches, "rep").select("region", "rep", "label", "n", "bits")
+        members = slim.repartition("region").sortWithinPartitions("region").mapInArrow(_within_reach, "region long, rep long, label long")
+    members = staged(members, "members")
+    sets = with_mark(sets.select("rep", "shingles"), members, ["rep"], "met").where("met").drop("met")
+    rows = members.join(sets, "rep").select("region", "rep", "label", "shingles")
     return rows.repartition("region").sortWithinPartitions("region", "rep").mapInArrow(join, "a long, b long")
 
 
@@ -371,11 +416,12 @@ def _to_pivots(regions: DataFrame) -> DataFrame:
     return pairs.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
 
 
-def verified_edges(pairs: DataFrame, regions: DataFrame, sets: DataFrame) -> DataFrame:
+def verified_edges(pairs: DataFrame, regions: DataFrame, sets: DataFrame, sketches: DataFrame | None = None) -> DataFrame:
     """(a, b) edges that connect all linked of ``pairs`` (a, b) and of the members (region, rep, label) of ``regions``.
 
     ``sets`` has (rep, shingles: sorted hashes as bytes) of all that take part. Each document of ``pairs`` first meets one
-    hub, so that its set travels once; then only pairs and regions that these links don't connect are compared.
+    hub, so that its set travels once; then only pairs and regions that these links don't connect are compared. ``sketches``
+    (rep, n, bits: :func:`parities`) keep members of regions that can link with no other from being compared.
     """
     stars = staged(_stars(pairs), "stars")
     found = staged(_verified(stars, sets), "hub-links")
@@ -395,7 +441,7 @@ def verified_edges(pairs: DataFrame, regions: DataFrame, sets: DataFrame) -> Dat
     while True:
         large = sizes.where(F.col("m") > LARGE)
         total = large.agg(F.sum("m"), F.max("m")).first()
-        edges.append(_join_regions(regions.join(sizes.where(F.col("m") <= LARGE).select("region"), "region"), sets))
+        edges.append(_join_regions(regions.join(sizes.where(F.col("m") <= LARGE).select("region"), "region"), sets, sketches))
         if not total[0]:
             break
         rest = regions.join(large.select("region"), "region")
@@ -404,7 +450,7 @@ def verified_edges(pairs: DataFrame, regions: DataFrame, sets: DataFrame) -> Dat
             block = F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(blocks))
             other = rest.withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
             regions = other.select(F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")).alias("region"), "rep", "label")
-            edges.append(_join_regions(regions, sets))
+            edges.append(_join_regions(regions, sets, sketches))
             break
         found, regions = _shrunk(rest, sets, -(-2 * total[1] // LARGE))
         edges.append(found)
@@ -424,9 +470,17 @@ def text_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).withColumn("tie", F.xxhash64("text"))
     slot = slot_bits(rows)
-    profiles = staged(_profiles(rows, frequent_slots(rows, slot), slot), "profiles")
-    usable = profiles.where("n > 0 and doc_id is not null")
-    classes = staged(usable.groupBy("set_key").agg(F.min(F.struct("doc_id", "tie")).alias("least"), F.first(F.struct("n", "first", "bits", *SKETCH)).alias("x")).select("set_key", F.xxhash64("set_key").alias("rep"), "least", "x.*"), "classes")
+    wide = staged(_profiles(rows, frequent_slots(rows, slot), slot), "profiles")
+    usable = wide.where("n > 0 and doc_id is not null")
+    # Sets that come once stay where they are.
+    again = usable.groupBy("set_key").agg(F.count("*").alias("m")).where("m > 1").select("set_key")
+    usable = with_mark(usable, again, ["set_key"], "again")
+    columns = ["n", "first", "bits", *SKETCH]
+    once = usable.where("not again").select("set_key", F.struct("doc_id", "tie").alias("least"), F.lit(1).cast("long").alias("m"), *columns)
+    more = usable.where("again").groupBy("set_key").agg(F.min(F.struct("doc_id", "tie")).alias("least"), F.count("*").alias("m"), F.first(F.struct(*columns)).alias("x"))
+    classes = staged(once.union(more.select("set_key", "least", "m", "x.*")).withColumn("rep", F.xxhash64("set_key")), "classes")
+    profiles = staged(wide.select("doc_id", "tie", "n", "set_key"), "documents")
+    drop_staged(wide)
 
     members = classes.select("rep", "n", F.explode("first").alias("shingle"))
     met = staged(members.repartition("shingle").sortWithinPartitions("shingle", "n").mapInArrow(_pairs_and_regions, "region long, a long, b long"), "met")
@@ -436,14 +490,16 @@ def text_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     differ = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in SKETCH])
     sketched = staged(pairs.join(x, "a").join(y, "b").where(9 * differ <= F.col("n_a") + F.col("n_b")).select("a", "b"), "pairs")
     pairs = staged(_near_enough(sketched, classes), "near-pairs")
-    drop_staged(sketched)
-    drop_staged(met)
+    sketches = staged(with_mark(classes.select("rep", "n", "bits"), regions, ["rep"], "met").where("met").drop("met"), "sketches")
+    wide, classes = classes, staged(classes.drop("first", "bits"), "slim-classes")
+    for done in (sketched, met, wide):
+        drop_staged(done)
 
     # Sets of those documents only that take part, from their texts.
     needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(regions.select("rep")).distinct()
     # Written first, so that Spark knows its size, and moves no text where it is small.
     of = staged(classes.join(needed, "rep").select("rep", "least.*"), "needed")
-    some = rows.join(of, ["doc_id", "tie"]).select("rep", "text").dropDuplicates(["rep"])
+    some = with_mark(rows, of, ["doc_id", "tie"], "met").where("met").join(of, ["doc_id", "tie"]).dropDuplicates(["doc_id", "tie", "rep"]).select("rep", "text")
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -453,12 +509,16 @@ def text_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
     sets = staged(some.mapInArrow(shingle, "rep long, shingles binary"), "sets")
 
-    joined = verified_edges(pairs, regions, sets)
-    found = components(joined)
-    of = classes.join(found, F.col("rep") == F.col("id"), "left").select("set_key", "least", F.coalesce("component", "rep").alias("of"))
+    found = staged(components(verified_edges(pairs, regions, sets, sketches)), "found")
+    # All others are the first of their own class.
+    of = with_mark(classes.select("set_key", "rep", "least", "m"), found.select(F.col("id").alias("rep")), ["rep"], "met")
+    of = of.where("met or m > 1").join(found, F.col("rep") == F.col("id"), "left").select("set_key", "least", F.coalesce("component", "rep").alias("of"))
+    of = staged(of, "linked")
     first = of.groupBy("of").agg(F.min("least").alias("first"))
-    of = of.select("set_key", "of").join(first, "of").select("set_key", "first")
-    out = profiles.select("doc_id", "tie", "n", "set_key").join(of, "set_key", "left")
+    of = of.join(first, "of").select("set_key", "first")
+    profiles = with_mark(profiles, of, ["set_key"], "met").withColumn("own", F.struct("doc_id", "tie"))
+    joined = profiles.where("met").join(of, "set_key", "left").withColumn("first", F.coalesce("first", "own"))
+    out = joined.drop("met").unionByName(profiles.where("not met").withColumn("first", F.col("own")).drop("met"))
     return out.select("doc_id", "tie", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("first")).alias("first"))
 
 

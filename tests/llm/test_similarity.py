@@ -253,3 +253,42 @@ def test_words_of_a_text_are_looked_up_once(monkeypatch):
     for r, line in zip(own, [lines[0], lines[3]]):
         alone = jaccard.shingles(line, jaccard.WordHashes())
         assert r["n"] == len(alone) and r["bands"] == signer.keys([signer.least(alone)])[0].tolist()
+
+
+def test_members_of_a_region_that_reach_no_other_label_are_left_out():
+    dice = np.random.default_rng(9)
+    base = [np.unique(dice.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (40, 300, 310, 700)]
+    sets = [np.unique(np.append(dice.permutation(b)[: len(b) - cut], dice.integers(0, 1 << 63, cut, dtype=np.uint64))) for b in base for cut in (0, 0, 3, 20, 60)[: 4 if len(b) < 50 else 5]]
+    n, bits = np.array([len(s) for s in sets]), [jaccard.parities(s) for s in sets]
+    label = dice.integers(0, 6, len(sets))
+    keep = jaccard._reach(n, label, bits)
+    near = lambda i, j: label[i] != label[j] and jaccard.linked(len(np.intersect1d(sets[i], sets[j])), n[i], n[j])
+    linked = [any(near(i, j) for j in range(len(sets))) for i in range(len(sets))]
+    assert all(k for k, x in zip(keep, linked) if x) and any(linked)
+    apart = [np.unique(dice.integers(0, 1 << 63, 300, dtype=np.uint64)) for _ in range(50)]
+    assert not jaccard._reach(np.array([len(s) for s in apart]), np.arange(50), [jaccard.parities(s) for s in apart]).any()
+    assert not jaccard._reach(n, np.zeros(len(n), np.int64), bits).any()
+
+
+def test_marks_keep_every_row_with_a_partner(spark, monkeypatch):
+    from parcelmetrics.llm import common
+
+    rows = spark.createDataFrame([(i, i % 7) for i in range(5000)] + [(None, 1)], "a long, b long")
+    few = spark.createDataFrame([(i, i % 7) for i in range(0, 5000, 100)] + [(9999, 0)], "a long, b long")
+    for bits, most in ((common.MARKS, 60), (128, 5001)):
+        monkeypatch.setattr(common, "MARKS", bits)
+        got = common.with_mark(rows, few, ["a", "b"], "met").collect()
+        met = {r.a for r in got if r.met}
+        assert len(got) == 5001 and set(range(0, 5000, 100)) <= met and len(met) <= most
+    assert common.with_mark(rows, few.limit(0), ["a", "b"], "met").where("met").count() == 0
+
+
+def test_texts_without_a_partner_are_not_shuffled(spark, monkeypatch):
+    """Only texts and profiles that may meet another are moved, also where no table is small enough to be broadcast."""
+    monkeypatch.setattr(jaccard, "SMALL", 4)
+    plans, write = [], jaccard.staged
+    monkeypatch.setattr(jaccard, "staged", lambda df, name: (plans.append((name, df._jdf.queryExecution().optimizedPlan().toString())), write(df, name))[1])
+    docs = spark.createDataFrame([*copies(5, 200), *[(1000 + i, f"alone {i} " * 9) for i in range(50)]], "doc_id long, text string")
+    assert jaccard.jaccard_components(docs).count() == 250
+    of = dict(plans)
+    assert "marks" in of["classes"] and "marks" in of["sets"] and "members" in of
