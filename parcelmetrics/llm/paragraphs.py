@@ -26,17 +26,20 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelmetrics.llm.common import components, staged, whole_text
-from parcelmetrics.llm.jaccard import STEP, WordHashes, _pairs_and_regions, mixed, shingles, shingles_of, verified_edges
+from parcelmetrics.llm.jaccard import STEP, WORDS, WordHashes, _pairs_and_regions, distinct, hashed, mixed, shingles, shingles_of, verified_edges
 from parcelmetrics.llm.tokens import small_batches
 
 MIN_WORDS, THRESHOLD, RECALL, SIGNATURE = 50, 0.8, 0.995, 128
 #: Words of a run that is removed where it occurs before, and of the shingles of its MinHash.
 RUN, WIDE = 51, 12
+#: Shingles that are signed at a time.
+BLOCK = 128
 SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 
 
@@ -57,14 +60,17 @@ class Signer:
         self.shape = (bands, rows)
         self.factor = dice.integers(1, 1 << 63, bands * rows, dtype=np.uint64) | np.uint64(1)
         self.add = dice.integers(0, 1 << 63, bands * rows, dtype=np.uint64)
+        self.values, self.high = np.empty((2, BLOCK, bands * rows), np.uint64)
 
     def least(self, own: np.ndarray) -> np.ndarray:
         """The signature of a set."""
         least = np.full(self.shape[0] * self.shape[1], ~np.uint64(0))
-        for at in range(0, len(own), 256):
-            values = own[at : at + 256, None] * self.factor
+        for at in range(0, len(own), BLOCK):
+            some = own[at : at + BLOCK, None]
+            values, high = self.values[: len(some)], self.high[: len(some)]
+            np.multiply(some, self.factor, out=values)
             values += self.add
-            values ^= values >> np.uint64(32)
+            values ^= np.right_shift(values, np.uint64(32), out=high)
             np.minimum(least, values.min(0), out=least)
         return least
 
@@ -97,6 +103,10 @@ class Words:
         """Hashes of the words from ``start`` to ``end``, the same wherever they are."""
         return mixed((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
 
+    def shingled(self) -> np.ndarray:
+        """Hashes of the five-word shingles that start at each word, before they are told apart."""
+        return hashed(self.each, WORDS) if len(self.each) >= WORDS else np.zeros(0, np.uint64)
+
     def runs(self) -> np.ndarray:
         """Where a run of ``RUN`` words of one text starts."""
         return np.concatenate([np.arange(a, b - RUN + 1) for a, b in zip(self.starts.tolist(), self.ends.tolist()) if b - a >= RUN] or [np.zeros(0, np.int64)])
@@ -139,6 +149,7 @@ def paragraphs_of(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             found, signatures, places = [], [], {}
             texts = batch.column("text").to_pylist()
             words = Words(texts, hashes)
+            shingled = words.shingled()
             for k, (doc_id, tie, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("tie").to_pylist(), texts)):
                 if len(words.split[k]) < min(min_words, RUN):
                     continue
@@ -148,7 +159,8 @@ def paragraphs_of(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     if len(line) >= 2 * min_words - 1:
                         a, b = np.searchsorted(places[k][0], (start, start + len(line)))
                         if b - a >= min_words:
-                            own = shingles_of(words.each[words.starts[k] + a : words.starts[k] + b])
+                            a_word, b_word = words.starts[k] + a, words.starts[k] + b
+                            own = distinct(shingled[a_word : b_word - WORDS + 1]) if b - a >= WORDS else shingles_of(words.each[a_word:b_word])
                             key = xxhash.xxh3_64_intdigest(b" ".join(words.split[k][a:b])) >> 1
                             found.append((doc_id, tie, place, start, start + len(line), len(own), key))
                             signatures.append(signer.least(own))
@@ -251,6 +263,24 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     return _repeated(docs, text, doc_id)[0]
 
 
+def merged_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (doc_id, tie, spans: list of start, end, kept_doc_id) a row for each span that is left when those that meet are one."""
+    for batch in batches:
+        spans = batch.column("spans")
+        row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(spans).to_numpy(zero_copy_only=False))
+        if not len(row):
+            continue
+        start, end, kept = (column.to_numpy(zero_copy_only=False) for column in spans.flatten().flatten())
+        order = np.lexsort((kept, end, start, row))
+        shift = row[order] * (end.max() + 1)  # rows one after the other
+        reach = np.maximum.accumulate(end[order] + shift)
+        first = np.flatnonzero(np.append(True, (start[order] + shift)[1:] > reach[:-1]))
+        last = np.append(first[1:], len(order)) - 1
+        of = pa.array(row[order[first]])
+        columns = [batch.column("doc_id").take(of), batch.column("tie").take(of), *map(pa.array, (start[order[first]], (reach - shift)[last], kept[order[first]]))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "start", "end", "kept_doc_id"])
+
+
 def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, tie, start, end, kept_doc_id): all that is to be removed, long lines and runs, as spans that don't overlap.
 
@@ -260,21 +290,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     spans = lines.select("doc_id", "tie", "start", "end", "kept_doc_id").union(runs)
     each = spans.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("start", "end", "kept_doc_id")).alias("spans"))
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = []
-            for doc_id, tie, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tie", "spans"))):
-                last = None
-                for start, end, kept in sorted((s["start"], s["end"], s["kept_doc_id"]) for s in spans):
-                    if last is not None and start <= last[3]:
-                        last[3] = max(last[3], end)
-                    else:
-                        last = [doc_id, tie, start, end, kept]
-                        out.append(last)
-            names = ["doc_id", "tie", "start", "end", "kept_doc_id"]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(5)], names)
-
-    return each.mapInArrow(merge, "doc_id long, tie long, start long, end long, kept_doc_id long")
+    return each.mapInArrow(merged_spans, "doc_id long, tie long, start long, end long, kept_doc_id long")
 
 
 def _with_text(joined: DataFrame, changed: Column, text: Column, docs: DataFrame) -> DataFrame:

@@ -292,3 +292,27 @@ def test_texts_without_a_partner_are_not_shuffled(spark, monkeypatch):
     assert jaccard.jaccard_components(docs).count() == 250
     of = dict(plans)
     assert "marks" in of["classes"] and "marks" in of["sets"] and "members" in of
+
+
+def test_spans_that_meet_are_one():
+    import tracemalloc
+
+    dice = random.Random(3)
+    spans = [[{"start": (a := dice.randrange(20_000)), "end": a + dice.randrange(1, 400), "kept_doc_id": dice.randrange(9)} for _ in range(dice.choice([0, 1, 2, 40, 100]))] for _ in range(1500)]
+    want = []
+    for k, own in enumerate(spans):
+        last = None
+        for start, end, kept in sorted((s["start"], s["end"], s["kept_doc_id"]) for s in own):
+            if last is not None and start <= last[3]:
+                last[3] = max(last[3], end)
+            else:
+                want.append(last := [k, -k, start, end, kept])
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kept_doc_id", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1500)), pa.array([-k for k in range(1500)]), pa.array(spans, kind)], ["doc_id", "tie", "spans"])
+    tracemalloc.start()
+    got = list(paragraphs.merged_spans(iter([batch, batch[:0], batch[700:]])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [list(r.values()) for b in got for r in b.to_pylist()] == want + [w for w in want if w[0] >= 700]
+    # No object for each span: dictionaries of three numbers take some 300 bytes each.
+    assert peak < 150 * sum(map(len, spans))
