@@ -32,6 +32,8 @@ TRAINING_ROWS, FOLDS = 8_000, 3
 FEATURES, SELECTED, STEMS = 1 << 20, 1000, (4, 6)
 PENALTY, ITERATIONS = 2e-4, 80
 THRESHOLD = 0.5
+#: Text that a worker splits at a time; its words and their features take some twenty times as much.
+TEXT_BYTES = 1_000_000
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -155,7 +157,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: list[str], trainin
 
     def featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", TEXT_BYTES):
             made = int_lists(*features.of(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[batch.column(c) for c in categories], made], ["doc_id", *categories, "features"])
 
@@ -225,7 +227,7 @@ def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(chain.place)
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", TEXT_BYTES):
             counts, columns = features.of(batch.column("text").to_pylist())
             rows = np.repeat(np.arange(len(counts)), counts)
             earlier = np.zeros((len(counts), 0))
