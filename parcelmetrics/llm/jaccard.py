@@ -362,15 +362,18 @@ def _shrunk(members: DataFrame, sets: DataFrame, salts: int) -> tuple[DataFrame,
     """One round on regions too large for a task: edges to each region's pivot, and the members that may still link."""
     pivots = members.groupBy("region").agg(F.min(F.struct(F.xxhash64("rep", "label"), "rep")).alias("p")).select("region", F.col("p.rep").alias("rep"))
     dealt = members.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(salts))).join(sets.select("rep", "shingles"), "rep")
-    spread = pivots.join(sets.select("rep", "shingles"), "rep").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # Columns of its own: both sides come from the same tables, and Spark refuses to tell equal ones apart.
+    spread = pivots.join(sets.select("rep", "shingles"), "rep").select(
+        F.col("region").alias("of"), F.col("rep").alias("pivot"), F.col("shingles").alias("p"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("for_salt")
+    )
 
     def measure(own: pa.Table, pivot: pa.Table) -> pa.Table:
-        p = np.frombuffer(pivot.column("shingles")[0].as_py(), np.uint64)
+        p = np.frombuffer(pivot.column("p")[0].as_py(), np.uint64)
         found = distances(_as_sets(own.column("shingles")), p) if own.num_rows else np.zeros(0)
-        columns = [own.column("region"), own.column("rep"), own.column("label"), pa.array(np.full(own.num_rows, pivot.column("rep")[0].as_py(), np.int64)), pa.array(found)]
+        columns = [own.column("region"), own.column("rep"), own.column("label"), pa.array(np.full(own.num_rows, pivot.column("pivot")[0].as_py(), np.int64)), pa.array(found)]
         return pa.Table.from_arrays(columns, ["region", "rep", "label", "pivot", "d"])
 
-    measured = staged(dealt.groupBy("region", "salt").cogroup(spread.groupBy("region", "salt")).applyInArrow(measure, "region long, rep long, label long, pivot long, d double"), "measured")
+    measured = staged(dealt.groupBy("region", "salt").cogroup(spread.groupBy("of", "for_salt")).applyInArrow(measure, "region long, rep long, label long, pivot long, d double"), "measured")
     near = F.col("d") <= EPSILON + 1e-12
     edges = measured.where(near).select(F.col("rep").alias("a"), F.col("pivot").alias("b")).union(measured.where(near).select("label", "pivot"))
     least = measured.where(~near).groupBy("region").agg(F.min("d").alias("least"))

@@ -316,3 +316,29 @@ def test_spans_that_meet_are_one():
     assert [list(r.values()) for b in got for r in b.to_pylist()] == want + [w for w in want if w[0] >= 700]
     # No object for each span: dictionaries of three numbers take some 300 bytes each.
     assert peak < 150 * sum(map(len, spans))
+
+
+def test_regions_too_large_for_a_task(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LARGE", 24)
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(merged)
+    spark.conf.set(merged, "false")
+    dice = random.Random(8)
+    base = [[dice.randrange(1 << 62) for _ in range(40)] for _ in range(3)]
+    sets = {}
+    for k in range(200):
+        own = list(base[k % 3])
+        for _ in range(dice.randint(0, 12)):
+            own[dice.randrange(40)] = dice.randrange(1 << 62)
+        sets[k] = np.unique(np.array(own, np.uint64))
+    try:
+        rows = spark.createDataFrame([(k, v.tobytes()) for k, v in sets.items()], "rep long, shingles binary")
+        # Regions of all, of a third, and of so few that a task joins them.
+        regions = spark.createDataFrame([(r, k, k) for r, some in [(1, range(200)), (2, range(0, 200, 3)), (3, range(20))] for k in some], "region long, rep long, label long")
+        edges = jaccard.verified_edges(spark.createDataFrame([], "a long, b long"), regions, rows)
+        found = {r.id: r.component for r in components(edges).collect()}
+    finally:
+        spark.conf.set(merged, old)
+    want = union(alike({k: set(v.tolist()) for k, v in sets.items()}), sets)
+    assert len(set(want.values())) > 3
+    assert all(found.get(k, k) == want[k] for k in sets)
