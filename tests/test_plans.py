@@ -280,3 +280,31 @@ def test_top_suites_are_ranked_without_their_other_columns(spark, no_broadcast):
     every = rollups.top_suites(rollups.with_percentiles(suites.drop("payload"), []))
     top = top.select(every.columns)
     assert top.collect() == every.collect()
+
+
+def broadcast_tables(text: str) -> set[str]:
+    """Names of the tables that are read below a broadcast."""
+    found, depth = set(), None
+    for line in text.splitlines():
+        at = re.search(r"[A-Za-z*]", line)
+        if at and depth is not None and at.start() <= depth:
+            depth = None
+        if at and depth is None and "BroadcastExchange" in line:
+            depth = at.start()
+        if depth is not None:
+            found |= reads(line).keys()
+    return found
+
+
+@pytest.mark.parametrize("itemised", [True, False])
+def test_tables_that_grow_are_not_broadcast(spark, warehouse, itemised):
+    """However small their files are: these say little about the rows that the driver would hold."""
+    text = plan(CaseQueries(warehouse, SAMPLE_OPTIONS).rows(*KINDS, itemised=itemised))
+    assert broadcast_tables(text) == {"currency", "country"}
+
+
+def test_ranks_are_not_broadcast(spark):
+    suites = spark.range(300).selectExpr("id AS k", "id % 9 AS v")
+    ranked = with_percentile_ranks(suites, ["k"], [], {"p": "v"})
+    assert "BroadcastHashJoin" not in plan(ranked)
+    assert ranked.count() == 300
