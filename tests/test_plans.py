@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 
 from __spark_entry__ import queries
+from parcelmetrics import queries as analytics
 from parcelmetrics.operators.joins import splittable_join
 from parcelmetrics.operators.purchases import daily_fx, goods_per_package, with_payments
 from parcelmetrics.operators.ranking import with_percentile_ranks
@@ -308,3 +309,17 @@ def test_ranks_are_not_broadcast(spark):
     ranked = with_percentile_ranks(suites, ["k"], [], {"p": "v"})
     assert "BroadcastHashJoin" not in plan(ranked)
     assert ranked.count() == 300
+
+
+def test_older_results_and_exports_make_the_rows_of_their_cases_only(spark, monkeypatch):
+    whole, older = case_rows(spark, SF), analytics.older_rows(spark, SF)
+    same = whole.filter("profit_case IN ('1', '4')").select(older.columns)
+    assert older.exceptAll(same).count() == 0 and same.exceptAll(older).count() == 0 and older.count() > 0
+    assert len(older.columns) < len(CANONICAL) / 2
+
+    def not_asked(*_):
+        raise AssertionError("the table of all cases")
+
+    monkeypatch.setattr(analytics, "case_rows", not_asked)
+    for name in ("older_results", "exported_cases"):
+        assert queries()[name](spark, SF).count() > 0
